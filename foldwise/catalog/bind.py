@@ -140,3 +140,21 @@ class Tables:
         if split:
             df = df.where(F.col("split") == split)
         return df.drop("score") if split == "test" else df
+
+    def train_folds(self, seeds=(42,), splits: int = 5) -> DataFrame:
+        """Training cases with one fold per repeat, strata target bin x year."""
+        from foldwise.operators.folds import repeated_folds
+        train = self.cases("train")
+        dealt = repeated_folds(train, "row_id", "y", seeds, splits, "yr")
+        return train.join(dealt, "row_id")
+
+    def predictions(self) -> DataFrame:
+        """Out-of-fold predictions of three simple predictors, two repeats."""
+        from foldwise.operators.encode import left_out_means
+        from foldwise.scratch import written
+        df = written(self.train_folds((42, 2025)))
+        parts = [left_out_means(df, key, "y", "fold", ["repeat"]).withColumn("model", F.lit(model))
+                 for model, key in (("by_group", "grp"), ("by_year", "yr"), ("overall", None))]
+        cols = ["row_id", "repeat", "fold", "model", "y", "pred"]
+        return parts[0].select(cols).unionByName(parts[1].select(cols)).unionByName(
+            parts[2].select(cols))

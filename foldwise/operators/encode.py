@@ -85,6 +85,24 @@ def nested_means(nested: DataFrame, id_col: str, col: str, y: str, outer: str =
             .select(id_col, outer, out))
 
 
+def left_out_means(df: DataFrame, key: str | None, y: str, fold: str, by: Sequence[str] = (),
+                   out: str = "pred") -> DataFrame:
+    """Mean of ``y`` over the rows of the same key in the other folds.
+
+    A plain out-of-fold predictor; the means are totals minus the fold's cell.
+    """
+    by = list(by)
+    label = level(key, fixed.NULL_LEVEL) if key else F.lit("")
+    cells = df.groupBy(*by, fold, label.alias("__k")).agg(
+        F.sum(y).alias("s"), F.count(y).alias("n"))
+    w = Window.partitionBy(*by, "__k")
+    means = fitted(cells.select(
+        *[F.col(c).alias(f"__{c}") for c in [*by, fold]], F.col("__k").alias("__level"),
+        F.try_divide(F.sum("s").over(w) - F.col("s"), F.sum("n").over(w) - F.col("n")).alias(out)))
+    on = [F.col(c) == F.col(f"__{c}") for c in [*by, fold]] + [label == F.col("__level")]
+    return df.join(means, on).drop(*[f"__{c}" for c in [*by, fold]], "__level")
+
+
 def _smooth(total: Column, count: Column, prior: Column, smoothing: float) -> Column:
     return (total + prior * F.lit(smoothing)) / (count + F.lit(smoothing))
 

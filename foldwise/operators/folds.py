@@ -46,6 +46,8 @@ def assign(df: DataFrame, id_col: str, strata: Sequence[str], splits: int,
     """
     by, strata = list(by), list(strata)
     ranked = hash_rank(df, id_col, seed, by + strata, "__rank", rows, bucket_rows)
+    if not by and not strata:
+        return ranked.withColumn(out, (F.col("__rank") % splits).cast("int")).drop("__rank")
     w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     sizes = df.groupBy(*by, *strata).agg(F.count(F.lit(1)).alias("__n"))  # one row per stratum
     start = fitted(sizes.withColumn("__start", F.sum("__n").over(w.orderBy(*strata)) - F.col("__n"))
