@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-MODULES = ("rowwise", "joins", "aggregates", "folding", "nested")
+MODULES = ("rowwise", "joins", "aggregates", "folding", "nested", "texts")
 
 
 def query(name: str, sql: str | None = None):

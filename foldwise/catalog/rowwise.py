@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foldwise import fixed
 from foldwise.catalog import query
 from foldwise.catalog.bind import NOT_FEATURES, SPEC, WITH_APPLICANTS, WITH_CASES
+from foldwise.catalog.sqltext import r6
 from foldwise.functions import rows as R
 from foldwise.operators import encode, features
 from foldwise.sources import tables as T
@@ -29,10 +30,6 @@ def sql_match():
     return f"(CASE target_role {whens} END)"
 
 
-def r6(e, n=6):
-    return f"round(CAST({e} AS DOUBLE), {n}) + 0.0"
-
-
 def pick(df, names, digits=6, key="student_id"):
     doubles = {f.name for f in df.schema if f.dataType.typeName() == "double"}
     return df.select(key, *[(R.rounded(c, digits) if c in doubles else F.col(c)).alias(c)

@@ -6,7 +6,8 @@ from foldwise.catalog.bind import WITH_CASES
 
 
 def r6(e, n=6):
-    return f"round(CAST({e} AS DOUBLE), {n}) + 0.0"
+    """Rounding that both engines agree on: decimal ties are moved off first."""
+    return f"round(CAST({e} AS DOUBLE) + 1e-9, {n}) + 0.0"
 
 
 def grid(bins):

@@ -71,5 +71,5 @@ def level(c: str | Column, null_level: str) -> Column:
 
 
 def rounded(c: str | Column, digits: int = 6) -> Column:
-    """Rounded, with no negative zero."""
-    return F.round(col(c), digits) + F.lit(0.0)
+    """Rounded for reports: decimal ties go up, and there is no negative zero."""
+    return F.round(col(c) + F.lit(1e-9), digits) + F.lit(0.0)

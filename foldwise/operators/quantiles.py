@@ -115,8 +115,9 @@ def _pick(df, values, spans) -> dict[tuple[int, int], float]:
         return {}
     cells = F.array(*[F.struct(F.lit(i).alias("span"), s.cut(values[s.key]).alias("v"))
                       for i, s in enumerate(spans)])
-    grouped = (df.select(F.explode(cells).alias("c")).select("c.span", "c.v")
-               .where(F.col("v").isNotNull()).groupBy("span", "v").count())
+    inside = F.filter(cells, lambda c: c["v"].isNotNull())
+    grouped = (df.select(F.explode(inside).alias("c")).select("c.span", "c.v")
+               .groupBy("span", "v").count())
     upto = F.sum("count").over(Window.partitionBy("span").orderBy("v")
                                .rowsBetween(Window.unboundedPreceding, 0))
     wanted = F.element_at(

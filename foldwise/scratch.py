@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SMALL_ROWS = 50_000
 _local_root: str | None = None
@@ -32,12 +33,16 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write once, read back: cuts lineage and survives the loss of executors."""
+def written(df: DataFrame, schema: StructType | None = None) -> DataFrame:
+    """Write once, read back: cuts lineage and survives the loss of executors.
+
+    ``schema`` names the types to read back where they are other views of the
+    stored ones, such as ML vectors over their storage struct.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/t-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def fitted(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
