@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-MODULES = ("rowwise", "joins", "aggregates", "folding", "nested", "texts")
+MODULES = ("rowwise", "joins", "aggregates", "folding", "nested", "texts", "learning",
+           "combining", "explaining")
 
 
 def query(name: str, sql: str | None = None):

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise import fixed
 from foldwise.operators import folds as fold_ops
+from foldwise.operators import learners
 from foldwise.scratch import written
 
 Predictor = Callable[[DataFrame], DataFrame]
@@ -88,3 +93,154 @@ def out_of_fold(df: DataFrame, fit: Callable[[DataFrame, int], Callable[[DataFra
     """Predict each fold by a model of the others; also returns the fold models."""
     models = run_all([lambda k=k: fit(df.where(F.col(fold) != k), k) for k in range(splits)], parallel)
     return union([m(df.where(F.col(fold) == k)) for k, m in enumerate(models)]), models
+
+
+# ------------------------------------------------------------------- repeated CV
+@dataclass
+class Bundle:
+    """What fold training needs.
+
+    ``static`` has the id, the target and the fixed features; ``folds`` is
+    ``(id, repeat, fold)``; ``dyn`` holds the fold-aware columns and
+    ``test_dyn`` their test values. All are written tables, so folds never
+    change when a task is run again.
+    """
+
+    static: DataFrame
+    folds: DataFrame
+    id_col: str
+    y: str
+    names: list[str]
+    dyn: DataFrame | None = None
+    dyn_names: list[str] = field(default_factory=list)
+    test: DataFrame | None = None
+    weight: str | None = None
+    splits: int = fixed.N_FOLDS
+    seeds: Sequence[int] = fixed.REPEAT_SEEDS
+    codes: list[str] = field(default_factory=list)
+    _inputs: dict = field(default_factory=dict)
+
+    @property
+    def feature_names(self) -> list[str]:
+        return [*self.names, *self.dyn_names]
+
+    def view(self, r: int, k: int, names: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+        names = list(names or self.feature_names)
+        static = [n for n in names if n not in self.dyn_names]
+        keep = [self.id_col, self.y, *([self.weight] if self.weight else []), *static]
+        dealt = self.folds.where(F.col("repeat") == r).select(self.id_col, "fold")
+        base = self.static.select(*keep).join(dealt, self.id_col)
+        return fold_view(base, self.dyn, self.id_col, k, [n for n in names if n in self.dyn_names], r)
+
+    def inputs(self, r: int, k: int, scaled: bool, names: Sequence[str] | None = None):
+        """Fill values and scales of one training part, shared by the learners."""
+        key = (r, k, scaled, tuple(names or ()))
+        if key not in self._inputs:
+            train, _ = self.view(r, k, names)
+            wanted = list(names or self.feature_names)
+            codes = [c for c in self.codes if c in wanted] if scaled else ()
+            self._inputs[key] = learners.fit_inputs(train, wanted, scaled, codes)
+        return self._inputs[key]
+
+
+def fit_fold(bundle: Bundle, name: str, params: dict, r: int, k: int,
+             names: Sequence[str] | None = None, seed: int | None = None):
+    """One fold model and its validation predictions."""
+    train, held = bundle.view(r, k, names)
+    learner = learners.LEARNERS[name]
+    seed = bundle.seeds[r] + fixed.FOLD_SEED_STEP * k if seed is None else seed
+    model = learners.fit(name, params, train, bundle.id_col, bundle.y,
+                         list(names or bundle.feature_names), seed, bundle.weight,
+                         inputs=bundle.inputs(r, k, learner.scaled, names))
+    keep = [bundle.y] + ([bundle.weight] if bundle.weight else [])
+    pred = model.predict(held, keep).withColumns(
+        {"repeat": F.lit(r), "fold": F.lit(k), "model": F.lit(name)})
+    return model, pred
+
+
+def cross_validate(bundle: Bundle, name: str, params: dict, repeats: int, parallel: int = 4
+                   ) -> tuple[DataFrame, DataFrame | None, dict]:
+    """Out-of-fold predictions of every repeat, averaged test predictions, fold models."""
+    grid = [(r, k) for r in range(repeats) for k in range(bundle.splits)]
+    done = run_all([lambda g=g: fit_fold(bundle, name, params, *g) for g in grid], parallel)
+    models = {g: d[0] for g, d in zip(grid, done)}
+    preds = written(union([d[1] for d in done]))
+    if bundle.test is None:
+        return preds, None, models
+    every = union([m.predict(bundle.test) for m in models.values()])
+    mean = every.groupBy(bundle.id_col).agg(F.avg("pred").alias("pred")).withColumn("model", F.lit(name))
+    return preds, mean, models
+
+
+def quick_score(bundle: Bundle, name: str, params: dict, names: Sequence[str] | None = None,
+                weight: str | None = None, parallel: int = 4) -> float:
+    """Error of one fixed learner on a set of columns, first repeat."""
+    from foldwise.operators.metrics import weighted_mse
+    done = run_all([lambda k=k: fit_fold(bundle, name, params, 0, k, names)[1]
+                    for k in range(bundle.splits)], parallel)
+    return float(union(done).agg(weighted_mse(bundle.y, "pred", weight)).first()[0])
+
+
+# ------------------------------------------------------------------------ search
+TRIAL_SCHEMA = ("model string, trial int, params string, steps array<double>, value double, "
+                "state string")
+
+
+def draw(space: dict[str, tuple], seed: int, trial: int) -> dict:
+    """Parameters of a numbered trial; the same number always gives the same draw."""
+    rng = np.random.RandomState([seed, trial])
+    out = {}
+    for name, (kind, low, high) in space.items():
+        if kind == "int":
+            out[name] = int(rng.randint(low, high + 1))
+        elif kind == "log":
+            out[name] = float(np.exp(rng.uniform(np.log(low), np.log(high))))
+        else:
+            out[name] = float(rng.uniform(low, high))
+    return out
+
+
+def search(spark, model: str, space: dict[str, tuple], score: Callable[[dict, int], float],
+           steps: int, trials: int, seconds: float, path: str, seed: int = fixed.SEED,
+           startup: int = 12) -> DataFrame:
+    """Seeded random search whose finished trials are rows of a table.
+
+    Trials found in the table are not run again. From the second step on, a
+    trial that is behind the median of earlier ones is given up.
+    """
+    finished = [r for r in read_trials(spark, path).where(F.col("model") == model).collect()]
+    done = {r["trial"] for r in finished}
+    started = time.monotonic()
+    for trial in range(trials):
+        if trial in done:
+            continue
+        if time.monotonic() - started > seconds:
+            break
+        params, means, state = draw(space, seed, trial), [], "complete"
+        total = 0.0
+        for k in range(steps):
+            total += score(params, k)
+            means.append(total / (k + 1))
+            earlier = [r["steps"][k] for r in finished if len(r["steps"]) > k]
+            if 1 <= k < steps - 1 and len(finished) >= startup and means[-1] > float(np.median(earlier)):
+                state = "pruned"
+                break
+        row = (model, trial, json.dumps(params), means, means[-1], state)
+        spark.createDataFrame([row], TRIAL_SCHEMA).coalesce(1).write.mode("append").json(path)
+        finished.append({"steps": means})
+    return read_trials(spark, path).where(F.col("model") == model)
+
+
+def read_trials(spark, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(TRIAL_SCHEMA).json(path)
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], TRIAL_SCHEMA)
+
+
+def best_params(trials: DataFrame) -> dict[str, dict]:
+    best = (trials.where("state = 'complete'").groupBy("model")
+            .agg(F.min_by("params", F.struct("value", "trial")).alias("params")).collect())
+    return {r["model"]: json.loads(r["params"]) for r in best}
