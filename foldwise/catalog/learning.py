@@ -49,9 +49,9 @@ def unit_documents(t, target="n_chars"):
 def _(t):
     docs = t("documents")
     made = tfidf.fit_vectoriser(docs, "doc_id", "text", [tfidf.WORDS])
-    long = written(made.long(docs, "doc_id", "text"))
-    basis = reduce.fit_svd(made.vectors(docs, "doc_id", "text"))
-    return all_rounded(basis.transform(long, "doc_id"), digits=4)
+    cells = written(made.cells(docs, "doc_id", "text"))
+    basis = reduce.fit_svd(tfidf.to_vectors(cells, made.width))
+    return all_rounded(basis.transform(cells, "doc_id"), digits=4)
 
 
 @query("t08_pca_of_embeddings")

@@ -56,6 +56,13 @@ def z(c: str | Column, mean: float | None, sd: float | None) -> Column:
     return (col(c) - F.lit(mean)) / F.lit(sd)
 
 
+def pearson(a: str | Column, b: str | Column) -> Column:
+    """Correlation aggregate over the rows that have both; null when one side is constant."""
+    x, y = col(a).cast("double"), col(b).cast("double")
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def clip(c: str | Column, low: float, high: float) -> Column:
     value = col(c)
     return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))

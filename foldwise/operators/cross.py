@@ -134,13 +134,12 @@ class Bundle:
 
     def inputs(self, r: int, k: int, scaled: bool, names: Sequence[str] | None = None):
         """Fill values and scales of one training part, shared by the learners."""
-        key = (r, k, scaled, tuple(names or ()))
-        if key not in self._inputs:
-            train, _ = self.view(r, k, names)
-            wanted = list(names or self.feature_names)
-            codes = [c for c in self.codes if c in wanted] if scaled else ()
-            self._inputs[key] = learners.fit_inputs(train, wanted, scaled, codes)
-        return self._inputs[key]
+        if (r, k, scaled) not in self._inputs:
+            train, _ = self.view(r, k)
+            codes = self.codes if scaled else ()
+            self._inputs[(r, k, scaled)] = learners.fit_inputs(train, self.feature_names, scaled, codes)
+        found = self._inputs[(r, k, scaled)]
+        return found if names is None else found.subset(names)
 
 
 def fit_fold(bundle: Bundle, name: str, params: dict, r: int, k: int,

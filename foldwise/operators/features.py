@@ -197,7 +197,7 @@ def fit_features(df: DataFrame, spec: TableSpec) -> FeatureModel:
 def filled_correlations(df: DataFrame, cols: Sequence[str], y: str) -> dict[str, float | None]:
     """|Pearson| with the target after median fill; null for constant columns."""
     mids = quantiles.medians(df, cols)
-    row = df.agg(*[F.abs(F.corr(F.coalesce(F.col(c).cast("double"), F.lit(mids[c])), F.col(y)))
+    row = df.agg(*[F.abs(R.pearson(F.coalesce(F.col(c).cast("double"), F.lit(mids[c])), y))
                    .alias(c) for c in cols]).first()
     return {c: None if row[c] is None or row[c] != row[c] else row[c] for c in cols}
 

@@ -43,6 +43,12 @@ class Inputs:
         plain = [n for n in self.names if n not in self.levels]
         return plain + [f"{c}={i}" for c, n in self.levels.items() for i in range(n)]
 
+    def subset(self, names: Sequence[str]) -> "Inputs":
+        """The same fitted numbers for fewer columns."""
+        stats = None if self.stats is None else {n: v for n, v in self.stats.items() if n in names}
+        return Inputs([n for n in names], {n: v for n, v in self.mids.items() if n in names}, stats,
+                      {n: v for n, v in self.levels.items() if n in names})
+
     def vector(self):
         plain = [n for n in self.names if n not in self.levels]
         filled = features.median_fill(plain, self.mids)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from foldwise import fixed
+from foldwise.functions.rows import pearson
 from foldwise.operators.quantiles import exact_quantiles
 from foldwise.operators.ranks import average_rank
 
@@ -73,13 +74,13 @@ def informative_nulls(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
 
 # ------------------------------------------------------------------ correlations
 def correlations(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
-    return sideways(df, {c: {"r": F.corr(F.col(c).cast("double"), F.col(y).cast("double"))}
+    return sideways(df, {c: {"r": pearson(c, y)}
                          for c in cols})
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r of every unordered pair of columns, in one pass."""
-    cells = {f"{a}\t{b}": {"r": F.corr(F.col(a).cast("double"), F.col(b).cast("double"))}
+    cells = {f"{a}\t{b}": {"r": pearson(a, b)}
              for i, a in enumerate(cols) for b in cols[i + 1:]}
     both = F.split("name", "\t")
     return sideways(df, cells).select(both[0].alias("a"), both[1].alias("b"), "r")
