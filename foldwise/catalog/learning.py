@@ -109,8 +109,8 @@ def _(t):
     b = bundle(t, weight=True, test=True)
     preds, test, _ = cross.cross_validate(b, "boosted", SMALL["boosted"], 1)
     scored = metrics.fold_metrics(preds, "score", "pred", "w")
-    n = test.agg(F.count("pred").alias("n_test"), F.avg("pred").alias("test_mean"))
-    return scored.join(F.broadcast(n), F.lit(True))
+    n, mean = test.agg(F.count("pred"), F.avg("pred")).first()
+    return scored.withColumns({"n_test": F.lit(n), "test_mean": F.lit(mean)})
 
 
 @query("m10_random_search")
@@ -170,8 +170,8 @@ def _(t):
     df = b.static.join(b.folds, "student_id")
     study = hurdle.hurdle_study(df, "student_id", "score", b.names, SPLITS, weight="w",
                                 params=SMALL["boosted"], rounds=4, depth=3)
-    chance = metrics.auc(study, "p", "hit")
-    return hurdle.hurdle_scores(study, "score", "w").join(F.broadcast(chance), F.lit(True))
+    chance = metrics.auc(study, "p", "hit").first()["auc"]
+    return hurdle.hurdle_scores(study, "score", "w").withColumn("auc", F.lit(chance))
 
 
 @query("m14_adversarial_auc")

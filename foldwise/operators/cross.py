@@ -137,7 +137,9 @@ class Bundle:
         if (r, k, scaled) not in self._inputs:
             train, _ = self.view(r, k)
             codes = self.codes if scaled else ()
-            self._inputs[(r, k, scaled)] = learners.fit_inputs(train, self.feature_names, scaled, codes)
+            other = self._inputs.get((r, k, False))
+            self._inputs[(r, k, scaled)] = learners.fit_inputs(
+                train, self.feature_names, scaled, codes, other.mids if other else None)
         found = self._inputs[(r, k, scaled)]
         return found if names is None else found.subset(names)
 

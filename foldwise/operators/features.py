@@ -11,6 +11,8 @@ import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -194,12 +196,20 @@ def fit_features(df: DataFrame, spec: TableSpec) -> FeatureModel:
 
 
 # ------------------------------------------------------------- pairwise products
+def long_pairs(df: DataFrame, values: dict[str, Column], y: Column) -> DataFrame:
+    """``(name, x, y)`` per row and column. Grouping by name then takes any number
+    of columns, where one wide aggregate would outgrow compiled code."""
+    cells = F.array(*[F.struct(F.lit(n).alias("name"), v.cast("double").alias("x")) for n, v in values.items()])
+    return df.select(y.cast("double").alias("y"), F.explode(cells).alias("c")).select("c.name", "c.x", "y")
+
+
 def filled_correlations(df: DataFrame, cols: Sequence[str], y: str) -> dict[str, float | None]:
     """|Pearson| with the target after median fill; null for constant columns."""
     mids = quantiles.medians(df, cols)
-    row = df.agg(*[F.abs(R.pearson(F.coalesce(F.col(c).cast("double"), F.lit(mids[c])), y))
-                   .alias(c) for c in cols]).first()
-    return {c: None if row[c] is None or row[c] != row[c] else row[c] for c in cols}
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(mids[c])) for c in cols}
+    rows = (long_pairs(df, filled, F.col(y)).groupBy("name")
+            .agg(F.abs(R.pearson("x", "y")).alias("r")).collect())
+    return {r["name"]: r["r"] for r in rows}
 
 
 def strongest(scores: dict[str, float | None], n: int) -> list[str]:
@@ -233,10 +243,11 @@ def standardise(cols: Sequence[str], stats: dict[str, tuple[float, float]],
 
 
 def standard_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
-    row = df.agg(*[f(F.col(c).cast("double")) for c in cols
-                   for f in (F.avg, F.stddev_samp)]).first()
-    return {c: (row[2 * i] or 0.0, (row[2 * i + 1] or 0.0) + fixed.STANDARD_EPS)
-            for i, c in enumerate(cols)}
+    """Mean and sample deviation of filled columns, in one vector aggregate."""
+    vector = array_to_vector(F.array(*[F.col(c).cast("double") for c in cols]))
+    row = df.select(vector.alias("v")).agg(Summarizer.metrics("mean", "std").summary(F.col("v")).alias("s")
+                                           ).select("s.mean", "s.std").first()
+    return {c: (float(row[0][i]), float(row[1][i]) + fixed.STANDARD_EPS) for i, c in enumerate(cols)}
 
 
 # -------------------------------------------------------------- columns by block

@@ -12,11 +12,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (FMRegressionModel, FMRegressor, GBTRegressionModel,
                                    GBTRegressor, LinearRegression, LinearRegressionModel,
                                    RandomForestRegressionModel, RandomForestRegressor)
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,7 +73,7 @@ class Inputs:
 
 
 def fit_inputs(df: DataFrame, names: Sequence[str], scaled: bool = False,
-               codes: Sequence[str] = ()) -> Inputs:
+               codes: Sequence[str] = (), mids: dict[str, float | None] | None = None) -> Inputs:
     plain = [n for n in names if n not in codes]
     levels = {}
     if scaled and codes:
@@ -78,7 +81,7 @@ def fit_inputs(df: DataFrame, names: Sequence[str], scaled: bool = False,
         levels = {c: min(int(row[i] or 0) + 1, ONE_HOT_LIMIT) for i, c in enumerate(codes)}
     else:
         plain = list(names)
-    mids = medians(df, plain)
+    mids = medians(df, plain) if mids is None else {c: mids[c] for c in plain}
     inputs = Inputs(list(names), mids, None, levels)
     if scaled:
         filled = df.select(*[e.alias(c) for c, e in features.median_fill(plain, mids).items()])
@@ -122,7 +125,22 @@ def _factor(p: dict, seed: int, weighted: bool) -> FMRegressor:
                        maxIter=p["rounds"], stepSize=p["step"], regParam=p["l2"])
 
 
-LEARNERS = {
+@dataclass
+class RidgeModel:
+    """A linear model on a vector column."""
+
+    coefficients: np.ndarray
+    intercept: float
+    features_col: str = "features"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        coef = F.array(*[F.lit(float(c)) for c in self.coefficients])
+        products = F.zip_with(vector_to_array(self.features_col), coef, lambda x, b: x * b)
+        total = F.aggregate(products, F.lit(float(self.intercept)), lambda s, x: s + x)
+        return df.withColumn("prediction", total)
+
+
+LEARNERS: dict[str, Learner] = {
     "boosted": Learner(_boosted, {"rounds": ("int", 20, 200), "depth": ("int", 3, 7),
                                   "step": ("log", 0.02, 0.2), "rows": ("float", 0.6, 1.0),
                                   "columns": ("float", 0.3, 1.0), "leaf": ("int", 1, 50)},
@@ -137,7 +155,7 @@ LEARNERS = {
                       {"factors": 4, "rounds": 60, "step": 0.05, "l2": 1e-3},
                       FMRegressionModel, scaled=True, weighted=False),
     "ridge": Learner(lambda p, seed, weighted: p["alpha"], {"alpha": ("log", 1e-3, 1e3)},
-                     {"alpha": 2.0}, LinearRegressionModel, scaled=True),
+                     {"alpha": 2.0}, RidgeModel, scaled=True),
 }
 
 
@@ -156,25 +174,45 @@ class Fitted:
         return scored.select(self.id_col, *keep, (F.col("prediction") + F.lit(self.shift)).alias(out))
 
 
+NORMAL_LIMIT = 2048
+
+
 def fit_ridge(df: DataFrame, y: str, alpha: float, weight: str | None = None,
-              features_col: str = "features", rounds: int = 100) -> LinearRegressionModel:
+              features_col: str = "features", rounds: int = 100) -> RidgeModel | LinearRegressionModel:
     """Least squares plus ``alpha`` times the squared coefficients, intercept free.
 
-    The built-in learner scales its penalty by the target deviation and the
-    weight sum; the factor below undoes that.
+    Up to ``NORMAL_LIMIT`` columns one pass sums the products of all columns and
+    the normal equations are solved from those sums. Wider vectors are sparse
+    text: they go to the iterative solver, whose penalty is scaled by the target
+    deviation and the weight sum, which the factor below undoes.
     """
-    w = F.col(weight) if weight else F.lit(1.0)
+    width = len_of(df, features_col)
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    if width <= NORMAL_LIMIT:
+        return _normal_equations(df, y, alpha, w, features_col, width)
     mean, square, total = df.agg(F.sum(w * F.col(y)) / F.sum(w),
                                  F.sum(w * F.col(y) * F.col(y)) / F.sum(w), F.sum(w)).first()
     deviation = max(square - mean * mean, 0.0) ** 0.5
-    width = df.schema[features_col].metadata.get("ml_attr", {}).get("num_attrs")
-    wide = (width or len_of(df, features_col)) > 4096
     est = LinearRegression(featuresCol=features_col, labelCol=y, elasticNetParam=0.0,
                            standardization=False, regParam=alpha * deviation / total,
-                           solver="l-bfgs" if wide else "normal", maxIter=rounds)
+                           solver="l-bfgs", maxIter=rounds)
     return (est.setWeightCol(weight) if weight else est).fit(df)
 
 
+def _normal_equations(df, y, alpha, w, features_col, width) -> RidgeModel:
+    cells = F.concat(vector_to_array(features_col), F.array(F.col(y).cast("double"), F.lit(1.0)))
+    root = F.sqrt(w)
+    rows = df.select(array_to_vector(F.transform(cells, lambda x: x * root)).alias("v"))
+    sums = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v")).computeGramianMatrix().toArray()
+    x, t, one = slice(0, width), width, width + 1
+    total = sums[one, one]
+    mean, mean_y = sums[x, one] / total, sums[t, one] / total
+    covariance = sums[x, x] - total * np.outer(mean, mean)
+    cross = sums[x, t] - total * mean * mean_y
+    coef = np.linalg.lstsq(covariance + alpha * np.eye(width), cross, rcond=None)[0]
+    return RidgeModel(coef, float(mean_y - coef @ mean), features_col)
+
+
 def len_of(df: DataFrame, features_col: str) -> int:
     row = df.select(features_col).first()
     return 0 if row is None else row[0].size
@@ -233,9 +271,12 @@ class FittedClass:
 
 # ------------------------------------------------------------------ saved models
 def save(model: Fitted | FittedClass, path: str, spark) -> None:
-    model.model.write().overwrite().save(f"{path}/model")
     i = model.inputs
+    linear = isinstance(model.model, RidgeModel)
+    if not linear:
+        model.model.write().overwrite().save(f"{path}/model")
     meta = {"kind": "class" if isinstance(model, FittedClass) else model.name, "id_col": model.id_col,
+            "linear": [model.model.coefficients.tolist(), model.model.intercept] if linear else None,
             "shift": getattr(model, "shift", 0.0), "names": i.names, "mids": i.mids,
             "stats": i.stats, "levels": i.levels}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
@@ -248,5 +289,8 @@ def load(path: str, spark) -> Fitted | FittedClass:
     inputs = Inputs(meta["names"], meta["mids"], stats, meta["levels"])
     if meta["kind"] == "class":
         return FittedClass(inputs, GBTClassificationModel.load(f"{path}/model"), meta["id_col"])
+    if meta["linear"] is not None:
+        model = RidgeModel(np.array(meta["linear"][0]), meta["linear"][1])
+        return Fitted(meta["kind"], inputs, model, meta["id_col"], meta["shift"])
     kind = LEARNERS[meta["kind"]].model
     return Fitted(meta["kind"], inputs, kind.load(f"{path}/model"), meta["id_col"], meta["shift"])

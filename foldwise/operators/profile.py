@@ -16,7 +16,8 @@ from pyspark.sql.types import NumericType
 from foldwise import fixed
 from foldwise.functions.rows import pearson
 from foldwise.operators.quantiles import exact_quantiles
-from foldwise.operators.ranks import average_rank
+from foldwise.operators.ranks import average_rank, running_before
+from foldwise.scratch import fitted
 
 
 def sideways(df: DataFrame, rows: Mapping[str, Mapping[str, Column]], name: str = "name") -> DataFrame:
@@ -74,8 +75,9 @@ def informative_nulls(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
 
 # ------------------------------------------------------------------ correlations
 def correlations(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
-    return sideways(df, {c: {"r": pearson(c, y)}
-                         for c in cols})
+    from foldwise.operators.features import long_pairs
+    long = long_pairs(df, {c: F.col(c) for c in cols}, F.col(y))
+    return long.groupBy("name").agg(pearson("x", "y").alias("r"))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -108,7 +110,6 @@ def spearman(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
 
 
 def _weighted_rank(long: DataFrame, col: str) -> DataFrame:
-    from foldwise.operators.ranks import running_before
     counts = long.groupBy("name", col).agg(F.sum("m").alias("n"))
     return running_before(counts, col, ["n"], ["name"]).select(
         "name", col, (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)).alias(f"rank_{col}"))
@@ -188,25 +189,31 @@ def category_shares(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                                 for c in cols]))
     counts = (df.select(pairs.alias("p")).select("p.*").where(F.col("level").isNotNull())
               .groupBy("name", "level").agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("name")
-    return counts.select("name", "level", "n",
-                         (F.col("n") / F.sum("n").over(w)).alias("share"),
-                         F.count(F.lit(1)).over(w).alias("n_levels"))
-
-
-def target_by_category(df: DataFrame, col: str, y: str, levels: Sequence[str] | None = None) -> DataFrame:
-    """Mean and exact median of the target per level."""
-    means = df.groupBy(col).agg(F.count(y).alias("n"), F.avg(y).alias("mean"))
-    if levels is None:
-        levels = [r[0] for r in means.select(col).orderBy(col).limit(1001).collect()]
-    if len(levels) > 1000:
-        raise ValueError(f"{col} has too many levels for a report; name the ones wanted")
-    mids = exact_quantiles(df, {f"l{i}": (F.when(F.col(col).eqNullSafe(F.lit(v)), F.col(y)), [0.5])
-                                for i, v in enumerate(levels)})
-    median = F.lit(None).cast("double")
-    for i, v in enumerate(levels):
-        median = F.when(F.col(col).eqNullSafe(F.lit(v)), F.lit(mids[f"l{i}"][0])).otherwise(median)
-    return means.withColumn("median", median)
+    totals = fitted(counts.groupBy("name").agg(F.sum("n").alias("__t"),
+                                               F.count(F.lit(1)).alias("n_levels")))
+    return counts.join(totals, "name").select("name", "level", "n",
+                                              (F.col("n") / F.col("__t")).alias("share"), "n_levels")
+
+
+def target_by_category(df: DataFrame, col: str, y: str) -> DataFrame:
+    """Mean and exact median of the target per level, for any number of levels.
+
+    Equal targets are counted per level first; the median is then read off the
+    running counts, so a level that holds most rows crowds no task.
+    """
+    counts = (df.where(F.col(y).isNotNull()).groupBy(col, F.col(y).cast("double").alias("__y"))
+              .agg(F.count(F.lit(1)).alias("__c")))
+    totals = counts.groupBy(col).agg(F.sum("__c").alias("n"),
+                                     (F.sum(F.col("__y") * F.col("__c")) / F.sum("__c")).alias("mean"))
+    named = totals.withColumnRenamed(col, "__k")
+    ranked = running_before(counts, "__y", ["__c"], [col])
+    both = ranked.join(named, F.col(col).eqNullSafe(F.col("__k")))
+    covers = lambda at: (at >= F.col("__c_before")) & (at < F.col("__c_before") + F.col("__c"))
+    low, high = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
+    return both.groupBy(col).agg(
+        F.first("n").alias("n"), F.first("mean").alias("mean"),
+        ((F.max(F.when(covers(low), F.col("__y"))) + F.max(F.when(covers(high), F.col("__y")))) / 2)
+        .alias("median"))
 
 
 def outliers(df: DataFrame, cols: Sequence[str], y: str | None = None) -> DataFrame:

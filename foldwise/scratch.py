@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SMALL_ROWS = 50_000
+SMALL_BYTES = 32 * 1024 * 1024
 _local_root: str | None = None
 
 
@@ -48,11 +49,11 @@ def written(df: DataFrame, schema: StructType | None = None) -> DataFrame:
 def fitted(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """Pin a fitted lookup table at its measured size.
 
-    Up to ``limit`` rows it becomes an in-plan table that joins by broadcast.
-    Beyond that it is written to the scratch folder, and joins to it are chosen
+    Up to ``limit`` rows and ``SMALL_BYTES`` bytes it becomes an in-plan table
+    that joins by broadcast. Beyond that it is written to the scratch folder, and joins to it are chosen
     by the planner from its real size, so no unbounded table is ever broadcast.
     """
     head = df.limit(limit + 1).toArrow()
-    if head.num_rows <= limit:
+    if head.num_rows <= limit and head.nbytes <= SMALL_BYTES:
         return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
     return written(df)
