@@ -220,7 +220,7 @@ def search(spark, model: str, space: dict[str, tuple], score: Callable[[dict, in
         params, means, state = draw(space, seed, trial), [], "complete"
         total = 0.0
         for k in range(steps):
-            total += score(params, k)
+            total += float(score(params, k))
             means.append(total / (k + 1))
             earlier = [r["steps"][k] for r in finished if len(r["steps"]) > k]
             if 1 <= k < steps - 1 and len(finished) >= startup and means[-1] > float(np.median(earlier)):

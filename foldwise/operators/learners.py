@@ -168,10 +168,11 @@ class Fitted:
     model: Any
     id_col: str
     shift: float = 0.0
+    scale: float = 1.0
 
     def predict(self, df: DataFrame, keep: Sequence[str] = (), out: str = "pred") -> DataFrame:
         scored = self.model.transform(self.inputs.apply(df, [self.id_col, *keep]))
-        return scored.select(self.id_col, *keep, (F.col("prediction") + F.lit(self.shift)).alias(out))
+        return scored.select(self.id_col, *keep, (F.col("prediction") * F.lit(self.scale) + F.lit(self.shift)).alias(out))
 
 
 NORMAL_LIMIT = 2048
@@ -235,12 +236,13 @@ def fit(name: str, params: dict, df: DataFrame, id_col: str, y: str, names: Sequ
     if name == "ridge":
         model = fit_ridge(made, "__y", p["alpha"], "__w" if weight else None)
         return Fitted(name, inputs, model, id_col)
-    shift = 0.0
-    if name == "factor":  # the solver starts at zero: give it a centred target
-        shift = float(df.agg(F.avg(y)).first()[0])
-        made = made.withColumn("__y", F.col("__y") - F.lit(shift))
+    shift, scale = 0.0, 1.0
+    if name == "factor":  # its solver takes small steps from zero: standardise the target
+        shift, scale = df.agg(F.avg(y), F.stddev_pop(y)).first()
+        scale = scale or 1.0
+        made = made.withColumn("__y", (F.col("__y") - F.lit(shift)) / F.lit(scale))
     model = learner.make(p, seed, bool(weight) and learner.weighted).fit(made)
-    return Fitted(name, inputs, model, id_col, shift)
+    return Fitted(name, inputs, model, id_col, shift, scale)
 
 
 def fit_classifier(df: DataFrame, id_col: str, label, names: Sequence[str], rounds: int = 60,
@@ -277,7 +279,7 @@ def save(model: Fitted | FittedClass, path: str, spark) -> None:
         model.model.write().overwrite().save(f"{path}/model")
     meta = {"kind": "class" if isinstance(model, FittedClass) else model.name, "id_col": model.id_col,
             "linear": [model.model.coefficients.tolist(), model.model.intercept] if linear else None,
-            "shift": getattr(model, "shift", 0.0), "names": i.names, "mids": i.mids,
+            "shift": getattr(model, "shift", 0.0), "scale": getattr(model, "scale", 1.0), "names": i.names, "mids": i.mids,
             "stats": i.stats, "levels": i.levels}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
         "overwrite").json(f"{path}/inputs")
@@ -291,6 +293,7 @@ def load(path: str, spark) -> Fitted | FittedClass:
         return FittedClass(inputs, GBTClassificationModel.load(f"{path}/model"), meta["id_col"])
     if meta["linear"] is not None:
         model = RidgeModel(np.array(meta["linear"][0]), meta["linear"][1])
-        return Fitted(meta["kind"], inputs, model, meta["id_col"], meta["shift"])
+        return Fitted(meta["kind"], inputs, model, meta["id_col"])
     kind = LEARNERS[meta["kind"]].model
-    return Fitted(meta["kind"], inputs, kind.load(f"{path}/model"), meta["id_col"], meta["shift"])
+    return Fitted(meta["kind"], inputs, kind.load(f"{path}/model"), meta["id_col"], meta["shift"],
+                  meta["scale"])
