@@ -140,9 +140,9 @@ def _(t):
     unnest(quantile_cont(l_extendedprice, [0.0, 0.25, 0.5, 0.75, 0.95, 1.0])) AS v FROM lineitem)""")
 def _(t):
     probs = [0.0, 0.25, 0.5, 0.75, 0.95, 1.0]
-    # small spans on purpose: this takes the sketch-and-narrow path
+    # a low limit on purpose: this takes the sketch-and-bracket path
     found = quantiles.exact_quantiles(t("lineitem"), {"v": (F.col("l_extendedprice"), probs)},
-                                      span_rows=2000)["v"]
+                                      direct_cells=2000)["v"]
     return all_rounded(t.spark.createDataFrame(list(zip(probs, found)), "p double, v double"))
 
 
@@ -164,7 +164,7 @@ def _(t):
     {r6("sqrt(sum(w * (y - pred) * (y - pred)) / sum(w))")} AS wrmse
   FROM preds JOIN weights USING (row_id) GROUP BY model""")
 def _(t):
-    w = folds.year_weights(t.cases("train"), t.cases("test"), "yr").select("row_id", "w")
+    w = folds.year_weights(t.stored_cases("train"), t.stored_cases("test"), "yr").select("row_id", "w")
     df = t.predictions().join(w, "row_id")
     return all_rounded(metrics.regression_metrics(df, w="w", by=["model"]).select("model", "wmse", "wrmse"))
 

@@ -123,6 +123,7 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._stored: DataFrame | None = None
 
     def __call__(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
@@ -141,10 +142,18 @@ class Tables:
             df = df.where(F.col("split") == split)
         return df.drop("score") if split == "test" else df
 
+    def stored_cases(self, split: str | None = None) -> DataFrame:
+        """The cases view written once, for queries that read it several times."""
+        from foldwise.scratch import written
+        if self._stored is None:
+            self._stored = written(self.cases())
+        df = self._stored
+        return df.where(F.col("split") == split) if split else df
+
     def train_folds(self, seeds=(42,), splits: int = 5) -> DataFrame:
         """Training cases with one fold per repeat, strata target bin x year."""
         from foldwise.operators.folds import repeated_folds
-        train = self.cases("train")
+        train = self.stored_cases("train")
         dealt = repeated_folds(train, "row_id", "y", seeds, splits, "yr")
         return train.join(dealt, "row_id")
 

@@ -10,6 +10,7 @@ from foldwise.catalog.bind import WITH_CASES
 from foldwise.catalog.sqltext import TRAIN_CASES, bin_sql, folds_ctes, grid, inner_ctes, r6
 from foldwise.functions.rows import rounded
 from foldwise.operators import explain, folds
+from foldwise.scratch import written
 
 
 @query("w01_quantile_bins", f"""{TRAIN_CASES},
@@ -17,34 +18,34 @@ from foldwise.operators import explain, folds
   SELECT row_id, CAST({bin_sql("y", "e20")} AS INT) AS bin20, CAST({bin_sql("y", "e10")} AS INT) AS bin10
   FROM train, e""")
 def _(t):
-    train = t.cases("train")
+    train = t.stored_cases("train")
     df = folds.with_bins(folds.with_bins(train, "y", 20, "bin20"), "y", 10, "bin10")
     return df.select("row_id", "bin20", "bin10")
 
 
 @query("w02_stratified_folds", f"""{TRAIN_CASES}, {folds_ctes("train")} SELECT row_id, fold FROM folds""")
 def _(t):
-    return folds.make_folds(t.cases("train"), "row_id", "y", year="yr").select("row_id", "fold")
+    return folds.make_folds(t.stored_cases("train"), "row_id", "y", year="yr").select("row_id", "fold")
 
 
 @query("w02_folds_by_hash_buckets",
        f"""{TRAIN_CASES}, {folds_ctes("train", bins=20, year=None)} SELECT row_id, fold FROM folds""")
 def _(t):
     # small buckets on purpose: hot strata are cut by hash prefix
-    binned = folds.with_bins(t.cases("train"), "y", 20)
+    binned = folds.with_bins(t.stored_cases("train"), "y", 20)
     return folds.assign(binned, "row_id", ["bin"], 5, 42, bucket_rows=40).select("row_id", "fold")
 
 
 @query("w03_repeated_folds", f"""{TRAIN_CASES}, {folds_ctes("train", seeds=fixed.REPEAT_SEEDS)}
   SELECT row_id, repeat, fold FROM folds""")
 def _(t):
-    return folds.repeated_folds(t.cases("train"), "row_id", "y", year="yr")
+    return folds.repeated_folds(t.stored_cases("train"), "row_id", "y", year="yr")
 
 
 @query("w04_inner_folds", f"""{TRAIN_CASES}, {folds_ctes("train")}, {inner_ctes("folds")}
   SELECT row_id, outer_k, inner_j FROM nested""")
 def _(t):
-    df = folds.make_folds(t.cases("train"), "row_id", "y", year="yr")
+    df = written(folds.make_folds(t.stored_cases("train"), "row_id", "y", year="yr"))
     return folds.inner_folds(df, "row_id", "y").select(
         "row_id", F.col("outer").alias("outer_k"), F.col("inner").alias("inner_j"))
 

@@ -30,7 +30,7 @@ NESTED = f"{TRAIN_CASES}, {folds_ctes('train')}, {inner_ctes('folds')}"
 
 
 def nested_rows(t):
-    df = folds.make_folds(t.cases("train"), "row_id", "y", year="yr")
+    df = written(folds.make_folds(t.stored_cases("train"), "row_id", "y", year="yr"))
     return written(folds.inner_folds(df, "row_id", "y"))
 
 
@@ -51,7 +51,7 @@ def _(t):
     values = encode.nested_means(nested, "row_id", "grp", "y")
     held = (nested.where("inner = -1").select("row_id", "outer", "yr", "y")
             .join(values, ["row_id", "outer"]).withColumnsRenamed({"value": "pred", "outer": "fold"}))
-    weighted = folds.year_weights(held, t.cases("test"), "yr")
+    weighted = folds.year_weights(held, t.stored_cases("test"), "yr")
     scored = metrics.regression_metrics(weighted, w="w", by=["fold"])
     return scored.select("fold", *[rounded(c).alias(c) for c in scored.columns if c != "fold"])
 

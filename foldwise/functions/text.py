@@ -68,16 +68,22 @@ def grams(tokens: str, low: int, high: int) -> Column:
     return F.flatten(F.array(*[of(n) for n in range(low, high + 1)]))
 
 
+def pad(word: Column) -> Column:
+    return F.concat(F.lit(" "), word, F.lit(" "))
+
+
+def word_grams(word: Column, low: int, high: int) -> Column:
+    """Character runs of one padded word; a word too short for a run gives itself
+    once and no longer runs."""
+    size = F.char_length(word)
+    lengths = F.filter(F.array(*[F.lit(n) for n in range(low, high + 1)]),
+                       lambda n: (n == low) | (size >= n))
+    return F.flatten(F.transform(lengths, lambda n: F.transform(
+        F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))),
+        lambda i: F.substr(word, i, n))))
+
+
 def char_grams(text: str | Column, low: int, high: int) -> Column:
-    """Character runs inside blank-padded words; a word too short for a run gives
-    itself once and no longer runs."""
-    def of(word: Column) -> Column:
-        size = F.char_length(word)
-        lengths = F.filter(F.array(*[F.lit(n) for n in range(low, high + 1)]),
-                           lambda n: (n == low) | (size >= n))
-        return F.flatten(F.transform(lengths, lambda n: F.transform(
-            F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))),
-            lambda i: F.substr(word, i, n))))
-    padded = F.transform(spaced_words(F.lower(col(text))),
-                         lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-    return F.flatten(F.transform(padded, of))
+    """Character runs inside the blank-padded words of a text."""
+    padded = F.transform(spaced_words(F.lower(col(text))), pad)
+    return F.flatten(F.transform(padded, lambda w: word_grams(w, low, high)))

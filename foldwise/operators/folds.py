@@ -13,7 +13,7 @@ from foldwise import fixed
 from foldwise.functions.rows import clip
 from foldwise.operators.quantiles import exact_quantiles
 from foldwise.operators.ranks import BUCKET_ROWS, hash_rank
-from foldwise.scratch import fitted
+from foldwise.scratch import fitted, written
 
 
 def quantile_edges(df: DataFrame, y: Column | str, bins: int) -> list[float]:
@@ -75,7 +75,8 @@ def repeated_folds(df: DataFrame, id_col: str, y: str, seeds: Sequence[int] = fi
     """Long table ``(id, repeat, fold)``: one fold per row and seed."""
     bins = bins or (fixed.TARGET_BINS_BY_YEAR if year else fixed.TARGET_BINS)
     keep = [id_col, "__bin"] + ([year] if year else [])
-    binned = with_bins(df, y, bins, "__bin").select(*keep)
+    narrow = written(df.select(id_col, y, *([year] if year else [])))  # read several times
+    binned = with_bins(narrow, y, bins, "__bin").select(*keep)
     pairs = F.array(*[F.struct(F.lit(r).alias("repeat"), F.lit(s).alias("__seed"))
                       for r, s in enumerate(seeds)])
     long = binned.select("*", F.explode(pairs).alias("__p")).select(*keep, "__p.*")

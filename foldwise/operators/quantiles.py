@@ -1,68 +1,63 @@
 """Exact linear-interpolated quantiles without holding a column in one place.
 
 The built-in exact percentile keeps every distinct value of a group in one
-task. Here a sketch brackets each wanted order statistic first, rows outside
-the bracket are only counted, and the values inside are grouped and ranked.
-Brackets are narrowed until each holds few rows, so the answer is exact at any
-size and only counts and the picked values reach the driver.
+task. Here a sketch brackets each wanted order statistic first. One more pass
+then counts the rows between the brackets and groups the values inside them, so
+only a sliver of each column is shuffled. Counts and the picked values are all
+that reaches the driver, and the answer is exact at any size.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPAN_ROWS = 1_000_000
-SKETCH_ACCURACY = 2000
+from foldwise.operators.ranks import running_before
+from foldwise.scratch import written
 
+DIRECT_CELLS = 4_000_000
+SKETCH_ACCURACY = 1000
+SLACK = 2.0 / SKETCH_ACCURACY
 
-@dataclass
-class _Span:
-    key: int
-    low: float | None
-    high: float | None
-    below: int
-    rows: int
-    ranks: list[int]
-
-    def cut(self, value: Column) -> Column:
-        if self.low is None:
-            return value
-        return F.when((value >= self.low) & (value <= self.high), value)
+Interval = tuple[float, float]
 
 
 def exact_quantiles(df: DataFrame, targets: Mapping[str, tuple[Column, Sequence[float]]],
-                    span_rows: int = SPAN_ROWS) -> dict[str, list[float | None]]:
+                    direct_cells: int = DIRECT_CELLS) -> dict[str, list[float | None]]:
     """Quantiles of many expressions over one table, nulls skipped.
 
     ``targets`` maps a name to an expression and its probabilities; restrict a
-    target to a subset by giving ``when(condition, column)``.
+    target to a subset by giving ``when(condition, column)``. Up to
+    ``direct_cells`` values in all are grouped without a sketch.
     """
     names = list(targets)
     values = [targets[n][0].cast("double") for n in names]
-    counts = df.agg(*[F.count(v) for v in values]).first()
-    spans = []
-    for i, name in enumerate(names):
-        if counts[i]:
-            ranks = sorted({r for p in targets[name][1] for r in _around(p, counts[i])})
-            spans.append(_Span(i, None, None, 0, counts[i], ranks))
-    while any(s.rows > span_rows and s.low != s.high or s.rows > span_rows and s.low is None
-              for s in spans):
-        spans = _narrow(df, values, spans, span_rows)
-    found = _pick(df, values, spans)
+    counts = list(df.agg(*[F.count(v) for v in values]).first())
+    wanted = [sorted({r for p in targets[n][1] for r in _around(p, c)}) if c else []
+              for n, c in zip(names, counts)]
+    if sum(counts) <= direct_cells:
+        found = _pick(written(_grouped(df, values, [[] for _ in names])), wanted)
+    else:
+        brackets = _brackets(df, values, [targets[n][1] for n in names])
+        grouped = written(_grouped(df, values, brackets))
+        found = _pick(grouped, wanted)
+        missed = [i for i, ranks in enumerate(wanted) if any((i, r) not in found for r in ranks)]
+        if missed:  # a sketch fell outside its error bound: group these columns whole
+            keep = [wanted[i] if i in missed else [] for i in range(len(names))]
+            some = [v if i in missed else F.lit(None).cast("double") for i, v in enumerate(values)]
+            found |= _pick(written(_grouped(df, some, [[] for _ in names])), keep)
     out = {}
     for i, name in enumerate(names):
-        if not counts[i]:
-            out[name] = [None for _ in targets[name][1]]
-            continue
         row = []
         for p in targets[name][1]:
+            if not counts[i]:
+                row.append(None)
+                continue
             at = p * (counts[i] - 1)
-            low, high = (found[(i, r)] for r in (math.floor(at), math.ceil(at)))
+            low, high = found[(i, math.floor(at))], found[(i, math.ceil(at))]
             row.append(low + (high - low) * (at - math.floor(at)))
         out[name] = row
     return out
@@ -73,58 +68,75 @@ def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     return {c: found[c][0] for c in cols}
 
 
-def _around(p: float, n: int) -> tuple[int, int]:
+def _around(p: float, n: int) -> list[int]:
     at = p * (n - 1)
-    return math.floor(at), math.ceil(at)
-
-
-def _narrow(df, values, spans, span_rows):
-    """Replace every large span by one small span per wanted rank."""
-    keep, wide = [], []
-    for s in spans:
-        (wide if s.rows > span_rows and (s.low is None or s.low != s.high) else keep).append(s)
-    jobs = [(s, r) for s in wide for r in s.ranks]
-    slack = 2.0 / SKETCH_ACCURACY
-    aggs = []
-    for s, r in jobs:
-        inside = s.cut(values[s.key])
-        share = (r - s.below) / max(s.rows - 1, 1)
-        low = F.min(inside) if share <= slack else \
-            F.percentile_approx(inside, share - slack, SKETCH_ACCURACY)
-        high = F.max(inside) if share >= 1 - slack else \
-            F.percentile_approx(inside, share + slack, SKETCH_ACCURACY)
-        aggs += [low, high]
-    edges = df.agg(*aggs).first()
-    aggs = []
-    for j, (s, r) in enumerate(jobs):
-        low, high, v = edges[2 * j], edges[2 * j + 1], values[s.key]
-        aggs += [F.count(F.when(v < low, 1)), F.count(F.when((v >= low) & (v <= high), 1))]
-    sizes = df.agg(*aggs).first()
-    for j, (s, r) in enumerate(jobs):
-        below, rows = sizes[2 * j], sizes[2 * j + 1]
-        if not below <= r < below + rows:
-            raise ArithmeticError("sketch bracket missed its rank")
-        if rows >= s.rows and s.low is not None:
-            span_rows = rows  # no progress possible: accept this span as it is
-        keep.append(_Span(s.key, edges[2 * j], edges[2 * j + 1], below, rows, [r]))
-    return keep
-
-
-def _pick(df, values, spans) -> dict[tuple[int, int], float]:
-    if not spans:
+    return [math.floor(at), math.ceil(at)]
+
+
+def _brackets(df, values, probs) -> list[list[Interval]]:
+    """Disjoint intervals per expression that hold the wanted order statistics."""
+    shares = [sorted({min(max(p + d, 0.0), 1.0) for p in ps for d in (-SLACK, SLACK)}) for ps in probs]
+    row = df.agg(*[F.struct(F.min(v).alias("low"), F.max(v).alias("high"),
+                            F.percentile_approx(v, s, SKETCH_ACCURACY).alias("at"))
+                   for v, s in zip(values, shares)]).first()
+    out = []
+    for cell, s, ps in zip(row, shares, probs):
+        if cell["low"] is None:
+            out.append([])
+            continue
+        at = dict(zip(s, cell["at"])) | {0.0: cell["low"], 1.0: cell["high"]}
+        spans = sorted((at[max(p - SLACK, 0.0)], at[min(p + SLACK, 1.0)]) for p in ps)
+        merged = [spans[0]]
+        for low, high in spans[1:]:
+            if low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        out.append(merged)
+    return out
+
+
+def _grouped(df, values, brackets) -> DataFrame:
+    """``(key, slot, v, n)``: even slots count the rows between intervals (v null),
+    odd slots hold the distinct values inside an interval. Without intervals all
+    values are in slot 1."""
+    cells = []
+    for i, (v, intervals) in enumerate(zip(values, brackets)):
+        slot, inside = F.lit(1), v
+        if intervals:
+            slot, inside = F, F.lit(None).cast("double")
+            for j, (low, high) in enumerate(intervals):
+                slot = slot.when(v < low, F.lit(2 * j)).when(v <= high, F.lit(2 * j + 1))
+                inside = F.when((v >= low) & (v <= high), v).otherwise(inside)
+            slot = slot.otherwise(F.lit(2 * len(intervals)))
+        cells.append(F.struct(F.lit(i).alias("key"), F.when(v.isNotNull(), slot).alias("slot"),
+                              inside.alias("v")))
+    long = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    return (long.where(F.col("slot").isNotNull()).groupBy("key", "slot", "v")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def _pick(grouped: DataFrame, wanted: Sequence[Sequence[int]]) -> dict[tuple[int, int], float]:
+    """Values at the wanted 0-based ranks, as ``(key, rank) -> value``."""
+    slots: dict[int, list[tuple[int, int]]] = {}
+    for r in grouped.groupBy("key", "slot").agg(F.sum("n").alias("n")).collect():
+        slots.setdefault(r["key"], []).append((r["slot"], r["n"]))
+    asked: dict[tuple[int, int], list[int]] = {}
+    start: dict[tuple[int, int], int] = {}
+    for key, sizes in slots.items():
+        below = 0
+        for slot, n in sorted(sizes):
+            start[(key, slot)] = below
+            hits = [r - below for r in wanted[key] if below <= r < below + n]
+            if hits and slot % 2:
+                asked[(key, slot)] = hits
+            below += n
+    if not asked:
         return {}
-    cells = F.array(*[F.struct(F.lit(i).alias("span"), s.cut(values[s.key]).alias("v"))
-                      for i, s in enumerate(spans)])
-    inside = F.filter(cells, lambda c: c["v"].isNotNull())
-    grouped = (df.select(F.explode(inside).alias("c")).select("c.span", "c.v")
-               .groupBy("span", "v").count())
-    upto = F.sum("count").over(Window.partitionBy("span").orderBy("v")
-                               .rowsBetween(Window.unboundedPreceding, 0))
-    wanted = F.element_at(
-        F.array(*[F.array(*[F.lit(r - s.below).cast("long") for r in s.ranks]) for s in spans]),
-        F.col("span") + 1)
-    hit = F.filter(wanted, lambda r: (r >= F.col("upto") - F.col("count")) & (r < F.col("upto")))
-    rows = (grouped.withColumn("upto", upto)
-            .select("span", "v", F.explode(hit).alias("r")).collect())
-    return {(spans[row["span"]].key, row["r"] + spans[row["span"]].below): row["v"]
-            for row in rows}
+    spots = grouped.sparkSession.createDataFrame(
+        [(k, s, r) for (k, s), ranks in asked.items() for r in ranks], "k int, s int, r long")
+    ranked = running_before(grouped.where(F.col("v").isNotNull()), "v", ["n"], ["key", "slot"])
+    hit = ranked.join(F.broadcast(spots), (F.col("key") == F.col("k")) & (F.col("slot") == F.col("s"))
+                      & (F.col("r") >= F.col("n_before")) & (F.col("r") < F.col("n_before") + F.col("n")))
+    return {(row["key"], row["r"] + start[(row["key"], row["slot"])]): row["v"]
+            for row in hit.select("key", "slot", "r", "v").collect()}

@@ -21,6 +21,14 @@ BUCKET_ROWS = 250_000
 TEXT_EDGES = 255
 
 
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows of the largest group, from partial counts."""
+    if not by:
+        return df.count()
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    return sizes.agg(F.max("__n")).first()[0] or 0
+
+
 def hash_order(id_col: str, seed: Column | int) -> Column:
     """Shuffle key of a row: depends on nothing but the seed and the id."""
     seed = F.lit(seed) if isinstance(seed, int) else seed
@@ -32,12 +40,14 @@ def hash_rank(df: DataFrame, id_col: str, seed: Column | int, by: Sequence[str]
               bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """0-based position of each row in hash order, inside each ``by`` group.
 
+    ``rows`` is the size of the largest group, counted here unless given.
+
     Hash prefixes are uniform, so they cut even one group that holds most rows
     into equal ordered buckets.
     """
-    rows = df.count() if rows is None else rows
-    digits = max(0, math.ceil(math.log(max(rows, 1) / bucket_rows, 16)))
     by = list(by)
+    rows = largest_group(df, by) if rows is None else rows
+    digits = max(0, math.ceil(math.log(max(rows, 1) / bucket_rows, 16)))
     keyed = df.withColumn("__h", hash_order(id_col, seed))
     if not digits:
         w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -63,7 +73,7 @@ def running_before(grouped: DataFrame, order: str, sums: Sequence[str], by: Sequ
     no single value can be hot.
     """
     by = list(by)
-    n = grouped.count()
+    n = largest_group(grouped, by)
     if n <= bucket_rows:
         w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(order)
         return grouped.withColumns(

@@ -31,13 +31,18 @@ class Block:
     max_features: int
     min_df: int
 
-    def explode(self, df: DataFrame, id_col: str, text: str) -> DataFrame:
-        """``(id, term)``, one row per occurrence."""
+    def counts(self, df: DataFrame, id_col: str, text: str) -> DataFrame:
+        """``(id, term, tf)`` of texts that are partitioned by ``id_col``."""
         filled = F.coalesce(F.col(text), F.lit(""))
-        if self.kind == "char":
-            return df.select(id_col, F.explode(X.char_grams(filled, self.low, self.high)).alias("term"))
+        if self.kind == "char":  # runs stay inside words: cut each distinct word of a text once
+            words = (df.select(id_col, F.explode(X.spaced_words(F.lower(filled))).alias("w"))
+                     .groupBy(id_col, "w").agg(F.count(F.lit(1)).alias("c"))
+                     .select(id_col, X.pad(F.col("w")).alias("w"), "c"))
+            terms = words.select(id_col, "c", F.explode(X.word_grams(F.col("w"), self.low, self.high)).alias("term"))
+            return terms.groupBy(id_col, "term").agg(F.sum("c").alias("tf"))
         tokens = df.select(id_col, X.word_tokens(filled).alias("__t"))
-        return tokens.select(id_col, F.explode(X.grams("__t", self.low, self.high)).alias("term"))
+        terms = tokens.select(id_col, F.explode(X.grams("__t", self.low, self.high)).alias("term"))
+        return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 WORDS = Block("word", "word", *fixed.WORD_GRAMS, fixed.WORD_MAX_FEATURES, fixed.WORD_MIN_DF)
@@ -48,8 +53,7 @@ PROFILE_WORDS = Block("word", "word", *fixed.PROFILE_GRAMS, fixed.PROFILE_MAX_FE
 
 def term_counts(df: DataFrame, id_col: str, text: str, block: Block) -> DataFrame:
     """``(id, term, tf)``."""
-    return (block.explode(df.select(id_col, text).repartition(id_col), id_col, text)
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    return block.counts(df.select(id_col, text).repartition(id_col), id_col, text)
 
 
 def vocabulary(counts: DataFrame, block: Block, n_rows: int) -> DataFrame:

@@ -67,10 +67,10 @@ def test_quantiles_narrowed_and_plain(spark):
     x = df.toPandas()["x"].dropna().to_numpy()
     probs = [0.0, 0.1, 0.333, 0.5, 0.9, 1.0]
     want = np.quantile(x, probs)
-    for rows in (10, 100, 10_000):
-        got = exact_quantiles(df, {"x": (F.col("x"), probs)}, span_rows=rows)["x"]
+    for cells in (10, 10_000):
+        got = exact_quantiles(df, {"x": (F.col("x"), probs)}, direct_cells=cells)["x"]
         assert np.allclose(got, want, rtol=0, atol=1e-12)
-    tied = exact_quantiles(df, {"y": (F.col("y"), probs)}, span_rows=50)["y"]
+    tied = exact_quantiles(df, {"y": (F.col("y"), probs)}, direct_cells=50)["y"]
     assert np.allclose(tied, np.quantile(df.toPandas()["y"], probs))
     assert exact_quantiles(df, {"n": (F.lit(None).cast("double"), [0.5])})["n"] == [None]
 

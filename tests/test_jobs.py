@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +17,8 @@ from foldwise.streaming.features import transform_stream
 
 def test_train_then_score_gives_the_same_predictions(spark, tables, tmp_path):
     train, test = written(tables.applicants("train")), written(tables.applicants("test"))
-    run = train_plan.train(SPEC, train, test, f"{tmp_path}/run", TINY, ("boosted", "ridge"), blocks=SMALL_BLOCKS)
+    budget = replace(TINY, text_meta=True)
+    run = train_plan.train(SPEC, train, test, f"{tmp_path}/run", budget, ("boosted", "ridge"), blocks=SMALL_BLOCKS)
     again = score_plan.score(spark, f"{tmp_path}/run", test)
     both = run.submission.withColumnRenamed("score", "a").join(again, "student_id").toPandas()
     assert len(both) == test.count() and np.allclose(both["a"], both["score"], atol=1e-6)
