@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm import packing, tokenfiles
+from foldwise.llm import jaccard, packing, tokenfiles
 from foldwise.llm.common import Scratch, only, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,9 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids packed into windows of 1024 in the proportions of the sources."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), "joined", end_id=0)
+
+
+@query
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the size of its shingle set and the smallest document it is linked with."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
