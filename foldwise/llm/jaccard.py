@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from foldwise.llm import shared
 from foldwise.llm.common import Scratch, only, pieces, utf8
-from foldwise.llm.units import linked
+from foldwise.llm.units import clusters, linked
 from foldwise.llm.words import distinct, shingles, signatures, word_hashes
 
 CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 1 << 16  # text and rows that are gathered before they are sent
@@ -93,7 +93,7 @@ def join(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
         F.min("uid").alias("rep"), F.min("doc_id").alias("first")), "classes")
     items = scratch.keep(sets.where("tokens is not null").select("uid", "n", "keys", "tokens").join(
         classes.select("rep"), F.col("uid") == F.col("rep"), "left_semi"), "items")
-    of = linked(items, scratch, "docs", percent, ordered=True)
+    of = linked(clusters(items, scratch, "docs"), items, scratch, "docs", percent, ordered=True)
     met = classes.join(of, F.col("rep") == F.col("node"))
     smallest = met.groupBy("root").agg(F.min("first").alias("component"))
     met = met.join(smallest, "root").select(F.col("rep").alias("r"), "component")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm import jaccard, packing, tokenfiles
+from foldwise.llm import jaccard, packing, passages, tokenfiles
 from foldwise.llm.common import Scratch, only, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the size of its shingle set and the smallest document it is linked with."""
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph that repeats another, with the one that is kept."""
+    return passages.repeated(table(spark, sf_dir, "documents"))

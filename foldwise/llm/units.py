@@ -102,27 +102,30 @@ def _linked(percent: int, ordered: bool) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def linked(items: DataFrame, scratch: Scratch, name: str, percent: int, ordered: bool) -> DataFrame:
-    """``node, root`` of the items linked, directly or by way of others, by a Jaccard similarity of ``percent`` or more.
-
-    ``items`` is a stored table ``uid, n, keys, tokens``: size of the whole set, candidate keys and tokens (64-bit, packed). With
-    ``ordered``, both stand in one global order, keys are the first of the tokens, and the n - len(tokens) elements that are not in
-    ``tokens`` come before all of them and are held by nobody else.
-    """
+def clusters(items: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``uid, label`` of the items of a stored table ``uid, keys`` that share a key with another; keys are packed 64-bit numbers."""
     postings = items.select("uid", "keys").mapInArrow(_postings, "token long, uid long")
     leads = (postings.groupBy("token").agg(F.min("uid").alias("lead"), F.max("uid").alias("last"))
              .where("lead < last").select(F.col("token").alias("t"), "lead"))
     edges = postings.join(leads, F.col("token") == F.col("t")).select(F.col("uid").alias("a"), F.col("lead").alias("b"))
-    labels = components(edges, scratch, f"{name}-clusters")
-    members = labels.select(F.col("node").alias("uid"), F.col("root").alias("label"))
-    weighed = members.join(items.select("uid", (F.octet_length("tokens") + F.octet_length("keys")).alias("bytes")), "uid")
+    return components(edges, scratch, f"{name}-clusters").select(F.col("node").alias("uid"), F.col("root").alias("label"))
+
+
+def linked(labels: DataFrame, items: DataFrame, scratch: Scratch, name: str, percent: int, ordered: bool) -> DataFrame:
+    """``node, root`` of the items linked, directly or by way of others, by a Jaccard similarity of ``percent`` or more.
+
+    ``items`` is a stored table ``uid, n, keys, tokens``: size of the whole set, candidate keys and tokens (64-bit, packed);
+    ``labels`` are their clusters. With ``ordered``, keys and tokens stand in one global order, keys are the first of the tokens,
+    and the n - len(tokens) elements that are not in ``tokens`` come before all of them and are held by nobody else.
+    """
+    weighed = labels.join(items.select("uid", (F.octet_length("tokens") + F.octet_length("keys")).alias("bytes")), "uid")
     sizes = weighed.groupBy("label").agg(F.count("*").alias("items"), F.sum("bytes").alias("bytes"))
     sizes = scratch.keep(sizes.select("label", "items", F.greatest(
         F.ceil(F.col("items") / UNIT_ITEMS), F.ceil(F.col("bytes") / UNIT_BYTES)).alias("parts")), f"{name}-sizes")
     small = sizes.where("parts = 1").agg(F.sum("items")).first()[0] or 0
     units = -(-small // UNIT_ITEMS) or 1
     # a cut cluster has blocks of half a unit, so that two of them make a unit
-    placed = (members.join(sizes.select("label", "parts"), "label")
+    placed = (labels.join(sizes.select("label", "parts"), "label")
               .withColumn("blocks", F.when(F.col("parts") == 1, 1).otherwise(2 * F.col("parts")).cast("int"))
               .withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
