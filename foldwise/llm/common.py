@@ -74,13 +74,15 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds about ``limit`` bytes of text, or one row that is longer."""
+def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4 << 20,
+           rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds at most ``rows`` rows and about ``limit`` bytes of text, or one row that is longer."""
     for batch in batches:
         ends = utf8(batch.column(text))[1]
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
+            to = min(to, at + rows)
             yield batch.slice(at, to - at)
             at = to
 

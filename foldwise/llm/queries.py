@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm import jaccard, packing, passages, tokenfiles
+from foldwise.llm import jaccard, language, packing, passages, quality, tokenfiles
 from foldwise.llm.common import Scratch, only, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,28 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every paragraph that repeats another, with the one that is kept."""
     return passages.repeated(table(spark, sf_dir, "documents"))
+
+
+def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str) -> quality.Model:
+    """Learned from the labels of documents that are not held out."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return quality.fit(only(docs, doc_id="doc_id", text="text"), labels.where(quality.fold("doc_id", 3) != 1))
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality by its compressed sizes."""
+    docs = only(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    scored = quality.score(docs, quality_model(docs, spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(quality.fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+                         F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by its nearest centroid."""
+    docs = only(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang")
+    model = language.fit(docs.where(quality.fold("doc_id", 5) != 0))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(quality.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score", "rejected")
