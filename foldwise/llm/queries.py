@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm import jaccard, language, packing, passages, quality, tokenfiles
+from foldwise.llm import digest, jaccard, language, packing, passages, quality, tokenfiles
 from foldwise.llm.common import Scratch, only, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", F.coalesce(quality.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
                         "lang_pred", "score", "rejected")
+
+
+@query
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document and of its edited text."""
+    return digest.compare(table(spark, sf_dir, "documents"))
