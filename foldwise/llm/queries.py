@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm import digest, jaccard, language, packing, passages, quality, tokenfiles
+from foldwise.llm import digest, jaccard, language, packing, passages, quality, tokenfiles, topk
 from foldwise.llm.common import Scratch, only, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,21 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document and of its edited text."""
     return digest.compare(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners, by inner product, of every fiftieth vector among all others."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), topk.integers("embedding", 256.0).alias("v"))
+    return topk.top_k(vectors.where("id % 50 = 0"), vectors, 5)
+
+
+SQL["op6_exact_top_k"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+long AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM usable),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM long q JOIN long c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
