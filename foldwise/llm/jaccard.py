@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.llm import shared
@@ -34,20 +34,20 @@ def _sent(size: int, bits: int):
         base, held, held_bytes = TaskContext.get().partitionId() << 40, [], 0
 
         def chunk():
-            doc_id, known, values, sizes = (np.concatenate(c) for c in zip(*held))
+            doc_id, known, text, values, sizes = (np.concatenate(c) for c in zip(*held))
             one, two = signatures(values, sizes)
             _, first = np.unique(np.stack([one, two, sizes.astype(np.uint64)]), axis=1, return_index=True)
             is_first = np.zeros(len(sizes), bool)
             is_first[first] = True
             sent = np.where(is_first, sizes, 0)
-            note = np.stack([doc_id, known, sizes, one.view(np.int64), two.view(np.int64)]).astype(np.int64)
+            note = np.stack([doc_id, known, text, sizes, one.view(np.int64), two.view(np.int64)]).astype(np.int64)
             return shared.send(base, sent, values[np.repeat(is_first, sizes)], bits, note.tobytes())
 
         for batch in pieces(batches):
             ids = batch.column("doc_id").cast(pa.int64())
             data, offsets = utf8(batch.column("text"))
             hashes, _, counts = word_hashes(data, offsets)
-            held.append((ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_valid().to_numpy(zero_copy_only=False),
+            held.append((*(c.to_numpy(zero_copy_only=False) for c in (ids.fill_null(0), ids.is_valid(), batch.column("text_hash"))),
                          *distinct(*shingles(hashes, counts, size))))
             held_bytes += len(data)
             rows = sum(len(h[0]) for h in held)
@@ -60,12 +60,12 @@ def _sent(size: int, bits: int):
 
 
 def _sets(percent: int):
-    schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("one", pa.int64()),
+    schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("one", pa.int64()),
                         ("two", pa.int64()), ("keys", pa.binary()), ("tokens", pa.binary())])
 
     def run(chunk: pa.Table) -> pa.Table:
         note, owner, token, _ = shared.gathered(chunk)
-        doc_id, known, n, one, two = np.frombuffer(note, np.int64).reshape(5, -1)
+        doc_id, known, text, n, one, two = np.frombuffer(note, np.int64).reshape(6, -1)
         m = len(n)
         here = np.bincount(owner, minlength=m)
         prefix = n + percent * n // -100 + 1 - (n - here)  # of the shared tokens; the others come first
@@ -75,22 +75,24 @@ def _sets(percent: int):
             row = token[ends[i] - here[i]:ends[i]]
             keys[i], tokens[i] = row[:prefix[i]].tobytes(), row.tobytes()
         base = chunk["base"][0].as_py()
-        return pa.table([base + np.arange(m), pa.array(doc_id, mask=known == 0), n, one, two,
+        return pa.table([base + np.arange(m), pa.array(doc_id, mask=known == 0), text, n, one, two,
                          pa.array(keys, pa.binary()), pa.array(tokens, pa.binary())], schema=schema)
     return run
 
 
-def join(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of ``docs(doc_id, text)``: the smallest doc_id reachable by links."""
+def _components(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """Per document doc_id, text_hash, n and the component: its smallest doc_id and the text_hash of the one that stays."""
     scratch = Scratch(docs.sparkSession)
-    docs = only(docs, doc_id="doc_id", text="text")
+    docs = only(docs, doc_id="doc_id", text="text").withColumn("text_hash", F.xxhash64("text"))
     letters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = shared.bucket_bits(letters // 6)
     packets = docs.mapInArrow(_sent(size, bits), shared.PACKET)
     sets = scratch.keep(shared.answers(packets, bits).groupBy("base").applyInArrow(
-        _sets(percent), "uid long, doc_id long, n long, one long, two long, keys binary, tokens binary"), "sets")
+        _sets(percent), "uid long, doc_id long, text_hash long, n long, one long, two long, keys binary, tokens binary"), "sets")
+    # null ids come after all others, and of a repeated id the smallest text_hash first
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash")))
     classes = scratch.keep(sets.where("n > 0").groupBy("n", "one", "two").agg(
-        F.min("uid").alias("rep"), F.min("doc_id").alias("first")), "classes")
+        F.min("uid").alias("rep"), first.alias("first")), "classes")
     items = scratch.keep(sets.where("tokens is not null").select("uid", "n", "keys", "tokens").join(
         classes.select("rep"), F.col("uid") == F.col("rep"), "left_semi"), "items")
     of = linked(clusters(items, scratch, "docs"), items, scratch, "docs", percent, ordered=True)
@@ -100,6 +102,26 @@ def join(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     classes = classes.join(met, F.col("rep") == F.col("r"), "left").select(
         F.col("n").alias("cn"), F.col("one").alias("c1"), F.col("two").alias("c2"),
         F.coalesce("component", "first").alias("component"))
-    return sets.select("doc_id", "n", "one", "two").join(
+    return sets.select("doc_id", "text_hash", "n", "one", "two").join(
         classes, (F.col("n") == F.col("cn")) & (F.col("one") == F.col("c1")) & (F.col("two") == F.col("c2")), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        "doc_id", "text_hash", "n", "component")
+
+
+def join(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of ``docs(doc_id, text)``: the smallest doc_id reachable by links."""
+    return _components(docs, percent, size).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component.doc_id", "doc_id").alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """``docs`` with one document of each component: the first by doc_id, null ids last. Documents without words all stay."""
+    found = _components(docs, percent, size)
+    stays = found.where((F.col("n") == 0) | (F.col("doc_id").eqNullSafe(F.col("component.doc_id"))
+                                             & (F.col("text_hash") == F.col("component.text_hash"))))
+    stays = stays.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), (F.col("n") > 0).alias("_linked")).distinct()
+    kept = docs.withColumn("_hash", F.xxhash64("text")).join(
+        stays, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")))
+    # rows alike in doc_id and text stay once if they have words
+    copies = Window.partitionBy("doc_id", "_hash").orderBy(F.lit(0))
+    return kept.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1 or not _linked").select(
+        *[F.col(f"`{c}`") for c in docs.columns])

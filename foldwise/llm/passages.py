@@ -148,7 +148,8 @@ def _repeated(docs: DataFrame, percent: int) -> DataFrame:
     packets = rows.mapInArrow(_sent(bits), shared.PACKET)
     found = scratch.keep(shared.answers(packets, bits).groupBy("base").applyInArrow(_listed, _PARAGRAPH), "paragraphs")
     classes = scratch.keep(found.groupBy("one", "two").agg(
-        F.min("uid").alias("rep"), F.count("*").alias("copies")), "classes")
+        F.min("uid").alias("rep"), F.count("*").alias("copies"),
+        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("paragraph"), F.col("uid"))).alias("head")), "classes")
     reps = scratch.keep(found.where("keys is not null").join(
         classes.select("rep"), F.col("uid") == F.col("rep"), "left_semi"), "reps")
     labels = clusters(reps, scratch, "paragraphs")
@@ -159,14 +160,13 @@ def _repeated(docs: DataFrame, percent: int) -> DataFrame:
     items = scratch.keep(texts.select("text", "wanted").mapInArrow(
         _shingled, "uid long, n long, keys binary, tokens binary").dropDuplicates(["uid"]), "items")
     of = linked(labels, items, scratch, "paragraphs", percent, ordered=False)
-    grouped = classes.join(of, F.col("rep") == F.col("node"), "left").select(
-        F.col("one").alias("c1"), F.col("two").alias("c2"), "copies", F.coalesce("root", "rep").alias("component"))
-    members = found.drop("keys").join(grouped, (F.col("one") == F.col("c1")) & (F.col("two") == F.col("c2")))
-    heads = members.groupBy("component").agg(
-        F.count("*").alias("members"),
-        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("paragraph"), F.col("uid"))).alias("head"))
-    heads = heads.where("members > 1").select(F.col("component").alias("c"), "members", "head")
-    return members.join(heads, F.col("component") == F.col("c")).select(
+    grouped = scratch.keep(classes.join(of, F.col("rep") == F.col("node"), "left").select(
+        F.col("one").alias("c1"), F.col("two").alias("c2"), "copies", "head",
+        F.coalesce("root", "rep").alias("component")), "grouped")
+    heads = (grouped.groupBy("component").agg(F.sum("copies").alias("members"), F.min("head").alias("head"))
+             .where("members > 1").select(F.col("component").alias("c"), "members", "head"))
+    placed = grouped.drop("head").join(heads, F.col("component") == F.col("c"))
+    return found.drop("keys").join(placed, (F.col("one") == F.col("c1")) & (F.col("two") == F.col("c2"))).select(
         "doc_id", "text_hash", "paragraph", "n_words", F.col("members").alias("n_members"),
         F.col("head.doc_id").alias("kept_doc_id"), F.col("head.paragraph").alias("kept_paragraph"),
         (F.col("uid") != F.col("head.uid")).alias("removed"))

@@ -118,8 +118,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(good, bad, *_curve(np.array([r["x"] for r in by]), np.array([r["label"] for r in by], float)), 0.0)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a further column ``quality_score`` from 0 to 1, from ``text`` alone."""
+def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
+    """``docs`` with a further column, named ``name``, from 0 to 1, from ``text`` alone."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,9 +131,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 x = (sizes.features(batch.column("text").fill_null("").to_pylist()) - model.mean) / model.scale
                 x = np.clip(x, -8, 8)
                 value = 1 / (1 + np.exp(-np.clip(x @ model.weights[1:] + model.weights[0], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("quality_score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm import digest, jaccard, language, packing, passages, quality, tokenfiles, topk
+from foldwise.llm import digest, jaccard, language, mixture, packing, passages, quality, tokencount, tokenfiles, topk
 from foldwise.llm.common import Scratch, only, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,42 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.x * c.x)
   FROM long q JOIN long c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of words and of tokens under a unigram model."""
+    return tokencount.counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op9_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix in the proportions 5, 2, 1 takes."""
+    return mixture.mix(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+SQL["op9_source_mixture"] = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':mix')) AS h FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS w
+  FROM sized GROUP BY source),
+levels AS (
+  SELECT 0 AS turn, 0.0::DOUBLE AS level
+  UNION ALL
+  SELECT turn + 1, (SELECT (1.5 * sum(source_size)::DOUBLE - 2.0 * coalesce(sum(source_size) FILTER (2.0 * source_size <= w * level), 0)::DOUBLE)
+    / sum(w) FILTER (2.0 * source_size > w * level) FROM sources)
+  FROM levels WHERE turn < 40),
+targets AS (
+  SELECT source, source_size, least(2.0::DOUBLE * source_size, w * (SELECT max(level) FROM levels)) AS target FROM sources),
+queued AS (
+  SELECT s.*, t.source_size, t.target,
+    sum(size) OVER (PARTITION BY s.source ORDER BY h ROWS UNBOUNDED PRECEDING) - size AS pos
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+parts AS (
+  SELECT *, CAST(floor(target) AS BIGINT) // greatest(source_size, 1) AS rounds,
+    CAST(floor(target) AS BIGINT) % greatest(source_size, 1) AS rest FROM queued)
+SELECT doc_id, size, source_size, target,
+  CAST(rounds * size + greatest(0, least(pos + size, rest) - pos) AS BIGINT) AS taken FROM parts"""
