@@ -10,7 +10,7 @@ from foldwise.catalog.bind import WITH_APPLICANTS, WITH_CASES
 from foldwise.catalog.rowwise import NUMERIC, TRAIN_SQL, r6
 from foldwise.catalog.sqltext import (MODELS, TRAIN_CASES, WEIGHT_CTES, WITH_PREDS)
 from foldwise.functions.rows import rounded
-from foldwise.operators import encode, features, folds, metrics, profile, quantiles
+from foldwise.operators import cross, encode, features, folds, metrics, profile, quantiles
 from foldwise.scratch import written
 
 METRIC_SQL = {"mse": "avg((y - pred) * (y - pred))", "rmse": "sqrt(avg((y - pred) * (y - pred)))",
@@ -296,12 +296,12 @@ def _(t):
 
 
 @query("g02_union_of_fold_outputs", f"""{WITH_PREDS}
-  SELECT row_id, {r6("pred")} AS pred FROM preds WHERE repeat = 0 AND model = 'by_group'""")
+  SELECT row_id, repeat, model, {r6("pred")} AS pred FROM preds""")
 def _(t):
-    from functools import reduce
-    preds = written(t.predictions().where("repeat = 0 AND model = 'by_group'"))
-    parts = [preds.where(F.col("fold") == k).select("row_id", "pred") for k in range(5)]
-    return all_rounded(reduce(lambda a, b: a.unionByName(b), parts))
+    preds = written(t.predictions())
+    parts = [preds.where((F.col("fold") == k) & (F.col("model") == m)).select("row_id", "repeat", "model", "pred")
+             for m in MODELS for k in range(5)]
+    return all_rounded(cross.union(parts))
 
 
 @query("a05_a10_prediction_table_with_external", f"""{WITH_PREDS},

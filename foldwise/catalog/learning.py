@@ -90,11 +90,11 @@ def two_column_ridge(t):
 
 
 @query("m06_ridge_two_columns", f"""{TRAIN_CASES}, {RIDGE}
-  SELECT row_id, {r6("mt + cb * (bal - mb) + cy * (yr - my)", 3)} AS pred FROM cases, m, k""")
+  SELECT row_id, {r6("mt + cb * (bal - mb) + cy * (yr - my)")} AS pred FROM cases, m, k""")
 def _(t):
     model = two_column_ridge(t)
     df = t.cases().withColumn("features", learners.Inputs(["bal", "yr"], {}).vector())
-    return model.transform(df).select("row_id", rounded("prediction", 3).alias("pred"))
+    return model.transform(df).select("row_id", rounded("prediction").alias("pred"))
 
 
 @query("m04_m05_m07_m08_learner_registry")
@@ -211,7 +211,7 @@ def _(t):
 
 def text_ridge(alpha, rounds=30, id_col="doc_id"):
     def build(fit):
-        model = learners.fit_ridge(fit, "y", alpha, rounds=rounds)
+        model = learners.fit_ridge(fit, "y", alpha, solver="iterative", rounds=rounds)
         return lambda rows: model.transform(rows).select(id_col, F.col("prediction").alias("value"))
     return build
 

@@ -57,16 +57,19 @@ def _(t):
 
 
 @query("m03_fold_view_with_nested_columns", f"""{NESTED}, {te_sql("grp", "tg")}, {te_sql("dept", "td")}
-  SELECT row_id, CAST(tg.inner_j = -1 AS INT) AS held,
+  SELECT row_id, outer_k AS fold, CAST(tg.inner_j = -1 AS INT) AS held,
     {r6("(tg.s + tg.ps / tg.pn * 20) / (tg.n + 20)")} AS te_grp,
     {r6("(td.s + td.ps / td.pn * 20) / (td.n + 20)")} AS te_dept
-  FROM tg JOIN td USING (row_id, outer_k) WHERE outer_k = 2""")
+  FROM tg JOIN td USING (row_id, outer_k)""")
 def _(t):
     nested = nested_rows(t)
     dyn = cross.dynamic_table({f"te_{c}": encode.nested_means(nested, "row_id", c, "y")
                                for c in ("grp", "dept")}, "row_id")
     static = nested.select("row_id", "fold").distinct()
-    train, held = cross.fold_view(static, dyn, "row_id", 2, ["te_grp", "te_dept"])
-    both = train.withColumn("held", F.lit(0)).unionByName(held.withColumn("held", F.lit(1)))
-    return both.select("row_id", "held", rounded("te_grp").alias("te_grp"),
-                       rounded("te_dept").alias("te_dept"))
+    views = []
+    for k in range(5):
+        train, held = cross.fold_view(static, dyn, "row_id", k, ["te_grp", "te_dept"])
+        both = train.withColumn("held", F.lit(0)).unionByName(held.withColumn("held", F.lit(1)))
+        views.append(both.select("row_id", F.lit(k).alias("fold"), "held", rounded("te_grp").alias("te_grp"),
+                                 rounded("te_dept").alias("te_dept")))
+    return cross.union(views)

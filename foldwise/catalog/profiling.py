@@ -9,14 +9,11 @@ from foldwise.catalog import query
 from foldwise.catalog.aggregates import all_rounded
 from foldwise.catalog.bind import WITH_APPLICANTS
 from foldwise.catalog.rowwise import NUMERIC, TRAIN_SQL
-from foldwise.catalog.sqltext import r6
+from foldwise.catalog.sqltext import WITH_PREDS, r6
 from foldwise.functions.rows import rounded
-from foldwise.operators import folds, profile
+from foldwise.operators import folds, metrics, profile
 
-COLS = ["project_quality_score", "technical_interview_score", "portfolio_score", "github_avg_stars",
-        "communication_score", "cgpa", "applications_sent", "internship_count"]
-BOUNDED = ["cgpa", "coding_score", "sql_score", "presentation_score", "applications_sent",
-           "github_avg_stars"]
+COLS = NUMERIC
 
 
 def per_column(cols, cells, src="train"):
@@ -48,10 +45,10 @@ def _(t):
     return all_rounded(profile.null_table(t.applicants("train"), NUMERIC + ["department", "feedback"]))
 
 
-@query("p03_duplicate_rows", f"""WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)
+@query("p03_duplicate_rows", f"""WITH g AS (SELECT *, count(*) AS n FROM (SELECT * EXCLUDE (doc_id) FROM documents) GROUP BY ALL)
   SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates, {r6("sum(n - 1) / sum(n)::DOUBLE")} AS ratio FROM g""")
 def _(t):
-    return all_rounded(profile.duplicate_rows(t("lineitem"), ["l_orderkey", "l_linenumber"]))
+    return all_rounded(profile.duplicate_rows(t("documents").drop("doc_id")))
 
 
 RULES = {"graduation_after_application": "graduation_year > application_year",
@@ -104,6 +101,15 @@ def _(t):
     return all_rounded(profile.correlation_matrix(t.applicants("train"), COLS))
 
 
+@query("p07_strongest_pairs", f"""{TRAIN_SQL}, m AS ({" UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, {r6(f'corr({a}, {b})')} AS r FROM train" for a, b in PAIRS)}),
+  s AS (SELECT *, CASE WHEN r > 0 THEN 'positive' ELSE 'negative' END AS side FROM m WHERE isfinite(r) AND r <> 0)
+  SELECT a, b, r, side, CAST(row_number() OVER (PARTITION BY side ORDER BY abs(r) DESC, a, b) AS INT) AS place FROM s
+  QUALIFY row_number() OVER (PARTITION BY side ORDER BY abs(r) DESC, a, b) <= 10""")
+def _(t):
+    return profile.strongest_pairs(all_rounded(profile.correlation_matrix(t.applicants("train"), COLS)))
+
+
 def spearman_sql(c):
     return f"""SELECT '{c}' AS name, {r6("corr(rx, ry)")} AS rho FROM (
     SELECT (rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0)::DOUBLE AS rx,
@@ -140,7 +146,7 @@ def _(t):
 
 @query("p10_inflation_factors")
 def _(t):
-    return all_rounded(profile.inflation_factors(t.applicants("train"), BOUNDED), digits=4)
+    return all_rounded(profile.inflation_factors(t.applicants("train"), COLS), digits=4)
 
 
 def mi_bin(c):
@@ -167,8 +173,9 @@ def _(t):
     return made.select("student_id", rounded("rank").alias("rank"))
 
 
-@query("v07_actual_against_predicted", f"""{TRAIN_SQL}
-  SELECT CAST(floor(score / 5) AS INT) AS cell, count(*) AS n, {r6("avg(project_quality_score)")} AS mean_pred FROM train GROUP BY 1""")
+@query("v07_actual_against_predicted", f"""{WITH_PREDS}, oof AS (SELECT row_id, model, max(y) AS y, avg(pred) AS pred FROM preds GROUP BY 1, 2)
+  SELECT model, CAST(floor(y / 5) AS INT) AS cell, count(*) AS n, {r6("avg(y)")} AS mean_actual, {r6("avg(pred)")} AS mean_pred,
+    {r6("stddev_samp(pred)")} AS sd_pred FROM oof GROUP BY 1, 2""")
 def _(t):
-    df = t.applicants("train").groupBy(F.floor(F.col("score") / 5).cast("int").alias("cell"))
-    return all_rounded(df.agg(F.count(F.lit(1)).alias("n"), F.avg("project_quality_score").alias("mean_pred")))
+    means = metrics.mean_predictions(t.predictions(), ["row_id", "model", "y"])
+    return all_rounded(profile.actual_against_predicted(means, by=["model"]))

@@ -313,7 +313,6 @@ def _(t):
     return df.select("student_id", *[R.rounded(e, 4).alias(n) for n, e in made.items()])
 
 
-B19_COLS = [c for c in NUMERIC]
 
 
 @query("b19_auto_interaction_pairs", f"""{TRAIN_SQL},

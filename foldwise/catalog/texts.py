@@ -114,11 +114,12 @@ def _(t):
 
 @query("h09_unit_vectors", f"""SELECT vec_id,
   {r6("sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))))")} AS norm,
-  {r6("CAST(embedding[1] AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))))")} AS first
-  FROM embeddings""")
+  i, {r6("CAST(embedding[i + 1] AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))))")} AS x
+  FROM (SELECT *, CAST(unnest(range(len(embedding))) AS INT) AS i FROM embeddings)""")
 def _(t):
-    return t("embeddings").select("vec_id", rounded(F.sqrt(V.dot("embedding", "embedding"))).alias("norm"),
-                                  rounded(F.get(V.unit("embedding"), F.lit(0))).alias("first"))
+    made = t("embeddings").select("vec_id", rounded(F.sqrt(V.dot("embedding", "embedding"))).alias("norm"),
+                                  F.posexplode(V.unit("embedding")).alias("i", "x"))
+    return made.withColumn("x", rounded("x"))
 
 
 @query("t01_lexicon_features", f"""{WITH_APPLICANTS} SELECT student_id, {", ".join(

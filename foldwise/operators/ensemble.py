@@ -264,30 +264,31 @@ def ridge_stack(df: DataFrame, names: Sequence[str], y: str, w: str | None = Non
 
 
 def boosted_stack(df: DataFrame, names: Sequence[str], y: str, w: str | None = None,
-                  rounds: int = 100, seed: int = fixed.SEED) -> Boosted:
+                  rounds: int = 500, step: float = 0.04, seed: int = fixed.SEED) -> Boosted:
     """Shallow trees on the predictions: trust a model in some regimes only."""
     est = GBTRegressor(featuresCol="__f", labelCol=y, predictionCol="__p", maxDepth=2,
-                       maxIter=rounds, stepSize=0.04 if rounds >= 100 else 0.1, seed=seed,
+                       maxIter=rounds, stepSize=step, seed=seed,
                        minInstancesPerNode=10)
     made = df.select(F.col(y).cast("double").alias(y), _vector(names).alias("__f"),
                      *([F.col(w)] if w else []))
     return Boosted(list(names), (est.setWeightCol(w) if w else est).fit(made))
 
 
+#: Combiners by name: ``(rows, model columns, extra columns, target, weight, rounds) -> a combiner``. Add your own here.
+COMBINERS: dict[str, Callable] = {
+    "blend_equal": lambda df, names, extra, y, w, rounds: equal_blend(names),
+    "blend_optimized": lambda df, names, extra, y, w, rounds: convex_blend(moments(df, names, y, w)[()]),
+    "stack_ridge": lambda df, names, extra, y, w, rounds: ridge_stack(df, [*names, *extra], y, w),
+    "stack_boosted": lambda df, names, extra, y, w, rounds: boosted_stack(df, [*names, *extra], y, w, rounds),
+}
+
+
 def fit_combiner(method: str, df: DataFrame, names: Sequence[str], y: str, w: str | None = None,
-                 extra: Sequence[str] = (), rounds: int = 100) -> Linear | Boosted:
-    """Fit the named combiner on all rows."""
+                 extra: Sequence[str] = (), rounds: int = 500) -> Linear | Boosted:
+    """Fit the named combiner on all rows; ``single_<model>`` stands for that model alone."""
     if method.startswith("single_"):
         return single(method.removeprefix("single_"))
-    if method == "blend_equal":
-        return equal_blend(names)
-    if method == "blend_optimized":
-        return convex_blend(moments(df, names, y, w)[()])
-    if method == "stack_ridge":
-        return ridge_stack(df, [*names, *extra], y, w)
-    if method == "stack_boosted":
-        return boosted_stack(df, [*names, *extra], y, w, rounds)
-    raise KeyError(method)
+    return COMBINERS[method](df, names, extra, y, w, rounds)
 
 
 # --------------------------------------------------------------------- referee

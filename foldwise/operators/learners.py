@@ -14,10 +14,12 @@ from typing import Any
 
 import numpy as np
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (FMRegressionModel, FMRegressor, GBTRegressionModel,
                                    GBTRegressor, LinearRegression, LinearRegressionModel,
                                    RandomForestRegressionModel, RandomForestRegressor)
+from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
@@ -28,7 +30,6 @@ from foldwise.operators import features
 from foldwise.operators.quantiles import medians
 
 HOLDOUT = 0.08
-ONE_HOT_LIMIT = 64
 
 
 # ------------------------------------------------------------------------ inputs
@@ -63,13 +64,24 @@ class Inputs:
                 clamp = fixed.STANDARD_CLAMP
                 cell = F.least(F.greatest((cell - F.lit(mean)) / F.lit(sd), F.lit(-clamp)), F.lit(clamp))
             cells.append(cell)
-        for c, n in self.levels.items():
-            code = F.greatest(F.coalesce(F.col(c), F.lit(0)), F.lit(0))  # unseen counts as the first
-            cells += [(code == i).cast("double") for i in range(n)]
-        return array_to_vector(F.array(*cells))
-
-    def apply(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        return df.select(*keep, self.vector().alias("features"))
+        return array_to_vector(F.array(*cells) if cells else F.array().cast("array<double>"))
+
+    def apply(self, df: DataFrame, keep: Sequence) -> DataFrame:
+        """The kept columns and the feature vector; levels are a sparse block as wide as their dictionary."""
+        if not self.levels:
+            return df.select(*keep, self.vector().alias("features"))
+        n = range(len(self.levels))
+        # unseen counts as the first level
+        codes = [F.greatest(F.coalesce(F.col(c), F.lit(0)), F.lit(0)).cast("double").alias(f"__code{i}")
+                 for i, c in enumerate(self.levels)]
+        made = df.select(*keep, self.vector().alias("__plain"), *codes)
+        kept = [c for c in made.columns if c != "__plain" and not c.startswith("__code")]
+        widest = df.sparkSession.createDataFrame([tuple(float(w - 1) for w in self.levels.values())],
+                                                 ", ".join(f"__code{i} double" for i in n))
+        hot = OneHotEncoder(inputCols=[f"__code{i}" for i in n], outputCols=[f"__hot{i}" for i in n],
+                            handleInvalid="keep").fit(widest)
+        joined = VectorAssembler(inputCols=["__plain", *[f"__hot{i}" for i in n]], outputCol="features")
+        return joined.transform(hot.transform(made)).select(*kept, "features")
 
 
 def fit_inputs(df: DataFrame, names: Sequence[str], scaled: bool = False,
@@ -78,7 +90,7 @@ def fit_inputs(df: DataFrame, names: Sequence[str], scaled: bool = False,
     levels = {}
     if scaled and codes:
         row = df.agg(*[F.max(c) for c in codes]).first()
-        levels = {c: min(int(row[i] or 0) + 1, ONE_HOT_LIMIT) for i, c in enumerate(codes)}
+        levels = {c: int(row[i] or 0) + 1 for i, c in enumerate(codes)}
     else:
         plain = list(names)
     mids = medians(df, plain) if mids is None else {c: mids[c] for c in plain}
@@ -175,34 +187,38 @@ class Fitted:
         return scored.select(self.id_col, *keep, (F.col("prediction") * F.lit(self.scale) + F.lit(self.shift)).alias(out))
 
 
-NORMAL_LIMIT = 2048
-
-
-def fit_ridge(df: DataFrame, y: str, alpha: float, weight: str | None = None,
-              features_col: str = "features", rounds: int = 100) -> RidgeModel | LinearRegressionModel:
+def fit_ridge(df: DataFrame, y: str, alpha: float, weight: str | None = None, features_col: str = "features",
+              solver: str = "exact", rounds: int = 500, tol: float = 1e-8) -> RidgeModel | LinearRegressionModel:
     """Least squares plus ``alpha`` times the squared coefficients, intercept free.
 
-    Up to ``NORMAL_LIMIT`` columns one pass sums the products of all columns and
-    the normal equations are solved from those sums. Wider vectors are sparse
-    text: they go to the iterative solver, whose penalty is scaled by the target
-    deviation and the weight sum, which the factor below undoes.
+    ``solver="exact"`` sums the products of all columns in one pass and solves the normal equations from those sums:
+    the choice for table columns. ``"iterative"`` is for sparse text, too wide for a matrix of products; it goes on until
+    its loss changes by less than ``tol``, for ``rounds`` rounds at most. Its penalty is scaled by the target deviation
+    and the weight sum, which the factor below undoes.
     """
-    width = len_of(df, features_col)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    if width <= NORMAL_LIMIT:
-        return _normal_equations(df, y, alpha, w, features_col, width)
+    if solver == "exact":
+        return _normal_equations(df, y, alpha, w, features_col)
+    if solver != "iterative":
+        raise ValueError(solver)
     mean, square, total = df.agg(F.sum(w * F.col(y)) / F.sum(w),
                                  F.sum(w * F.col(y) * F.col(y)) / F.sum(w), F.sum(w)).first()
     deviation = max(square - mean * mean, 0.0) ** 0.5
     est = LinearRegression(featuresCol=features_col, labelCol=y, elasticNetParam=0.0,
                            standardization=False, regParam=alpha * deviation / total,
-                           solver="l-bfgs", maxIter=rounds)
+                           solver="l-bfgs", maxIter=rounds, tol=tol)
     return (est.setWeightCol(weight) if weight else est).fit(df)
 
 
-def _normal_equations(df, y, alpha, w, features_col, width) -> RidgeModel:
-    cells = F.concat(vector_to_array(features_col), F.array(F.col(y).cast("double"), F.lit(1.0)))
+def _normal_equations(df, y, alpha, w, features_col) -> RidgeModel:
+    """Products are summed around the means: columns with a large offset keep their digits."""
+    centre = df.select(Summarizer.mean(F.col(features_col)).alias("x"), F.avg(F.col(y).cast("double")).alias("y")).first()
+    middle = np.append(centre["x"].toArray(), centre["y"])
+    width = len(middle) - 1
+    cells = F.zip_with(F.concat(vector_to_array(features_col), F.array(F.col(y).cast("double"))),
+                       F.lit(middle.tolist()), lambda v, m: v - m)
     root = F.sqrt(w)
+    cells = F.concat(cells, F.array(F.lit(1.0)))
     rows = df.select(array_to_vector(F.transform(cells, lambda x: x * root)).alias("v"))
     sums = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v")).computeGramianMatrix().toArray()
     x, t, one = slice(0, width), width, width + 1
@@ -211,12 +227,7 @@ def _normal_equations(df, y, alpha, w, features_col, width) -> RidgeModel:
     covariance = sums[x, x] - total * np.outer(mean, mean)
     cross = sums[x, t] - total * mean * mean_y
     coef = np.linalg.lstsq(covariance + alpha * np.eye(width), cross, rcond=None)[0]
-    return RidgeModel(coef, float(mean_y - coef @ mean), features_col)
-
-
-def len_of(df: DataFrame, features_col: str) -> int:
-    row = df.select(features_col).first()
-    return 0 if row is None else row[0].size
+    return RidgeModel(coef, float(middle[-1] + mean_y - coef @ (middle[:-1] + mean)), features_col)
 
 
 def fit(name: str, params: dict, df: DataFrame, id_col: str, y: str, names: Sequence[str],
@@ -232,7 +243,7 @@ def fit(name: str, params: dict, df: DataFrame, id_col: str, y: str, names: Sequ
         extra.append(F.col(weight).alias("__w"))
     if learner.early_stop:
         extra.append((features.hash_share(id_col, seed) < HOLDOUT).alias("__stop"))
-    made = df.select(inputs.vector().alias("features"), *extra)
+    made = inputs.apply(df, extra)
     if name == "ridge":
         model = fit_ridge(made, "__y", p["alpha"], "__w" if weight else None)
         return Fitted(name, inputs, model, id_col)
@@ -255,7 +266,7 @@ def fit_classifier(df: DataFrame, id_col: str, label, names: Sequence[str], roun
         extra.append(F.col(weight).alias("__w"))
     est = GBTClassifier(featuresCol="features", labelCol="__y", maxIter=rounds, maxDepth=depth,
                         stepSize=step, seed=seed, validationIndicatorCol="__stop")
-    made = df.select(inputs.vector().alias("features"), *extra)
+    made = inputs.apply(df, extra)
     return FittedClass(inputs, (est.setWeightCol("__w") if weight else est).fit(made), id_col)
 
 

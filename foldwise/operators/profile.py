@@ -9,6 +9,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -17,7 +20,7 @@ from foldwise import fixed
 from foldwise.functions.rows import pearson
 from foldwise.operators.quantiles import exact_quantiles
 from foldwise.operators.ranks import average_rank, running_before
-from foldwise.scratch import fitted
+from foldwise.scratch import fitted, written
 
 
 def sideways(df: DataFrame, rows: Mapping[str, Mapping[str, Column]], name: str = "name") -> DataFrame:
@@ -81,11 +84,36 @@ def correlations(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson r of every unordered pair of columns, in one pass."""
-    cells = {f"{a}\t{b}": {"r": pearson(a, b)}
-             for i, a in enumerate(cols) for b in cols[i + 1:]}
-    both = F.split("name", "\t")
-    return sideways(df, cells).select(both[0].alias("a"), both[1].alias("b"), "r")
+    """Pearson r of every unordered pair of columns over the rows that have both; null when one side is constant.
+
+    One matrix of products holds all sums: per column whether it is known, its centred value and the square of that.
+    """
+    k = len(cols)
+    if k < 2:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    middle = df.agg(*[F.avg(F.col(c).cast("double")) for c in cols]).first()
+    known = [F.col(c).isNotNull().cast("double") for c in cols]
+    values = [F.coalesce(F.col(c).cast("double") - F.lit(m), F.lit(0.0)) for c, m in zip(cols, middle)]
+    rows = df.select(array_to_vector(F.concat(F.array(*known), F.array(*values))).alias("v"))
+    rows = rows.select(array_to_vector(F.concat(
+        vector_to_array("v"), F.transform(F.slice(vector_to_array("v"), k + 1, k), lambda x: x * x))).alias("v"))
+    sums = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v")).computeGramianMatrix().toArray()
+    m, x, q = slice(0, k), slice(k, 2 * k), slice(2 * k, 3 * k)
+    n, s = np.maximum(sums[m, m], 1), sums[x, m]
+    spread = sums[q, m] - s * s / n  # of the row's column, over the rows that have both
+    spread[spread <= 1e-12 * sums[q, m]] = 0
+    product = sums[x, x] - s * s.T / n
+    scale = np.sqrt(spread * spread.T)
+    rows = [(a, cols[j], float(product[i, j] / scale[i, j]) if scale[i, j] > 0 else None)
+            for i, a in enumerate(cols) for j in range(i + 1, k)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
+def strongest_pairs(matrix: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` most positive and the ``k`` most negative correlations, each side ranked."""
+    up = Window.partitionBy("side").orderBy(F.abs("r").desc(), "a", "b")
+    sides = matrix.where("r <> 0").withColumn("side", F.when(F.col("r") > 0, "positive").otherwise("negative"))
+    return sides.withColumn("place", F.row_number().over(up)).where(F.col("place") <= k)
 
 
 def spearman(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
@@ -99,8 +127,9 @@ def spearman(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     long = (df.select(pairs.alias("p")).select("p.*")
             .where(F.col("x").isNotNull() & F.col("y").isNotNull())
             .groupBy("name", "x", "y").agg(F.count(F.lit(1)).alias("m")))
-    rx = _weighted_rank(long, "x")
-    ry = _weighted_rank(long, "y")
+    long = written(long)  # read by both ranks and the sums
+    rx = fitted(_weighted_rank(long, "x"))
+    ry = fitted(_weighted_rank(long, "y"))
     joined = long.join(rx, ["name", "x"]).join(ry, ["name", "y"])
     m, a, b = F.col("m"), F.col("rank_x"), F.col("rank_y")
     n, sa, sb = F.sum(m), F.sum(m * a), F.sum(m * b)
@@ -118,7 +147,7 @@ def _weighted_rank(long: DataFrame, col: str) -> DataFrame:
 def fractional_ranks(df: DataFrame, id_col: str, col: str, out: str) -> DataFrame:
     """Average rank divided by the number of ranked rows."""
     n = df.select(F.count(col).alias("n")).scalar()
-    table = average_rank(df, col).select(F.col(col).alias("__v"), "rank")
+    table = fitted(average_rank(df, col).select(F.col(col).alias("__v"), "rank"))
     return (df.join(table, F.col(col) == F.col("__v"), "left")
             .select(id_col, F.try_divide(F.col("rank"), n).alias(out)))
 
@@ -169,18 +198,21 @@ def applicant_rules(year: str = "application_year") -> dict[str, Column]:
 
 
 def univariate(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Moments in one pass, exact quartiles beside them."""
+    """Moments in one pass over (column, value) rows, exact quartiles beside them."""
     quartiles = exact_quantiles(df, {c: (F.col(c), [0.25, 0.5, 0.75]) for c in cols})
-    rows = {}
-    for c in cols:
-        x = F.col(c).cast("double")
-        q1, q2, q3 = quartiles[c]
-        rows[c] = {"n": F.count(x), "mean": F.avg(x), "median": F.first(F.lit(q2)),
-                   "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x),
-                   "q1": F.first(F.lit(q1)), "q3": F.first(F.lit(q3)),
-                   "iqr": F.first(F.lit(None if q1 is None else q3 - q1).cast("double")),
-                   "skewness": F.skewness(x), "kurtosis": F.kurtosis(x)}
-    return sideways(df, rows)
+    cuts = df.sparkSession.createDataFrame([(c, *quartiles[c]) for c in cols], "__c string, q1 double, median double, q3 double")
+    x = F.col("x")
+    moments = _long(df, cols).groupBy("name").agg(
+        F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+        F.max(x).alias("max"), F.skewness(x).alias("skewness"), F.kurtosis(x).alias("kurtosis"))
+    return moments.join(F.broadcast(cuts), F.col("name") == F.col("__c")).select(
+        "name", "n", "mean", "median", "std", "min", "max", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
+        "skewness", "kurtosis")
+
+
+def _long(df: DataFrame, cols: Sequence[str], y: str | None = None) -> DataFrame:
+    from foldwise.operators.features import long_pairs
+    return long_pairs(df, {c: F.col(c) for c in cols}, F.col(y) if y else F.lit(None))
 
 
 def category_shares(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -219,22 +251,24 @@ def target_by_category(df: DataFrame, col: str, y: str) -> DataFrame:
 def outliers(df: DataFrame, cols: Sequence[str], y: str | None = None) -> DataFrame:
     """Counts outside 1.5 IQR and beyond 3 deviations, per column."""
     quartiles = exact_quantiles(df, {c: (F.col(c), [0.25, 0.75]) for c in cols})
-    moments = df.agg(*[f(F.col(c).cast("double")) for c in cols
-                       for f in (F.avg, F.stddev_samp)]).first()
-    rows = {}
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        q1, q3 = quartiles[c]
-        mean, sd = moments[2 * i], moments[2 * i + 1]
-        reach = 1.5 * (q3 - q1) if q1 is not None else None
-        by_iqr = (x < q1 - reach) | (x > q3 + reach) if q1 is not None else F.lit(False)
-        by_z = F.abs(x - mean) > 3 * sd if sd is not None else F.lit(False)
-        rows[c] = {"iqr_count": F.count(F.when(by_iqr, 1)), "z_count": F.count(F.when(by_z, 1)),
-                   "iqr_ratio": F.try_divide(F.count(F.when(by_iqr, 1)).cast("double"), F.count(x)),
-                   "z_ratio": F.try_divide(F.count(F.when(by_z, 1)).cast("double"), F.count(x))}
-        if y is not None:
-            rows[c]["outlier_target_mean"] = F.avg(F.when(by_iqr, F.col(y)))
-    return sideways(df, rows)
+    long = _long(df, cols, y)
+    moments = {r["name"]: r for r in long.groupBy("name").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd")).collect()}
+    limits = []
+    for c in cols:
+        (q1, q3), r = quartiles[c], moments.get(c)
+        reach = None if q1 is None else 1.5 * (q3 - q1)
+        limits.append((c, None if q1 is None else q1 - reach, None if q1 is None else q3 + reach,
+                       r and r["mean"], r and r["sd"]))
+    limits = df.sparkSession.createDataFrame(limits, "__c string, low double, high double, mean double, sd double")
+    x = F.col("x")
+    by_iqr = (x < F.col("low")) | (x > F.col("high"))
+    by_z = F.abs(x - F.col("mean")) > 3 * F.col("sd")
+    share = lambda hit: F.try_divide(F.count(F.when(hit, 1)).cast("double"), F.count(x))
+    found = [F.count(F.when(by_iqr, 1)).alias("iqr_count"), F.count(F.when(by_z, 1)).alias("z_count"),
+             share(by_iqr).alias("iqr_ratio"), share(by_z).alias("z_ratio")]
+    if y is not None:
+        found.append(F.avg(F.when(by_iqr, F.col("y"))).alias("outlier_target_mean"))
+    return long.join(F.broadcast(limits), F.col("name") == F.col("__c")).groupBy("name").agg(*found)
 
 
 def inflation_factors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -294,3 +328,9 @@ def scorecard(nulls: DataFrame, correlation: DataFrame, information: DataFrame,
     return out
 
 
+def actual_against_predicted(oof: DataFrame, y: str = "y", pred: str = "pred", width: float = 5.0,
+                             by: Sequence[str] = ()) -> DataFrame:
+    """Chart data: per cell of the actual target the rows, and mean and deviation of what was predicted."""
+    cell = F.floor(F.col(y) / F.lit(width)).cast("int").alias("cell")
+    return oof.groupBy(*by, cell).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean_actual"),
+                                      F.avg(pred).alias("mean_pred"), F.stddev_samp(pred).alias("sd_pred"))

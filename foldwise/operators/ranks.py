@@ -10,15 +10,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from foldwise.scratch import written
 
 BUCKET_ROWS = 250_000
-TEXT_EDGES = 255
 
 
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
@@ -79,7 +76,7 @@ def running_before(grouped: DataFrame, order: str, sums: Sequence[str], by: Sequ
         return grouped.withColumns(
             {f"{c}_before": F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                        F.lit(0)) for c in sums})
-    bucketed = _bucket(written(grouped), order, math.ceil(n / bucket_rows))
+    bucketed = _bucket(grouped, by, order, math.ceil(grouped.count() / bucket_rows))
     small = bucketed.groupBy(*by, "__b").agg(*[F.sum(c).alias(f"__{c}") for c in sums])
     w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("__b")
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -110,19 +107,14 @@ def sorted_codes(values: DataFrame, col: str, out: str = "code") -> DataFrame:
             .select(col, F.col("__one_before").cast("int").alias(out)))
 
 
-def _bucket(df: DataFrame, order: str, buckets: int) -> DataFrame:
-    if isinstance(df.schema[order].dataType, NumericType):
-        shares = [i / buckets for i in range(1, min(buckets, 4096))]
-        edges = sorted(set(df.approxQuantile(order, shares, 0.5 / max(buckets, 2))))
-        splits = [-math.inf, *edges, math.inf]
-        return (Bucketizer(splits=splits, inputCol="__o", outputCol="__b")
-                .transform(df.withColumn("__o", F.col(order).cast("double"))).drop("__o"))
-    sample = (df.select(order).distinct().orderBy(F.md5(F.col(order).cast("string")))
-              .limit(16 * TEXT_EDGES).collect())
-    values = sorted(r[0] for r in sample)
-    edges = values[::max(1, len(values) // min(buckets, TEXT_EDGES))]
-    lits = F.array(*[F.lit(e) for e in edges])
-    return df.withColumn("__b", F.size(F.filter(lits, lambda e: e <= F.col(order))))
+def _bucket(df: DataFrame, by: Sequence[str], order: str, buckets: int) -> DataFrame:
+    """``df`` with an ordered bucket number: its range partition by (group, value).
+
+    The ranges are taken over groups and values together, so each group gets as many as its rows need, numbers and
+    texts alike and without a limit. The numbers are written down: a range partitioning is not repeatable.
+    """
+    ranged = df.repartitionByRange(buckets, *by, order)
+    return written(ranged.withColumn("__b", F.spark_partition_id()))
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

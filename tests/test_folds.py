@@ -123,3 +123,17 @@ def test_year_weights(spark):
     ratio = {2000: 1.0, 2001: min(3.0, (20 / 30) / 0.25), 2002: (10 / 30) / 0.25, 2003: 1.0}
     raw = got["yr"].map(ratio)
     assert np.allclose(got["w"], raw / raw.mean())
+
+
+def test_many_buckets_stay_small(spark):
+    """Ordered buckets of numbers and of texts hold even shares at any number, also for groups of other scales."""
+    from foldwise.operators.ranks import _bucket
+    rows = spark.range(40_000).selectExpr("id % 2 AS g", "CASE WHEN id % 2 = 0 THEN id * 1e-9 ELSE exp(id / 2000) END AS v",
+                                          "md5(CAST(id AS STRING)) AS t")
+    for order in ("v", "t"):
+        cut = _bucket(rows, ["g"], order, 1000)
+        sizes = [r["count"] for r in cut.groupBy("__b").count().collect()]
+        assert len(sizes) > 900 and max(sizes) < 0.01 * 40_000
+        edges = cut.groupBy("g", "__b").agg({order: "min"}).orderBy("g", "__b").collect()
+        for a, b in zip(edges, edges[1:]):
+            assert a["g"] != b["g"] or a[2] < b[2]

@@ -242,3 +242,95 @@ def test_search_resumes(spark, tmp_path):
     assert len(calls) == 10 and trials.count() == 5
     best = cross.best_params(trials)["m"]["alpha"]
     assert abs(np.log(best)) == min(abs(np.log(c)) for c in calls)
+
+
+def test_every_level_has_its_own_column(spark):
+    from foldwise.operators import learners
+    df = spark.range(400).selectExpr("id", "CAST(id % 200 AS INT) AS c", "CAST(id AS DOUBLE) AS x", "CAST(id AS DOUBLE) AS y")
+    inputs = learners.fit_inputs(df, ["x", "c"], scaled=True, codes=["c"])
+    rows = inputs.apply(df, ["id", "c"]).collect()
+    assert inputs.levels == {"c": 200} and len(inputs.vector_names) == 201 == rows[0]["features"].size
+    for r in rows:
+        v = r["features"].toArray()[1:]
+        assert v.sum() == 1 and v[r["c"]] == 1
+    unseen = inputs.apply(spark.sql("SELECT 1 AS id, -1 AS c, 0.0D AS x UNION ALL SELECT 2, 999, 0.0D"), ["id"]).orderBy("id").collect()
+    assert unseen[0]["features"].toArray()[1] == 1 and unseen[1]["features"].toArray()[1:].sum() == 0
+
+
+def test_waterfall_keeps_all_rows_asked_for(spark):
+    from foldwise.operators import explain
+    phi = spark.range(500).selectExpr("id", "'f' AS feature", "CAST(id AS DOUBLE) AS phi")
+    rows = spark.range(500).selectExpr("id", "CAST(id AS STRING) AS tag")
+    assert explain.waterfall(phi, rows, "id").count() == 500
+
+
+def test_middle_row_among_many_ties(spark):
+    from foldwise.operators import explain
+    df = spark.range(1001).selectExpr("id", "CASE WHEN id < 10 THEN 1.0D WHEN id < 990 THEN 2.0D ELSE 3.0D END AS p")
+    got = {r["tag"]: r["id"] for r in explain.spread_rows(df, "id", "p").collect()}
+    assert got == {"low": 0, "median": 500, "high": 990}
+
+
+def test_ridge_has_one_answer_at_any_width_and_offset(spark):
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from foldwise.operators import learners
+    rng = np.random.default_rng(4)
+    for width, offset in ((20, 0.0), (21, 1e6), (2100, 0.0)):
+        n = 60
+        x, w = rng.normal(size=(n, width)) + offset, rng.random(n) + 0.5
+        y = x[:, :3].sum(1) + rng.normal(size=n)
+        df = spark.createDataFrame([(r.tolist(), float(t), float(v)) for r, t, v in zip(x, y, w)], "a array<double>, y double, w double")
+        model = learners.fit_ridge(df.select("y", "w", array_to_vector(F.col("a")).alias("features")), "y", 3.0, "w")
+        xc, yc = x - (w @ x) / w.sum(), y - (w @ y) / w.sum()
+        want = np.linalg.solve((xc * w[:, None]).T @ xc + 3.0 * np.eye(width), (xc * w[:, None]).T @ yc)
+        assert np.abs(model.coefficients - want).max() < 1e-6
+
+
+def test_text_vectors_do_not_depend_on_partitions(spark):
+    from foldwise.operators import reduce
+    words = "alpha beta gamma delta epsilon zeta".split()
+    rows = [(i, " ".join(words[(i * k) % 6] for k in range(1, 12))) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    found = []
+    for parts in (1, 5):
+        model = reduce.fit_text_vectors(df.repartition(parts), "text", dims=4, parts=1, rounds=1)
+        found.append({r["word"]: r["vector"].toArray().tolist() for r in model.model.getVectors().collect()})
+    assert found[0] == found[1]
+
+
+def test_correlation_matrix_over_pairs_with_nulls(spark):
+    import numpy as np
+
+    from foldwise.operators import profile
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(200, 4)) + 1e5
+    x[:, 1] += x[:, 0]
+    x[:, 3] = 7.0
+    mask = rng.random((200, 4)) < 0.2
+    rows = [[None if m else float(v) for v, m in zip(r, ms)] for r, ms in zip(x, mask)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = {(r["a"], r["b"]): r["r"] for r in profile.correlation_matrix(df, ["a", "b", "c", "d"]).collect()}
+    for i, p in enumerate("abcd"):
+        for j in range(i + 1, 4):
+            both = ~(mask[:, i] | mask[:, j])
+            if j == 3:
+                assert got[p, "d"] is None
+            else:
+                assert abs(got[p, "abcd"[j]] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
+
+
+def test_lookups_with_one_level_in_most_rows(spark, monkeypatch):
+    """A level that holds nine tenths of the rows, with tables too large to broadcast."""
+    from foldwise import scratch
+    from foldwise.operators import encode, profile
+    monkeypatch.setattr(scratch, "SMALL_BYTES", 0)
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 10 < 9 THEN 'hot' ELSE CAST(id AS STRING) END AS c",
+                                      "CAST(id % 7 AS DOUBLE) AS y", "CASE WHEN id % 10 < 9 THEN 1 ELSE id END AS v")
+    means = {r["c"]: r["te"] for r in encode.smoothed_means(df, "c", "y").collect()}
+    rows = encode.smoothed_lookup(df, df, "c", "y").collect()
+    assert len(rows) == 3000 and all(abs(r["te_c"] - means[r["c"]]) < 1e-12 for r in rows)
+    ranks = profile.fractional_ranks(df, "id", "v", "r").collect()
+    assert len(ranks) == 3000 and sum(abs(r["r"] - 1350.5 / 3000) < 1e-9 for r in ranks) >= 2700
