@@ -128,3 +128,11 @@ PRIOR_INTERACTIONS = ("project_quality_score", "technical_interview_score",
                       "devops_score", "github_repo_count", "portfolio_score",
                       "backend_score", "coding_score", "real_client_project_count",
                       "open_source_contribution_count")
+
+# Search limits by profile and learner (fixed values): trials, seconds.
+SEARCH_LIMITS = {
+    "full": {"boosted": (51, 4200.0), "forest": (200, 2100.0), "ridge": (200, 1800.0), "factor": (30, 2400.0)},
+    "fullw": {"boosted": (150, 5400.0), "forest": (60, 1500.0), "ridge": (120, 1500.0), "factor": (25, 1500.0)},
+    "fast": {"boosted": (40, 1200.0), "forest": (30, 600.0), "ridge": (40, 500.0), "factor": (10, 700.0)},
+    "smoke": {"boosted": (2, 240.0), "forest": (2, 240.0), "ridge": (2, 240.0), "factor": (2, 240.0)},
+}

@@ -12,6 +12,7 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from foldwise import fixed
 from foldwise.operators import folds as fold_ops
@@ -44,9 +45,16 @@ def dynamic_table(columns: Mapping[str, DataFrame], id_col: str, outer: str = "o
 def with_dynamic(static: DataFrame, dyn: DataFrame, id_col: str, k: int, names: Sequence[str],
                  repeat: int = 0, outer: str = "outer") -> DataFrame:
     """Static columns plus the dynamic ones that are valid when fold ``k`` is held out."""
-    one = dyn.where((F.col("repeat") == repeat) & (F.col(outer) == k) & F.col("name").isin(list(names)))
-    wide = one.groupBy(id_col).pivot("name", list(names)).agg(F.first("value"))
-    return static.join(wide, id_col)
+    one = dyn.where((F.col("repeat") == repeat) & (F.col(outer) == k))
+    if "value" in dyn.columns:
+        one = one.where(F.col("name").isin(list(names))).groupBy(id_col).pivot("name", list(names)).agg(F.first("value"))
+    return static.join(one.select(id_col, *names), id_col)
+
+
+def wide_dynamic(dyn: DataFrame, id_col: str, names: Sequence[str], outer: str = "outer") -> DataFrame:
+    """The fold-aware columns side by side, stored by repeat and outer fold: a view reads its part and joins once."""
+    wide = dyn.groupBy(id_col, "repeat", outer).pivot("name", list(names)).agg(F.first("value"))
+    return written(wide, by=["repeat", outer])
 
 
 def fold_view(static: DataFrame, dyn: DataFrame | None, id_col: str, k: int,
@@ -58,6 +66,11 @@ def fold_view(static: DataFrame, dyn: DataFrame | None, id_col: str, k: int,
 
 
 # --------------------------------------------------------------- nested features
+def train_schema(train: DataFrame, marks: str) -> StructType:
+    """The schema of a table with an array of fold marks at its end."""
+    return StructType([*train.schema.fields, StructField(marks, ArrayType(IntegerType()))])
+
+
 def nested_feature(train: DataFrame, build: Callable[[DataFrame], Predictor], id_col: str, y: str,
                    fold: str = "fold", splits: int = fixed.N_FOLDS,
                    inner: int = fixed.INNER_SPLITS, seed: int = fixed.SEED,
@@ -70,13 +83,16 @@ def nested_feature(train: DataFrame, build: Callable[[DataFrame], Predictor], id
     part, a training row from the other inner folds of that part, and test rows
     from all training rows. Returns ``(id, outer, value)`` and ``(id, value)``.
     """
-    nested = written(fold_ops.inner_folds(train, id_col, y, fold, splits, inner, seed))
+    dealt = fold_ops.inner_folds(train.select(id_col, y, fold), id_col, y, fold, splits, inner, seed)
+    marks = dealt.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("outer", "inner"))).alias("__o"))
+    marks = marks.select(F.col(id_col).alias("__id"), F.transform("__o", lambda x: x["inner"]).alias("__inner"))
+    # one wide row per training row, marked with its inner fold for every outer one; a part is a filter
+    nested = written(train.join(marks, F.col(id_col) == F.col("__id")).drop("__id"), train_schema(train, "__inner"))
 
     def fit_one(k: int, j: int) -> DataFrame:
-        part = nested.where(F.col("outer") == k)
-        is_fit = (F.col("inner") >= 0) & (F.col("inner") != j)
-        predict = build(part.where(is_fit).drop("outer", "inner"))
-        target = part.where(F.col("inner") == j).drop("outer", "inner")
+        own = F.get("__inner", F.lit(k))
+        predict = build(nested.where((own >= 0) & (own != j)).drop("__inner"))
+        target = nested.where(own == j).drop("__inner")
         return predict(target).withColumn("outer", F.lit(k)).select(id_col, "outer", "value")
 
     jobs = [lambda k=k, j=j: fit_one(k, j) for k in range(splits) for j in (-1, *range(inner))]
@@ -120,6 +136,10 @@ class Bundle:
     codes: list[str] = field(default_factory=list)
     _inputs: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.dyn is not None and self.dyn_names and "value" in self.dyn.columns:
+            self.dyn = wide_dynamic(self.dyn, self.id_col, self.dyn_names)
+
     @property
     def feature_names(self) -> list[str]:
         return [*self.names, *self.dyn_names]
@@ -168,9 +188,8 @@ def cross_validate(bundle: Bundle, name: str, params: dict, repeats: int, parall
     preds = written(union([d[1] for d in done]))
     if bundle.test is None:
         return preds, None, models
-    every = union([m.predict(bundle.test) for m in models.values()])
-    mean = every.groupBy(bundle.id_col).agg(F.avg("pred").alias("pred")).withColumn("model", F.lit(name))
-    return preds, mean, models
+    mean = learners.mean_prediction(list(models.values()), bundle.test, [bundle.id_col], "pred")
+    return preds, mean.withColumn("model", F.lit(name)), models
 
 
 def quick_score(bundle: Bundle, name: str, params: dict, names: Sequence[str] | None = None,

@@ -101,13 +101,16 @@ def inner_folds(df: DataFrame, id_col: str, y: str, fold: str = "fold",
         lambda chain, k: chain.when(F.col("outer") == k, bin_of(
             y, sorted({e for e in edges[str(k)] if e is not None}))),
         range(splits), F.when(F.lit(False), F.lit(0)))
-    long = df.select("*", F.explode(F.array(*[F.lit(k) for k in range(splits)])).alias("outer"))
+    narrow = df.select(id_col, y, fold)  # only what dealing needs is copied and shuffled
+    long = narrow.select("*", F.explode(F.array(*[F.lit(k) for k in range(splits)])).alias("outer"))
     training = (long.where(F.col(fold) != F.col("outer")).withColumn("__bin", binned))
     dealt = assign(training, id_col, ["__bin"], inner,
                    F.lit(seed) + F.lit(fixed.INNER_SEED_STEP) * F.col("outer"),
                    by=["outer"], out="inner").drop("__bin")
     held = long.where(F.col(fold) == F.col("outer")).withColumn("inner", F.lit(-1))
-    return dealt.unionByName(held)
+    both = dealt.unionByName(held)
+    rest = [c for c in df.columns if c not in (y, fold)]
+    return both if rest == [id_col] else both.join(df.select(*rest), id_col)
 
 
 def shares(df: DataFrame, col: str, out: str = "share") -> DataFrame:

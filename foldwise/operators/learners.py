@@ -171,6 +171,15 @@ LEARNERS: dict[str, Learner] = {
 }
 
 
+def mean_prediction(models: Sequence["Fitted | FittedClass"], df: DataFrame, keep: Sequence[str], out: str) -> DataFrame:
+    """The models' mean prediction for every row, in one projection over one scan."""
+    kept, made = list(keep), df
+    for i, model in enumerate(models):
+        made = model.append(made, f"__p{i}")
+    mean = sum((F.col(f"__p{i}") for i in range(1, len(models))), F.col("__p0")) / F.lit(float(len(models)))
+    return made.select(*kept, mean.alias(out))
+
+
 @dataclass
 class Fitted:
     """A fitted learner together with the numbers that prepare its input."""
@@ -182,9 +191,13 @@ class Fitted:
     shift: float = 0.0
     scale: float = 1.0
 
+    def append(self, df: DataFrame, out: str) -> DataFrame:
+        """All columns of ``df`` and the prediction."""
+        scored = self.model.transform(self.inputs.apply(df, df.columns))
+        return scored.select(*df.columns, (F.col("prediction") * F.lit(self.scale) + F.lit(self.shift)).alias(out))
+
     def predict(self, df: DataFrame, keep: Sequence[str] = (), out: str = "pred") -> DataFrame:
-        scored = self.model.transform(self.inputs.apply(df, [self.id_col, *keep]))
-        return scored.select(self.id_col, *keep, (F.col("prediction") * F.lit(self.scale) + F.lit(self.shift)).alias(out))
+        return self.append(df, out).select(self.id_col, *keep, out)
 
 
 def fit_ridge(df: DataFrame, y: str, alpha: float, weight: str | None = None, features_col: str = "features",
@@ -276,10 +289,13 @@ class FittedClass:
     model: GBTClassificationModel
     id_col: str
 
+    def append(self, df: DataFrame, out: str) -> DataFrame:
+        """All columns of ``df`` and the chance of the label."""
+        scored = self.model.transform(self.inputs.apply(df, df.columns))
+        return scored.select(*df.columns, F.get(vector_to_array("probability"), F.lit(1)).alias(out))
+
     def predict(self, df: DataFrame, keep: Sequence[str] = (), out: str = "pred") -> DataFrame:
-        scored = self.model.transform(self.inputs.apply(df, [self.id_col, *keep]))
-        return scored.select(self.id_col, *keep,
-                             F.get(vector_to_array("probability"), F.lit(1)).alias(out))
+        return self.append(df, out).select(self.id_col, *keep, out)
 
 
 # ------------------------------------------------------------------ saved models

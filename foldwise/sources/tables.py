@@ -50,6 +50,9 @@ def submission(df: DataFrame, id_col: str, pred: str, target: str) -> DataFrame:
     return df.select(id_col, F.col(pred).alias(target))
 
 
-def write_predictions(preds: DataFrame, path: str, mode: str = "append") -> None:
-    """Long prediction table, one folder per model so that readers skip the rest."""
-    preds.write.mode(mode).partitionBy("model").parquet(path)
+def write_predictions(preds: DataFrame, path: str) -> None:
+    """Long prediction table, one folder per model so that readers skip the rest.
+
+    A model's folder is replaced, others stay: running a job again leaves no row twice.
+    """
+    preds.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model").parquet(path)

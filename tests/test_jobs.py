@@ -68,3 +68,45 @@ def test_cache_computes_each_text_once(spark, tmp_path):
     for frame, fresh in ((df, 2), (df.union(spark.createDataFrame([(4, "ccc")], "id long, t string")), 1)):
         got = records.cached_results(frame, "t", compute, f"{tmp_path}/cache")
         assert {r["id"]: r["n"] for r in got.collect()}[3] == 2 and seen[-1] == fresh
+
+
+def test_job_studies_parameters_and_external_models(spark, tables, tmp_path):
+    """Studies are tables, chosen parameters are used again, outside models join, and a second run changes nothing."""
+    from foldwise.spec import BUDGETS
+    train, test = written(tables.applicants("train")), written(tables.applicants("test"))
+    path = f"{tmp_path}/run"
+    budget = replace(TINY, search=True, limits=(("boosted", 1, 60.0), ("ridge", 1, 60.0)),
+                     studies=("representations", "imputation", "ablation", "importances", "attribution"))
+    outside = (train.select("student_id", (F.col("score") * 0.9 + 5).alias("pred")),
+               test.select("student_id", F.lit(60.0).alias("pred")))
+    run = train_plan.train(SPEC, train, test, path, budget, ("boosted", "ridge"), external={"outside": outside}, blocks=SMALL_BLOCKS)
+    for name in budget.studies:
+        assert spark.read.parquet(f"{path}/tables/{name}").count() > 0
+    assert spark.read.parquet(f"{path}/tables/ablation").count() == 8
+    saved = records.saved_params(spark, f"{path}/params")
+    assert set(saved) == {"boosted", "ridge"} and saved["ridge"]["alpha"] != 2.0
+    first = {r["model"]: r["count"] for r in spark.read.parquet(f"{path}/predictions").groupBy("model").count().collect()}
+    quiet = replace(budget, studies=())
+    again = train_plan.train(SPEC, train, test, path, quiet, ("boosted", "ridge"), external={"outside": outside}, blocks=SMALL_BLOCKS)
+    assert first == {r["model"]: r["count"] for r in spark.read.parquet(f"{path}/predictions").groupBy("model").count().collect()}
+    assert records.saved_params(spark, f"{path}/params") == saved
+    a, b = (r.submission.orderBy("student_id").toPandas() for r in (run, again))
+    assert np.allclose(a["score"], b["score"], atol=1e-6)
+    methods = {r["method"] for r in run.scores.select("method").distinct().collect()}
+    assert "single_outside" in methods
+    scored = score_plan.score(spark, path, test, external={"outside": outside[1]}, sink=f"{tmp_path}/out", fmt="parquet")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == scored.count() == test.count()
+    with pytest.raises(ValueError, match="external"):
+        score_plan.score(spark, path, test)
+    assert BUDGETS["full"].limit("boosted") == (51, 4200.0) and BUDGETS["smoke"].limit("forest") == (2, 240.0)
+
+
+def test_combiners_can_be_added(spark):
+    from foldwise.operators import ensemble
+    df = spark.createDataFrame([(1, 1.0, 2.0, 1.5), (2, 3.0, 4.0, 3.0)], "id long, a double, b double, y double")
+    ensemble.COMBINERS["first"] = lambda df, names, extra, y, w, rounds: ensemble.single(names[0])
+    try:
+        got = ensemble.fit_combiner("first", df, ["a", "b"], "y").predict(df).orderBy("id").collect()
+        assert [r["pred"] for r in got] == [1.0, 3.0]
+    finally:
+        del ensemble.COMBINERS["first"]
