@@ -15,24 +15,40 @@ from foldwise.operators import composites, explain, learners, profile, study, wo
 from foldwise.scratch import written
 
 
-def value_sql(name):
-    kind, _, c = name.rpartition(":")
-    return f"ln(1 + {c})" if kind == "log" else c
-
-
-def sum_sql(n):
-    return "(" + " + ".join(f"{w} * {value_sql(c)}" for c, w in composites.WEIGHTED[n].items()) + ")"
-
-
-COMPOSITE_SQL = {n: sum_sql(n) for n in composites.WEIGHTED}
-COMPOSITE_SQL |= {n: " * ".join(value_sql(c) for c in p) for n, p in composites.PRODUCTS.items()}
-COMPOSITE_SQL |= {
+COMPOSITE_SQL = {  # written out, so that a wrong weight on the other side shows
+    "prior_interview_strength": "(0.55 * technical_interview_score + 0.25 * communication_score + 0.12 * problem_solving_score + 0.08 * presentation_score)",
+    "cloud_devops_strength": "(0.4 * cloud_score + 0.35 * devops_score + 0.25 * backend_score)",
+    "prior_technical_strength": "(0.32 * problem_solving_score + 0.24 * coding_score + 0.2 * data_structures_score + 0.14 * sql_score + 0.1 * machine_learning_score)",
+    "prior_portfolio_strength": "(0.35 * portfolio_score + 0.3 * ln(1 + github_repo_count) + 0.25 * open_source_contribution_count + 0.1 * github_avg_stars)",
+    "prior_academic_strength": "(0.7 * attendance_rate + 0.2 * english_exam_score + 0.1 * cgpa)",
+    "prior_experience_strength": "(0.5 * project_quality_score + 0.25 * ln(1 + internship_duration_months) + 0.15 * real_client_project_count + 0.1 * freelance_project_count)",
+    "project_excellence_depth": "project_quality_score * real_client_project_count",
+    "project_excellence_breadth": "project_quality_score * open_source_contribution_count",
+    "project_excellence_freelance": "project_quality_score * freelance_project_count",
+    "interview_communication_synergy": "technical_interview_score * communication_score",
+    "interview_problem_synergy": "technical_interview_score * problem_solving_score",
+    "infra_stack_score": "cloud_score * devops_score",
+    "full_stack_score": "backend_score * frontend_score",
+    "portfolio_depth": "portfolio_score * open_source_contribution_count",
+    "portfolio_github_sync": "portfolio_score * ln(1 + github_repo_count)",
+    "experience_depth": "internship_duration_months * project_quality_score",
+    "project_x_interview": "project_quality_score * technical_interview_score",
+    "project_x_problemsolve": "project_quality_score * problem_solving_score",
+    "project_x_cloud": "project_quality_score * cloud_score",
+    "project_x_github": "project_quality_score * ln(1 + github_repo_count)",
+    "coding_x_github": "coding_score * ln(1 + github_repo_count)",
+    "problem_x_portfolio": "problem_solving_score * portfolio_score",
+    "open_source_x_problem": "open_source_contribution_count * problem_solving_score",
+    "interview_x_communication": "technical_interview_score * communication_score",
+    "cloud_x_devops": "cloud_score * devops_score",
+    "backend_x_cloud": "backend_score * cloud_score",
+    "internship_x_interview": "internship_duration_months * technical_interview_score",
     "experience_breadth": "ln(1 + internship_count + freelance_project_count + real_client_project_count)",
-    "project_excellence_combined": "project_quality_score * ln(1 + real_client_project_count"
-                                   " + freelance_project_count + open_source_contribution_count)",
+    "project_excellence_combined": "project_quality_score * ln(1 + real_client_project_count + freelance_project_count + open_source_contribution_count)",
     "github_star_density": "github_avg_stars / nullif(ln(1 + github_repo_count), 0)",
-    "tech_portfolio_synergy": f"{sum_sql('prior_technical_strength')} * {sum_sql('prior_portfolio_strength')}",
-    "experience_x_technical": f"{sum_sql('prior_experience_strength')} * {sum_sql('prior_technical_strength')}"}
+    "tech_portfolio_synergy": "(0.32 * problem_solving_score + 0.24 * coding_score + 0.2 * data_structures_score + 0.14 * sql_score + 0.1 * machine_learning_score) * (0.35 * portfolio_score + 0.3 * ln(1 + github_repo_count) + 0.25 * open_source_contribution_count + 0.1 * github_avg_stars)",
+    "experience_x_technical": "(0.5 * project_quality_score + 0.25 * ln(1 + internship_duration_months) + 0.15 * real_client_project_count + 0.1 * freelance_project_count) * (0.32 * problem_solving_score + 0.24 * coding_score + 0.2 * data_structures_score + 0.14 * sql_score + 0.1 * machine_learning_score)",
+}
 
 
 @query("p14_importance_weighted_composites", applicants_sql({n: r6(e) for n, e in COMPOSITE_SQL.items()}))

@@ -1,6 +1,6 @@
 """Learners, cross-validation, nested learners and the two-part model.
 
-Fold counts and rounds are small here; tables are always whole.
+Folds are the full five by four, tables are always whole; trees have few rounds here.
 """
 
 from __future__ import annotations
@@ -25,11 +25,12 @@ SMALL = {"boosted": {"rounds": 6, "depth": 3, "leaf": 10},
          "forest": {"trees": 8, "depth": 5},
          "factor": {"rounds": 15, "factors": 2},
          "ridge": {"alpha": 2.0}}
-SPLITS = 3
+SPLITS = 5
+INNER = 4
 
 
 def bundle(t, names=None, weight=False, test=False):
-    """Numeric columns of the applicants with three folds."""
+    """Numeric columns of the applicants with five folds."""
     train = written(t.applicants("train"))
     names = names or features.numeric_columns(train, ("student_id", "score"))
     dealt = written(folds.repeated_folds(train, "student_id", "score", (fixed.SEED,), SPLITS,
@@ -193,7 +194,7 @@ def _(t):
     def build(fit):
         model = learners.fit("ridge", {"alpha": 1.0}, fit, "student_id", "score", names)
         return lambda rows: model.predict(rows, out="value")
-    values, test = cross.nested_feature(train, build, "student_id", "score", splits=SPLITS, inner=2,
+    values, test = cross.nested_feature(train, build, "student_id", "score", splits=SPLITS, inner=INNER,
                                         test=t.applicants("test"))
     return values.unionByName(test.withColumn("outer", F.lit(-1)))
 
@@ -204,14 +205,14 @@ def _(t):
     made = tfidf.fit_vectoriser(docs, "doc_id", "text", [tfidf.WORDS])
     vectors = made.vectors(docs, "doc_id", "text").join(docs.select("doc_id", "y"), "doc_id")
     train = written(folds.make_folds(vectors, "doc_id", "y", SPLITS))
-    values, _ = cross.nested_feature(train, text_ridge(fixed.TFIDF_RIDGE_ALPHA, 10), "doc_id", "y",
-                                     splits=SPLITS, inner=2)
+    values, _ = cross.nested_feature(train, text_ridge(fixed.TFIDF_RIDGE_ALPHA), "doc_id", "y",
+                                     splits=SPLITS, inner=INNER)
     return values
 
 
-def text_ridge(alpha, rounds=30, id_col="doc_id"):
+def text_ridge(alpha, rounds=100, id_col="doc_id", solver="iterative"):
     def build(fit):
-        model = learners.fit_ridge(fit, "y", alpha, solver="iterative", rounds=rounds)
+        model = learners.fit_ridge(fit, "y", alpha, solver=solver, rounds=rounds)
         return lambda rows: model.transform(rows).select(id_col, F.col("prediction").alias("value"))
     return build
 
@@ -220,7 +221,7 @@ def text_ridge(alpha, rounds=30, id_col="doc_id"):
 def _(t):
     df = t("embeddings").select("vec_id", "embedding", F.col("label").cast("double").alias("y"))
     train = folds.assign(df, "vec_id", [], SPLITS, 0)
-    return neighbors.nested_neighbours(train, "vec_id", "embedding", "y", splits=SPLITS, inner=2)
+    return neighbors.nested_neighbours(train, "vec_id", "embedding", "y", splits=SPLITS, inner=INNER)
 
 
 @query("t10_nested_ridge_on_embeddings")
@@ -228,8 +229,8 @@ def _(t):
     df = t("embeddings").select("vec_id", F.col("label").cast("double").alias("y"),
                                 vector_of("embedding").alias("features"))
     train = written(folds.make_folds(df, "vec_id", "y", SPLITS))
-    values, _ = cross.nested_feature(train, text_ridge(fixed.EMBED_RIDGE_ALPHA, id_col="vec_id"),
-                                     "vec_id", "y", splits=SPLITS, inner=2)
+    values, _ = cross.nested_feature(train, text_ridge(fixed.EMBED_RIDGE_ALPHA, id_col="vec_id", solver="exact"),
+                                     "vec_id", "y", splits=SPLITS, inner=INNER)
     return values
 
 
@@ -246,14 +247,15 @@ def _(t):
     dense = reduce.fit_text_vectors(docs, "text", dims=16).transform(docs).select(
         "doc_id", vector_of("embedding").alias("features"))
     return compare_representations(
-        docs, {"tfidf_word": (sparse, fixed.TFIDF_RIDGE_ALPHA), "word_vectors": (dense, fixed.EMBED_RIDGE_ALPHA)},
-        "doc_id", "y", SPLITS, rounds=15)
+        docs, {"tfidf_word": (sparse, fixed.TFIDF_RIDGE_ALPHA, "iterative"),
+               "word_vectors": (dense, fixed.EMBED_RIDGE_ALPHA, "exact")},
+        "doc_id", "y", SPLITS, rounds=100)
 
 
 @query("t12_text_signal")
 def _(t):
     from foldwise.operators.textlearn import text_signal
-    r2, terms = text_signal(unit_documents(t), "doc_id", "text", "y", splits=SPLITS, rounds=15)
+    r2, terms = text_signal(unit_documents(t), "doc_id", "text", "y", splits=SPLITS, rounds=100)
     return terms.withColumn("oof_r2", F.lit(r2))
 
 

@@ -149,6 +149,23 @@ def _(t):
     return all_rounded(profile.inflation_factors(t.applicants("train"), COLS), digits=4)
 
 
+THREE = ("coding_score", "sql_score", "presentation_score")
+
+
+def vif_sql(i):
+    a, b, c = (THREE[(i + j) % 3] for j in range(3))
+    corr = lambda x, y: f"corr({x}, {y})"
+    r2 = (f"(power({corr(a, b)}, 2) + power({corr(a, c)}, 2) - 2 * {corr(a, b)} * {corr(a, c)} * {corr(b, c)})"
+          f" / (1 - power({corr(b, c)}, 2))")
+    return f"SELECT '{a}' AS name, {r6(f'1 / (1 - {r2})', 4)} AS vif FROM whole"
+
+
+@query("p10_inflation_of_three", f"""{TRAIN_SQL}, whole AS (SELECT {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in THREE)}
+  FROM train WHERE {" AND ".join(f"{c} IS NOT NULL" for c in THREE)}) {" UNION ALL ".join(vif_sql(i) for i in range(3))}""")
+def _(t):
+    return all_rounded(profile.inflation_factors(t.applicants("train"), THREE), digits=4).select("name", "vif")
+
+
 def mi_bin(c):
     e = f"(SELECT list_distinct(quantile_cont(CAST({c} AS DOUBLE), [{', '.join(f'{i}.0/10' for i in range(11))}])) FROM train)"
     return f"CASE WHEN {c} IS NULL THEN -1 ELSE greatest(len(list_filter(list_sort({e})[2:-2], lambda q: q < {c})), 0) END"

@@ -304,22 +304,27 @@ def _(t):
     return df.select("row_id", code.alias("code"), F.greatest(code, F.lit(0)).alias("embedded"))
 
 
-@query("b19_auto_interactions")
+TOP_COLUMNS = f"""{TRAIN_SQL},
+  long AS (UNPIVOT (SELECT score, {", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM train)) AS {c}" for c in NUMERIC)} FROM train)
+           ON {", ".join(NUMERIC)} INTO NAME name VALUE v),
+  r AS (SELECT name, abs(corr(v, score)) AS c FROM long GROUP BY name),
+  top AS (SELECT name, row_number() OVER (ORDER BY c DESC, name) AS rk FROM r ORDER BY rk LIMIT 8)"""
+
+
+@query("b19_auto_interactions", f"""{TOP_COLUMNS},
+  cells AS (UNPIVOT (SELECT student_id, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC)} FROM applicants)
+            ON {", ".join(NUMERIC)} INTO NAME name VALUE v)
+  SELECT x.student_id, 'ax_' || a.name || '__x__' || b.name AS name, {r6("x.v * z.v", 4)} AS value
+  FROM top a JOIN top b ON a.rk < b.rk JOIN cells x ON x.name = a.name JOIN cells z ON z.name = b.name AND z.student_id = x.student_id""")
 def _(t):
     train, df = t.applicants("train"), t.applicants()
     cols = features.numeric_columns(train, ("student_id", "score"))
-    chosen = features.auto_interactions(train, cols, "score")
-    made = features.product_features(chosen)
-    return df.select("student_id", *[R.rounded(e, 4).alias(n) for n, e in made.items()])
+    made = features.product_features(features.auto_interactions(train, cols, "score"))
+    long = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), R.rounded(e.cast("double"), 4).alias("value")) for n, e in made.items()]))
+    return df.select("student_id", long.alias("c")).select("student_id", "c.*").where("value is not null")
 
 
-
-
-@query("b19_auto_interaction_pairs", f"""{TRAIN_SQL},
-  long AS (UNPIVOT (SELECT score, {", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM train)) AS {c}" for c in NUMERIC)} FROM train)
-           ON {", ".join(NUMERIC)} INTO NAME name VALUE v),
-  r AS (SELECT name, abs(corr(v, score)) AS c FROM long GROUP BY name),
-  top AS (SELECT name, row_number() OVER (ORDER BY c DESC, name) AS rk FROM r ORDER BY rk LIMIT 8)
+@query("b19_auto_interaction_pairs", f"""{TOP_COLUMNS}
   SELECT a.name AS a, b.name AS b FROM top a JOIN top b ON a.rk < b.rk""")
 def _(t):
     train = t.applicants("train")

@@ -201,7 +201,7 @@ class Fitted:
 
 
 def fit_ridge(df: DataFrame, y: str, alpha: float, weight: str | None = None, features_col: str = "features",
-              solver: str = "exact", rounds: int = 500, tol: float = 1e-8) -> RidgeModel | LinearRegressionModel:
+              solver: str = "exact", rounds: int = 500, tol: float = 1e-6) -> RidgeModel | LinearRegressionModel:
     """Least squares plus ``alpha`` times the squared coefficients, intercept free.
 
     ``solver="exact"`` sums the products of all columns in one pass and solves the normal equations from those sums:
