@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import WORD, Scratch, only, sums_before
+from foldwise.llm.common import WORD, Scratch, only, pieces, sums_before
 from foldwise.operators.ranks import sorted_codes
 
 BLOCK = 1024  # words
@@ -117,7 +117,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text as often as it is taken whole, and its beginning for what is left."""
     import re
     word = re.compile(WORD)
-    for batch in batches:
+    for batch in pieces(batches):
         names = batch.schema.names
         at, texts = [], []
         for i, (text, size, taken) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "_size", "_taken")))):
