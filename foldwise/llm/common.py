@@ -17,6 +17,7 @@ from foldwise.scratch import scratch_root
 #: Code points that separate words: space, and tab to carriage return.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,15 @@ def only(df: DataFrame, **columns) -> DataFrame:
                        for name, c in columns.items()])
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of 4 MB instead of Spark's 64 MB if its session has that default: texts are long, and
+    tasks hold a batch several times over, on both sides."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name, None) in ("67108864b", "67108864", "64MB"):
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 class Scratch:
     """Tables of one run in the shared folder; each can be removed once nothing reads it any more."""
 
@@ -74,7 +84,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4 << 20,
+def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 256 << 10,
            rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds at most ``rows`` rows and about ``limit`` bytes of text, or one row that is longer."""
     for batch in batches:

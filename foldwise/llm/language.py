@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from foldwise.llm.common import mix64, pieces, utf8
+from foldwise.llm.common import mix64, pieces, short_batches, utf8
 
 SLOTS, CENTROIDS, ROUNDS = 4096, 4, 12
 SAMPLE = 1500  # documents of a language from which its centroids are made, about
@@ -95,7 +95,7 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, list[tuple[str, bytes, float]]]:
     """Weights and centroids from ``docs(doc_id, text, lang)``; rows without language are not used."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").where(
         "lang is not null and text is not null")
-    found = docs.select("text").mapInArrow(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+    found = short_batches(docs.select("text")).mapInArrow(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(SLOTS + 1)
     for r in found:
         df[r["slot"]] = r["n"]
@@ -103,7 +103,7 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, list[tuple[str, bytes, float]]]:
     shares = docs.groupBy("lang").agg(F.count("*").alias("n")).select(
         F.col("lang").alias("l"), (F.lit(float(SAMPLE)) / F.col("n")).alias("share"))
     hashed = F.xxhash64("doc_id", F.length("text"), F.lit("sample"))
-    sample = (docs.withColumn("hash", hashed).join(shares, F.col("lang") == F.col("l"))
+    sample = (docs.withColumn("hash", hashed).join(F.broadcast(shares), F.col("lang") == F.col("l"))  # a row per language
               .where(F.shiftrightunsigned("hash", 11) / F.lit(float(1 << 53)) < F.col("share")).select("lang", "text", "hash"))
     rows = sample.groupBy("lang").applyInArrow(_centroids(idf), "lang string, centroid binary, least double").collect()
     return idf, sorted((r["lang"], bytes(r["centroid"]), r["least"]) for r in rows)
@@ -130,6 +130,6 @@ def predict(docs: DataFrame, model: tuple[np.ndarray, list[tuple[str, bytes, flo
                 [*[batch.column(n) for n in names], pa.array(pred.tolist(), pa.string()),
                  pa.array(np.where(letters, value, 0.0)), pa.array(far | ~letters)], [*names, "lang_pred", "score", "rejected"])
 
-    marked = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    marked = short_batches(docs).withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     schema = StructType(docs.schema.fields + StructType.fromDDL("lang_pred string, score double, rejected boolean").fields)
     return marked.mapInArrow(run, schema)
