@@ -167,12 +167,12 @@ def _(t):
     return all_rounded(made.long(t("benchmark"), "item_id", "text"))
 
 
-@query("t06_stacked_blocks", f"""WITH {word_terms_sql("conv", 1, 3, "id", tag="w").replace("toksw AS", "conv AS (SELECT conv_id * 1000 + turn AS id, text FROM conversations), toksw AS", 1)},
+@query("t06_stacked_blocks", f"""WITH {word_terms_sql("conv", 1, 3, "id", tag="w").replace("toksw AS", "conv AS (SELECT concat_ws('-', conv_id, turn) AS id, text FROM conversations), toksw AS", 1)},
   {vocab_sql("conv", 2, 5000, "w")}, {weights_sql("id", "w")},
   {char_terms_sql("conv", 3, 5, "id", tag="c")},
   {vocab_sql("conv", 3, 30000, "c", "(SELECT count(*) FROM vocabw)")}, {weights_sql("id", "c")}
   SELECT id, term_id, {r6("weight")} AS weight FROM unitw UNION ALL SELECT id, term_id, {r6("weight")} FROM unitc""")
 def _(t):
-    df = t("conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
+    df = t("conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), "text")
     made = tfidf.fit_vectoriser(df, "id", "text")
     return all_rounded(made.long(df, "id", "text"))
