@@ -139,3 +139,31 @@ parts AS (
     CAST(floor(target) AS BIGINT) % greatest(source_size, 1) AS rest FROM queued)
 SELECT doc_id, size, source_size, target,
   CAST(rounds * size + greatest(0, least(pos + size, rest) - pos) AS BIGINT) AS taken FROM parts"""
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+')"""
+#: From ``items(uid, ws)``: their distinct shingles, links of similarity 0.8, and every item that a chain of links reaches.
+_LINKED = """shingled AS (SELECT DISTINCT uid, CASE WHEN len(ws) < 5 THEN ws ELSE list_slice(ws, i, i + 4) END AS g
+    FROM (SELECT uid, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM items WHERE len(ws) > 0)),
+  sizes AS (SELECT uid, count(*) AS n FROM shingled GROUP BY uid),
+  common AS (SELECT a.uid AS a, b.uid AS b, count(*) AS o FROM shingled a JOIN shingled b ON a.g = b.g AND a.uid < b.uid GROUP BY 1, 2),
+  links AS (SELECT a, b FROM common JOIN sizes x ON x.uid = a JOIN sizes y ON y.uid = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+  edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+  reached AS (SELECT uid AS node, uid AS other FROM sizes UNION SELECT r.node, e.b FROM reached r JOIN edges e ON r.other = e.a)"""
+
+SQL["op7_ngram_jaccard_join"] = f"""WITH RECURSIVE items AS (SELECT row_number() OVER () AS uid, doc_id, {_WORDS.format(text="text")} AS ws FROM documents),
+  {_LINKED},
+  roots AS (SELECT node, min(doc_id) AS component FROM reached JOIN items ON uid = other GROUP BY node)
+  SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id
+  FROM items LEFT JOIN sizes USING (uid) LEFT JOIN roots ON node = items.uid"""
+
+SQL["op3_repeated_paragraphs"] = f"""WITH RECURSIVE parts AS (
+    SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS paragraph, unnest(string_split(text, chr(10))) AS part FROM documents),
+  items AS (SELECT row_number() OVER (ORDER BY doc_id, paragraph) AS uid, doc_id, paragraph, ws
+    FROM (SELECT doc_id, paragraph, {_WORDS.format(text="part")} AS ws FROM parts) WHERE len(ws) >= 5),
+  {_LINKED},
+  roots AS (SELECT node, min(other) AS root, count(*) AS n_members FROM reached GROUP BY node HAVING count(*) > 1)
+  SELECT i.doc_id, CAST(i.paragraph AS BIGINT) AS paragraph, CAST(len(i.ws) AS BIGINT) AS n_words, n_members,
+    k.doc_id AS kept_doc_id, CAST(k.paragraph AS BIGINT) AS kept_paragraph, root <> node AS removed
+  FROM roots JOIN items i ON i.uid = node JOIN items k ON k.uid = root"""
