@@ -61,7 +61,8 @@ def _(t):
     return all_rounded(model.transform(t("embeddings")).drop("embedding"), digits=4)
 
 
-@query("t09_a09_cached_text_vectors")
+@query("t09_a09_cached_text_vectors",
+       "SELECT conv_id, turn, CAST(16 AS INT) AS dims FROM conversations WHERE text IS NOT NULL")
 def _(t):
     talks = t("conversations").where("text is not null")
     model = reduce.fit_text_vectors(talks, "text", dims=16)
