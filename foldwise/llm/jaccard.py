@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.llm import shared
-from foldwise.llm.common import Scratch, only, pieces, utf8
+from foldwise.llm.common import Scratch, only, pieces, short_batches, utf8
 from foldwise.llm.units import clusters, linked
 from foldwise.llm.words import distinct, shingles, signatures, word_hashes
 
-CHUNK_BYTES, CHUNK_ROWS = 8 << 20, 1 << 16  # text and rows that are gathered before they are sent
+CHUNK_BYTES, CHUNK_ROWS = 4 << 20, 1 << 16  # text and rows that are gathered before they are sent
 
 
 def _sent(size: int, bits: int):
@@ -86,7 +86,7 @@ def _components(docs: DataFrame, percent: int, size: int) -> DataFrame:
     docs = only(docs, doc_id="doc_id", text="text").withColumn("text_hash", F.xxhash64("text"))
     letters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = shared.bucket_bits(letters // 6)
-    packets = docs.mapInArrow(_sent(size, bits), shared.PACKET)
+    packets = short_batches(docs).mapInArrow(_sent(size, bits), shared.PACKET)
     sets = scratch.keep(shared.answers(packets, bits).groupBy("base").applyInArrow(
         _sets(percent), "uid long, doc_id long, text_hash long, n long, one long, two long, keys binary, tokens binary"), "sets")
     # null ids come after all others, and of a repeated id the smallest text_hash first
