@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import WORD, Scratch, only, pieces, sums_before
+from foldwise.llm.common import WORD, Scratch, only, pieces, short_batches, sums_before
 from foldwise.operators.ranks import sorted_codes
 
 BLOCK = 1024  # words
@@ -142,4 +142,4 @@ def apply(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float
         F.ceil(F.sum("taken") / F.count("*")).cast("long").alias("_taken")).select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("size").alias("_size"), "_taken")
     ready = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & F.xxhash64("text").eqNullSafe(F.col("_h"))).drop("_d", "_h")
-    return ready.mapInArrow(_cut, docs.schema)
+    return short_batches(ready).mapInArrow(_cut, docs.schema)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from foldwise.llm.common import pieces
+from foldwise.llm.common import pieces, short_batches
 
 PART, LEVEL, DICTIONARY = 2048, 3, 112 << 10  # bytes of a part, compression level, bytes of a dictionary
 DICTIONARY_ROWS, CALIBRATION_ROWS = 2000, 8000  # labelled rows used at most: of each label, and for the curve
@@ -133,7 +133,7 @@ def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFra
                 value = 1 / (1 + np.exp(-np.clip(x @ model.weights[1:] + model.weights[0], -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return short_batches(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:
