@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import Scratch, only, pieces, sums_before
-from foldwise.llm.tokens import encoder
+from foldwise.llm.common import Scratch, only, pieces, short_batches, sums_before
+from foldwise.llm.tokens import ENCODED, WordEncoder
 
 BLOCK_TOKENS = 1 << 20  # tokens that one task lays out at a time
 RUN = 256  # a source is served at least so many tokens at once, unless its queue ends
@@ -33,8 +33,9 @@ STRETCHES = 1024  # hash ranges per source for running sums
 
 def _encoded(path: str, spaces: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            ids, n = encoder(path, spaces).encode(batch.column("text").fill_null("").to_pylist())
+        words = WordEncoder(path, spaces)
+        for batch in pieces(batches, limit=ENCODED):
+            ids, n = words.encode(batch.column("text").fill_null("").to_pylist())
             kind = "<u2" if not len(ids) or max(int(ids.max()), end_id) < 1 << 16 else "<u4"
             ends, end = np.cumsum(n), np.array([end_id], kind).tobytes()
             ids = ids.astype(kind)
@@ -44,6 +45,7 @@ def _encoded(path: str, spaces: str, end_id: int):
                 [batch.column("uid"), batch.column("doc_id").cast(pa.int64()), batch.column("source").cast(pa.string()),
                  pa.array(n + 1, pa.int64()), pa.array([width] * len(n), pa.int32()), pa.array(rows, pa.binary())],
                 ["uid", "doc_id", "source", "n", "width", "ids"])
+        words.keep()
     return run
 
 
@@ -121,17 +123,21 @@ def _laid_out(window: int):
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = {c: [] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")}
-        for doc_id, n, width, ids, parts in zip(*(batch.column(c).to_pylist()
-                                                  for c in ("doc_id", "n", "width", "ids", "parts"))):
-            data = memoryview(np.frombuffer(ids, f"<u{width}").astype("<u4")).cast("B")
-            for p in parts:
-                rows["doc_id"].append(doc_id)
-                rows["doc_tokens"].append(n)
-                rows["ids_crc32"].append(zlib.crc32(data[4 * p["start"]:4 * (p["start"] + p["length"])]))
-                for c in ("start", "length", "sequence_id", "offset"):
-                    rows[c].append(p[c])
-        yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in rows.items()})
+        parts = batch.column("parts")
+        each = np.diff(parts.offsets.to_numpy())
+        flat = parts.flatten()
+        place = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "length", "sequence_id", "offset")}
+        starts, ends = (4 * place["start"]).tolist(), (4 * (place["start"] + place["length"])).tolist()
+        sums, at = [], 0
+        for width, ids, n in zip(batch.column("width").to_pylist(), batch.column("ids"), each.tolist()):
+            data = memoryview(np.frombuffer(ids.as_buffer(), f"<u{width}").astype("<u4")).cast("B")
+            sums += [zlib.crc32(data[a:z]) for a, z in zip(starts[at:at + n], ends[at:at + n])]
+            at += n
+        doc = pa.array(np.repeat(np.arange(batch.num_rows), each))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(doc), pa.array(place["start"]), pa.array(place["length"]), pa.array(sums, pa.int64()),
+             batch.column("n").take(doc), pa.array(place["sequence_id"]), pa.array(place["offset"])],
+            ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
 def pack(docs: DataFrame, tokenizer: str, spaces: str, end_id: int, window: int = 1024) -> DataFrame:
@@ -139,9 +145,9 @@ def pack(docs: DataFrame, tokenizer: str, spaces: str, end_id: int, window: int
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     rows = (only(docs, doc_id="doc_id", text="text", source="source")
             .withColumn("uid", F.monotonically_increasing_id()))
-    encoded = scratch.keep(rows.mapInArrow(
+    encoded = scratch.keep(short_batches(rows).mapInArrow(
         _encoded(tokenizer, spaces, end_id),
-        "uid long, doc_id long, source string, n long, width int, ids binary"), "ids")
+        "uid long, doc_id long, source string, n long, width int, ids binary"), "ids", "snappy")
     docs = encoded.select("uid", "source", "n", F.xxhash64("doc_id", "n").alias("hash"))
     sizes = docs.groupBy("source").agg(F.sum("n").alias("size")).withColumn("queue", F.xxhash64("source"))
     total = sizes.agg(F.sum("size")).first()[0] or 0

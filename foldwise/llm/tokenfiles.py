@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foldwise.llm import phash
-from foldwise.llm.common import mix64, only, partitions, pieces
-from foldwise.llm.tokens import encoder
+from foldwise.llm.common import mix64, only, partitions, pieces, short_batches
+from foldwise.llm.tokens import ENCODED, WordEncoder
 
 SHARD = "part int, seq int, shard long, width int, n_ids long, n_docs long, payload binary, counts binary, keys binary"
 SHARD_BYTES = 4 << 20  # a shard is closed at the first document that passes this
@@ -58,7 +58,7 @@ def _sharded(path: str, spaces: str, end_id: int, width: int):
     kind = np.dtype(f"<u{width}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, last = TaskContext.get().partitionId(), 0, None
+        part, seq, last, words = TaskContext.get().partitionId(), 0, None, WordEncoder(path, spaces)
         payload, counts, keys, size = [], [], [], 0
 
         def close():
@@ -69,9 +69,9 @@ def _sharded(path: str, spaces: str, end_id: int, width: int):
                 "n_ids": [size // width], "n_docs": [len(c)], "payload": [b"".join(payload)],
                 "counts": [c.tobytes()], "keys": [np.concatenate(keys).tobytes()]})
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=ENCODED):
             texts = batch.column("text").fill_null("").to_pylist()
-            ids, n = encoder(path, spaces).encode(texts)
+            ids, n = words.encode(texts)
             ends = np.cumsum(n)
             full = np.empty(len(ids) + len(n), kind)
             stop = ends + np.arange(len(n))
@@ -88,6 +88,7 @@ def _sharded(path: str, spaces: str, end_id: int, width: int):
                 payload, counts, keys, size, seq = [], [], [], 0, seq + 1
         if counts:
             yield close()
+        words.keep()
     return run
 
 
@@ -123,7 +124,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, spaces: str, end_id: int
     """Encode ``docs(doc_id, text)`` and write shards and index to ``folder``."""
     spark = docs.sparkSession
     n = partitions(spark)
-    (only(docs, doc_id="doc_id", text="text").repartitionByRange(n, F.col("doc_id").asc_nulls_first())
+    (short_batches(only(docs, doc_id="doc_id", text="text")).repartitionByRange(n, F.col("doc_id").asc_nulls_first())
      .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
      .mapInArrow(_sharded(tokenizer, spaces, end_id, width), SHARD)
      .write.option("compression", "none").parquet(f"{folder}/shards"))
