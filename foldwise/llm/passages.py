@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm import shared
-from foldwise.llm.common import Scratch, mix64, only, pieces, ragged, utf8
+from foldwise.llm.common import Scratch, mix64, only, pieces, ragged, short_batches, utf8
 from foldwise.llm.units import clusters, linked
 from foldwise.llm.words import distinct, shingles, word_hashes
 
 SHINGLE, BANDS, ROWS = 5, 16, 4
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 NOTE = ("doc_id", "known", "text_hash", "paragraph", "n_words", "one", "two")
 
 
@@ -145,7 +145,7 @@ def _repeated(docs: DataFrame, percent: int) -> DataFrame:
     scratch, rows = Scratch(docs.sparkSession), _rows(docs)
     letters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = shared.bucket_bits(letters * BANDS // 300)
-    packets = rows.mapInArrow(_sent(bits), shared.PACKET)
+    packets = short_batches(rows).mapInArrow(_sent(bits), shared.PACKET)
     found = scratch.keep(shared.answers(packets, bits).groupBy("base").applyInArrow(_listed, _PARAGRAPH), "paragraphs")
     classes = scratch.keep(found.groupBy("one", "two").agg(
         F.min("uid").alias("rep"), F.count("*").alias("copies"),
@@ -157,7 +157,7 @@ def _repeated(docs: DataFrame, percent: int) -> DataFrame:
               .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("paragraph", "uid", "keys")).alias("wanted"))
               .select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "wanted"))
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
-    items = scratch.keep(texts.select("text", "wanted").mapInArrow(
+    items = scratch.keep(short_batches(texts.select("text", "wanted")).mapInArrow(
         _shingled, "uid long, n long, keys binary, tokens binary").dropDuplicates(["uid"]), "items")
     of = linked(labels, items, scratch, "paragraphs", percent, ordered=False)
     grouped = scratch.keep(classes.join(of, F.col("rep") == F.col("node"), "left").select(

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-BUCKET_KEYS = 1 << 21  # keys that one bucket receives, on average, at most
+BUCKET_KEYS = 1 << 20  # keys that one bucket receives, on average, at most
 FREQUENT = 64  # holders in one chunk from which on a key counts as frequent everywhere
 FREQUENT_DF = (1 << 32) - 1
 PACKET = ("bucket long, base long, owners binary, counts binary, high binary, low binary, frequent binary, "
