@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import mix64, only, partitions, pieces, utf8
+from foldwise.llm.common import mix64, only, partitions, pieces, short_batches, utf8
 from foldwise.llm.words import INVERSE, MULTIPLIER
 
 WINDOW, STRETCH, WINS = 32, 32, 8  # bytes of a window; windows of a stretch; stretches a feature must win
@@ -163,7 +163,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(LEVELS, np.int64)
-    for batch in pieces(batches, limit=1 << 20):
+    for batch in pieces(batches):
         data, offsets = utf8(batch.column("text"))
         level = levels(data)
         edge = np.zeros(len(level) + 1, np.int64)  # windows that cross from one text to the next do not count
@@ -177,7 +177,7 @@ def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def ranks(docs: DataFrame) -> np.ndarray:
     """Entropy levels by how many windows of all ``docs(text)`` have them: 0 for the rarest, ties to the lower level."""
-    found = docs.select("text").mapInArrow(_histogram, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()
+    found = short_batches(docs.select("text")).mapInArrow(_histogram, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()
     n = np.zeros(LEVELS, np.int64)
     for r in found:
         n[r["level"]] = r["n"]
@@ -191,7 +191,7 @@ def chains(texts: list[str], rank: np.ndarray) -> list[np.ndarray]:
     return filters(*features(data, offsets, rank)) if texts else []
 
 
-def digests(texts: list[str], rank: np.ndarray, limit: int = 1 << 20) -> list[np.ndarray]:
+def digests(texts: list[str], rank: np.ndarray, limit: int = 256 << 10) -> list[np.ndarray]:
     out, part, size = [], [], 0
     for text in texts:
         part.append(text)
@@ -230,7 +230,7 @@ def _compared(rank: np.ndarray):
                 "near_edited": pa.array([likeness(own[i], c) for i, c in zip(at, theirs)], pa.float64()),
                 "near_next": pa.array([likeness(own[i], own[i + 1]) for i in at], pa.float64())})
 
-        for batch in pieces(batches, limit=1 << 20):
+        for batch in pieces(batches):
             ids += batch.column("doc_id").to_pylist()
             texts += batch.column("text").fill_null("").to_pylist()
             marks += batch.column("closing").to_pylist()
