@@ -17,7 +17,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from foldwise.llm.common import only, pieces, worker_state
+from foldwise.llm.common import only, pieces, short_batches, worker_state
 
 MARK = "▁"
 REMEMBERED = 1_000_000  # words whose counts a worker keeps, about
@@ -97,4 +97,4 @@ def counts(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())],
                 ["doc_id", "n_words", "n_tokens"])
-    return only(docs, doc_id="doc_id", text="text").mapInArrow(run, "doc_id long, n_words long, n_tokens long")
+    return short_batches(only(docs, doc_id="doc_id", text="text")).mapInArrow(run, "doc_id long, n_words long, n_tokens long")
