@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import jaccard, mixture, packing, passages, quality
+from foldwise.llm import jaccard, mixture, packing, passages, quality, runs
 from foldwise.llm.common import Scratch, table
 from foldwise.llm.queries import quality_model, vocabulary
 
@@ -34,8 +34,8 @@ def keep_first_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_repeated_paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Paragraphs that repeat an earlier one go, and documents of which nothing is left."""
-    return _measured(passages.remove(docs))
+    """Paragraphs that repeat an earlier one go, then passages that do wherever they stand, and documents of which nothing is left."""
+    return _measured(runs.remove(Scratch(spark).keep(passages.remove(docs), "paragraphs-removed")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm import digest, jaccard, language, mixture, packing, passages, quality, tokencount, tokenfiles, topk
+from foldwise.llm import digest, jaccard, language, mixture, packing, passages, quality, runs, tokencount, tokenfiles, topk
 from foldwise.llm.common import Scratch, only, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,12 @@ def op3_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of fifty words or more that stands, word for word, somewhere before, within paragraphs and across them."""
+    return runs.repeated(table(spark, sf_dir, "documents"))
+
+
 def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str) -> quality.Model:
     """Learned from the labels of documents that are not held out."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))

@@ -1,11 +1,12 @@
 """Linked documents and paragraphs against all pairs."""
 
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from foldwise.llm import components, jaccard, passages, shared, units
+from foldwise.llm import components, jaccard, passages, runs, shared, units
 from foldwise.llm.common import Scratch
 
 
@@ -145,3 +146,58 @@ def test_removal_leaves_first_paragraphs(frame, paragraphed):
 
 def test_paragraphs_of_nothing(frame):
     assert passages.repeated(frame([])).count() == 0 and passages.remove(frame([(1, None), (2, "")])).count() == 2
+
+
+def all_runs(rows, size=50):
+    """Words that go from each row: those of every run that stands before, but not over its first place."""
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
+    split = [words(t) for _, t in rows]
+    first, gone = {}, {k: set() for k in order}
+    for k in order:
+        for a in range(len(split[k]) - size + 1):
+            at = first.setdefault(tuple(split[k][a:a + size]), (k, a))
+            if at[0] != k or a >= at[1] + size:
+                gone[k].update(range(a, a + size))
+    return gone
+
+
+@pytest.fixture(scope="module")
+def planted():
+    rng = random.Random(3)
+    new = lambda n: ["".join(rng.choices("etaoinsr", k=rng.randint(3, 8))) for _ in range(n)]
+    part, other, third = new(57), new(50), new(80)
+    inside = lambda p: " ".join(new(40) + p + new(43))
+    rows = [(i, inside(part)) for i in (3, 1, 2)]  # in the middle of longer paragraphs
+    rows += [(4, "\n".join(" ".join(other[k:k + 7]) for k in range(0, 50, 7))), (5, "Ahead\n" + " ".join(new(30) + other).upper() + "\nbehind")]
+    rows += [(6, inside(third)), (7, inside(third[:49])), (8, inside(third[10:70]))]  # 49 words are too few
+    rows += [(9, " ".join(third + new(5) + third)), (10, " ".join(["a", "b"] * 90)), (None, " ".join(third)), (11, " ".join(new(60)))]
+    return rows
+
+
+def test_passages_equal_all_runs(frame, planted, odd_rows, monkeypatch):
+    monkeypatch.setattr(shared, "FREQUENT", 3)
+    odd = [r for r in odd_rows if r[0] not in (8, 13, 14)]
+    for rows in (planted, planted + [(None if i is None else 100 + i, t) for i, t in odd]):
+        found = runs.repeated(frame(rows).withColumn("names", F.lit(0)).repartition(5)).collect()
+        got = sorted(((r["doc_id"], r["first_word"] + k) for r in found for k in range(r["n_words"])), key=str)
+        assert got == sorted(((rows[k][0], a) for k, g in all_runs(rows).items() for a in g), key=str)
+        split = {i: words(t) for i, t in rows if i is not None}
+        for r in found:
+            own = split[r["doc_id"]] if r["doc_id"] is not None else words(planted[-2][1])
+            assert own[r["first_word"]:][:50] == split[r["kept_doc_id"]][r["kept_word"]:][:50]
+
+
+def test_removal_takes_passages_out_of_paragraphs(frame, planted):
+    docs = frame(planted).withColumn("lang", F.lit("x"))
+    kept = runs.remove(passages.remove(docs))
+    assert kept.columns == docs.columns
+    kept = {r["doc_id"]: r["text"] for r in kept.collect()}
+    gone = all_runs(planted)
+    for k, (i, t) in enumerate(planted):
+        left = [w for n, w in enumerate(words(t)) if n not in gone[k]]
+        assert words(kept.get(i)) == left and (i in kept) == bool(left)
+    assert kept[5].startswith("Ahead\n") and kept[5].endswith("\nbehind") and kept[11] == planted[-1][1]
+
+
+def test_passages_of_nothing(frame):
+    assert runs.repeated(frame([])).count() == 0 and runs.remove(frame([(1, None), (2, "")])).count() == 2
