@@ -1,6 +1,6 @@
 """Text quality by compression: which of two dictionaries, built from good and from bad text, shortens a text more.
 
-Fitting takes a bounded sample of labelled rows. One half of it (by a hash of the id) gives two zstandard dictionaries, the other
+Fitting takes a bounded sample of labelled rows, and of their whole texts parts of 2 KB up to about 32 MB a label. One half of it (by a hash of the id) gives two zstandard dictionaries, the other
 half a calibration: a ridge-penalised logistic curve over the compressed sizes, namely the normalised difference of the two and the sizes
 relative to the text, with squares and products. Scoring compresses every whole text, in parts of 2 KB so that the dictionaries
 keep their weight in long texts; each part counts.
@@ -21,12 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from foldwise.llm.common import pieces, short_batches
+from foldwise.llm.common import mix64, pieces, short_batches
 
 PART, LEVEL, DICTIONARY = 2048, 3, 112 << 10  # bytes of a part, compression level, bytes of a dictionary
 DICTIONARY_ROWS, CALIBRATION_ROWS = 2000, 8000  # labelled rows used at most: of each label, and for the curve
-SAMPLE_BYTES = 16 << 10  # of one text in a dictionary's sample
+SAMPLE_BYTES = 32 << 20  # of the parts of each label that a dictionary learns from, about
 RIDGE = 0.05
+_DRAWN = pa.schema([("label", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("place", pa.int64()), ("part", pa.binary())])
 
 
 @dataclass(frozen=True)
@@ -39,10 +40,23 @@ class Model:
     constant: float
 
 
-def _dictionary(texts: list[str]) -> bytes:
+def _drawn(share: dict[int, float]):
+    """Parts of whole texts, chosen by a hash of text and position, so that all places of a long text can be drawn."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            out = []
+            for label, doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("label", "doc_id", "key", "text"))):
+                data = text.encode()
+                place = np.arange(-(-len(data) // PART))
+                chance = (mix64(place.astype(np.uint64) ^ mix64(np.array([key]).view(np.uint64))) >> np.uint64(11)) / 2.0 ** 53
+                out += [(label, doc_id, key, i, data[i * PART:(i + 1) * PART]) for i in np.flatnonzero(chance < share[label]).tolist()]
+            if out:
+                yield pa.RecordBatch.from_pydict(dict(zip(_DRAWN.names, zip(*out))), schema=_DRAWN)
+    return run
+
+
+def _dictionary(parts: list[bytes]) -> bytes:
     import zstandard
-    parts = [t.encode()[:SAMPLE_BYTES] for t in texts]
-    parts = [p[i:i + PART] for p in parts for i in range(0, len(p), PART)]
     parts = [p for p in parts if len(p) >= 8]
     try:
         return zstandard.train_dictionary(DICTIONARY, parts).as_bytes()
@@ -99,9 +113,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = parts[0].union(parts[1]).union(parts[2]).withColumnRenamed("doc_id", "_id")  # bounded: may be broadcast
     bound = 2 * DICTIONARY_ROWS + CALIBRATION_ROWS
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    texts = rows.where("use < 2").select("label", F.substring("text", 1, SAMPLE_BYTES).alias("text"), "doc_id")
-    samples = sorted(texts.where("text is not null").limit(bound).collect(), key=lambda r: (r["doc_id"], r["text"]))
-    good, bad = (_dictionary([r["text"] for r in samples if r["label"] == v]) for v in (1, 0))
+    texts = rows.where("use < 2 and text is not null").select(
+        "label", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), "text")
+    totals = texts.groupBy("label").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).collect()
+    share = {r["label"]: SAMPLE_BYTES / max(r["bytes"], 1) for r in totals}
+    drawn = short_batches(texts).mapInArrow(_drawn(share), "label int, doc_id long, key long, place long, part binary")
+    samples = sorted(drawn.collect(), key=lambda r: (r["doc_id"], r["key"], r["place"]))
+    good, bad = (_dictionary([bytes(r["part"]) for r in samples if r["label"] == v]) for v in (1, 0))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = _Sizes(good, bad)
@@ -112,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     seen = rows.where("use = 2").select("label", "text").limit(bound).mapInArrow(measured, "label int, x array<double>").collect()
     y = np.array([r["label"] for r in seen], float)
     if len(y) == 0 or y.min() == y.max():
-        known = y if len(y) else np.array([r["label"] for r in samples], float)
+        known = y if len(y) else np.repeat([r["label"] for r in totals], [r["n"] for r in totals]).astype(float)
         return Model(good, bad, None, None, None, float(known.mean()) if len(known) else 0.5)
     by = sorted(seen, key=lambda r: (r["label"], r["x"]))  # the same sums whatever the order of arrival
     return Model(good, bad, *_curve(np.array([r["x"] for r in by]), np.array([r["label"] for r in by], float)), 0.0)

@@ -45,6 +45,23 @@ def test_quality_of_odd_rows(frame, odd_rows, spark, documents):
     assert quality.score(frame([]), model).count() == 0
 
 
+def test_dictionaries_learn_from_all_places_of_a_text(frame, spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "_dictionary", lambda parts: seen.append(parts) or b"")
+    texts = [(i, "".join(f"{i:04d}:{k:06d} " for k in range(5000))) for i in range(40)]  # 60 KB each
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, label int")
+    quality.fit(frame(texts), labels)
+    assert any(b":004999 " in p for p in seen[0]) and any(b":004999 " in p for p in seen[1])
+    whole = sum(len(p) for parts in seen for p in parts)
+    seen.clear()
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 200_000)
+    quality.fit(frame(texts).repartition(3), labels)
+    for parts in seen:
+        places = [int(p[5:11]) if p[4:5] == b":" else int(p.split(b":")[1][:6]) for p in parts]
+        assert 100_000 < sum(map(len, parts)) < 300_000 and min(places) < 1500 and max(places) > 3500
+    assert whole % 60_000 == 0 and whole > 600_000
+
+
 @pytest.mark.parametrize("rows,constant", [([], 0.5), ([(5, 1), (6, 1)], 1.0), ([(5, None), (77, 0)], 0.5)])
 def test_quality_without_both_labels(frame, odd_rows, spark, rows, constant):
     model = quality.fit(frame(odd_rows), spark.createDataFrame(rows, "doc_id long, label int"))
