@@ -135,3 +135,34 @@ def sums_before(df: DataFrame, group: list[str], part: str, order: list, value:
         on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
     return (local.join(renamed, on).withColumn(name, F.col("_before") + F.col("_local"))
             .drop("_before", "_local", *[f"_{k}" for k in [*group, part]]))
+
+
+def _ranged(df: DataFrame, group: str, order: list, value: str | None, scratch: Scratch, name: str) -> DataFrame:
+    """Adds ``before`` and ``total``, the sums of ``value`` over a group's earlier rows and over all of them.
+
+    Rows are cut by group and order into ranges, written with their range, as ranges are drawn from a sample; sums of ranges are
+    cumulated, and windows hold one range. Rows alike in group and order are interchangeable and spread over ranges.
+    """
+    cut = (df.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(partitions(df.sparkSession), group, *order, "tie")
+           .withColumn("part", F.spark_partition_id()))
+    stored = scratch.keep(cut, name)
+    worth = F.col(value) if value else F.lit(1).cast("long")
+    of_group = Window.partitionBy("of_group")
+    totals = stored.groupBy(F.col(group).alias("of_group"), F.col("part").alias("of_part")).agg(F.sum(worth).alias("size"))
+    totals = totals.select("of_group", "of_part", F.sum("size").over(of_group).alias("total"), (F.sum("size").over(
+        of_group.orderBy("of_part")) - F.col("size")).alias("earlier"))
+    within = Window.partitionBy(group, "part").orderBy(*order, "tie").rowsBetween(Window.unboundedPreceding, 0)
+    local = stored.withColumn("local", F.sum(worth).over(within) - worth)
+    same = F.col(group).eqNullSafe(F.col("of_group")) & (F.col("part") == F.col("of_part"))
+    return (local.join(totals, same).withColumn("before", F.col("earlier") + F.col("local"))
+            .drop("tie", "part", "local", "of_group", "of_part", "earlier"))
+
+
+def placed(df: DataFrame, group: str, order: list, scratch: Scratch, name: str) -> DataFrame:
+    """Adds ``pos``, the place of each row in its group, and ``n``, the group's rows, for any size of a group."""
+    return _ranged(df, group, order, None, scratch, name).withColumnsRenamed({"before": "pos", "total": "n"})
+
+
+def placed_sums(df: DataFrame, group: str, order: list, value: str, name: str, scratch: Scratch, table: str) -> DataFrame:
+    """Adds ``name``, the sum of ``value`` over the rows before each in its group, for any size of a group."""
+    return _ranged(df, group, order, value, scratch, table).drop("total").withColumnRenamed("before", name)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm import digest, jaccard, language, mixture, packing, passages, quality, runs, tokencount, tokenfiles, topk
+from foldwise.llm import (chat, digest, jaccard, language, merkle, mixture, packing, passages, quality, runs, tokencount, tokenfiles,
+                          topk, whiten)
 from foldwise.llm.common import Scratch, only, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +174,66 @@ SQL["op3_repeated_paragraphs"] = f"""WITH RECURSIVE parts AS (
   SELECT i.doc_id, CAST(i.paragraph AS BIGINT) AS paragraph, CAST(len(i.ws) AS BIGINT) AS n_words, n_members,
     k.doc_id AS kept_doc_id, CAST(k.paragraph AS BIGINT) AS kept_paragraph, root <> node AS removed
   FROM roots JOIN items i ON i.uid = node JOIN items k ON k.uid = root"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its proof, and the root that its digest leads to once a third of the texts are altered."""
+    manifest = merkle.Manifest(merkle.documents(spark, table(spark, sf_dir, "documents")), Scratch(spark))
+    return manifest.check().withColumnRenamed("key", "doc_id")
+
+
+_FIELD = "coalesce(concat(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR), ':', CAST({0} AS VARCHAR)), '-')"
+_LEAF = "sha256(concat(" + ", ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + ", " + _FIELD + "))"
+#: The checksum of an id's digits, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda r, i: xor(r // 2, 3988292384::BIGINT * (r % 2)))), 4294967295::BIGINT)"""
+#: All levels over lists of nodes, by group; the last level has one node.
+_LEVELS = """{0} AS (SELECT g, 0 AS level, nodes FROM {1}
+    UNION ALL SELECT g, level + 1, list_transform(range(0, (len(nodes) + 7) // 8), lambda i: sha256(array_to_string(nodes[8 * i + 1:8 * i + 8], '')))
+    FROM {0} WHERE len(nodes) > 1)"""
+#: From a digest at a place to the last level, with all siblings on the way.
+_CLIMBED = """{0} AS (SELECT id, g, pos, 0 AS level, digest, '' AS siblings FROM {1}
+    UNION ALL SELECT id, c.g, pos // 8, c.level + 1,
+      sha256(concat(array_to_string(nodes[pos // 8 * 8 + 1:pos], ''), digest, array_to_string(nodes[pos + 2:pos // 8 * 8 + 8], ''))),
+      concat(siblings, array_to_string(nodes[pos // 8 * 8 + 1:pos], ''), array_to_string(nodes[pos + 2:pos // 8 * 8 + 8], ''))
+    FROM {0} c JOIN {2} l ON l.g = c.g AND l.level = c.level WHERE len(nodes) > 1)"""
+
+SQL["op12_merkle_manifest"] = f"""WITH RECURSIVE hashed AS (
+    SELECT row_number() OVER () AS id, doc_id, coalesce('.' || lang, '') AS g, {_LEAF.format("text")} AS leaf,
+      CASE WHEN ({_CRC}) % 3 = 0 THEN {_LEAF.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+        END AS altered FROM documents),
+  leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed),
+  grouped AS (SELECT g, list(leaf ORDER BY pos) AS nodes FROM leaves GROUP BY g),
+  {_LEVELS.format("levels", "grouped")},
+  subroots AS (SELECT g, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS place FROM levels WHERE len(nodes) = 1),
+  tops AS (SELECT '' AS g, list(subroot ORDER BY place) AS nodes FROM subroots HAVING count(*) > 0),
+  {_LEVELS.format("top_levels", "tops")},
+  offered AS (SELECT id, g, pos, coalesce(altered, leaf) AS digest FROM leaves),
+  {_CLIMBED.format("climbed", "offered", "levels")},
+  at_subroot AS (SELECT id, g, digest, siblings FROM climbed c WHERE level = (SELECT max(level) FROM levels l WHERE l.g = c.g)),
+  upper_start AS (SELECT id, '' AS g, place AS pos, digest FROM at_subroot JOIN subroots USING (g)),
+  {_CLIMBED.format("upper", "upper_start", "top_levels")},
+  at_root AS (SELECT id, digest, siblings FROM upper WHERE level = (SELECT max(level) FROM top_levels))
+  SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM top_levels WHERE len(nodes) = 1) AS root,
+    sha256(concat(a.siblings, r.siblings)) AS proof_sha256, r.digest AS folded_root,
+    r.digest = (SELECT nodes[1] FROM top_levels WHERE len(nodes) = 1) AS verified
+  FROM leaves JOIN at_subroot a USING (id) JOIN at_root r USING (id) JOIN subroots s ON s.g = leaves.g"""
+
+
+@query
+def op11_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, formatted into windows, written, read back and digested."""
+    turns = only(table(spark, sf_dir, "conversations"), conv_id="conv_id", turn="turn", role="role", text="text")
+    odd = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], turns.schema)
+    scratch = Scratch(spark)
+    windows = scratch.keep(chat.windows(turns.unionByName(odd), vocabulary("byte_bpe_50k.json"), scratch), "windows")
+    return chat.digests(windows, scratch)
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 16 whitened components of all distinct vectors."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), whiten.integers("embedding", 64, 1_000_000).alias("x"))
+    scratch = Scratch(spark)
+    return whiten.project(vectors, whiten.fit(vectors, scratch, 16)).withColumnRenamed("id", "vec_id")
