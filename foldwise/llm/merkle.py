@@ -5,7 +5,7 @@ subroot. Subroots, ordered by group, make the root the same way. A parent is the
 after the other. While it is made, a copy of the hash state is kept before each child's place; checking another digest at that place
 resumes the copy with that digest and the siblings to its right, and never reads those to the left again.
 
-Trees are built in runs of 512 nodes (three levels). A run is one unit of work, so no group of leaves, however large, meets in a
+Trees are built in runs of 512 nodes (three levels). A run is one row, so no group of leaves, however large, meets in a
 task, and a pass leaves a 512th of the nodes. Downwards every run gets its path: by level the siblings to the left and to the right.
 Its upper states are made once from the path and copied for each of its leaves.
 
@@ -16,17 +16,18 @@ of its own, before all others; groups are ordered bytewise. An empty table has n
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import Scratch, placed
+from foldwise.llm.common import Scratch, placed, short_batches
 
 FAN, RUN_LEVELS = 8, 3
 RUN = FAN ** RUN_LEVELS
-LEAF = "g string, run long, pos long, n long, digest string"
 PATH = "g string, pos long, left array<string>, right array<string>, subroot string, root string"
 
 
@@ -101,46 +102,46 @@ class Climb:
         return self.known[node]
 
 
-def _ordered(run: pa.Table) -> tuple[pa.Table, Tree]:
-    run = run.sort_by("pos").combine_chunks()
-    return run, Tree([d.encode() for d in run["digest"].to_pylist()], run["n"][0].as_py())
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.StructArray, Tree]]:
+    """Every run: its row, its nodes in order, and its tree."""
+    for batch in batches:
+        nodes, others = batch.column("nodes"), [c for c in batch.schema.names if c != "nodes"]
+        flat, ends, rows = nodes.flatten(), np.cumsum(pc.list_value_length(nodes).to_numpy(zero_copy_only=False)), batch.select(others).to_pylist()
+        for row, end, at in zip(rows, ends.tolist(), [0, *ends.tolist()]):
+            own = flat.slice(at, end - at)
+            yield row, own, Tree([d.encode() for d in own.field("digest").to_pylist()], row["n"])
 
 
-def _above(run: pa.Table) -> pa.Table:
-    """The node that a run becomes."""
-    run, tree = _ordered(run)
-    g, place, n = (run[c][0].as_py() for c in ("g", "run", "n"))
-    return pa.table({"g": pa.array([g]), "run": pa.array([place // RUN], pa.int64()), "pos": pa.array([place], pa.int64()),
-                     "n": pa.array([-(-n // RUN)], pa.int64()), "digest": pa.array([tree.top.decode()])})
+def _above(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes that runs become."""
+    rows = [{"g": row["g"], "run": row["run"] // RUN, "pos": row["run"], "n": -(-row["n"] // RUN), "digest": tree.top.decode()}
+            for row, _, tree in _runs(batches)]
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows)
 
 
-def _below(run: pa.Table, path: pa.Table) -> pa.Table:
+def _below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The paths of a run's nodes from that of the run."""
-    run, tree = _ordered(run)
-    path = path.to_pylist()[0]
-    sides = [tree.siblings(i) for i in range(run.num_rows)]
-    text = pa.list_(pa.string())
-    return pa.table({"g": run["g"], "pos": run["pos"],
-                     "left": pa.array([[a.decode() for a, _ in s] + path["left"] for s in sides], text),
-                     "right": pa.array([[b.decode() for _, b in s] + path["right"] for s in sides], text),
-                     "subroot": pa.array([path["subroot"]] * len(sides), pa.string()),
-                     "root": pa.array([path["root"]] * len(sides), pa.string())})
-
-
-def _checked(run: pa.Table, path: pa.Table) -> pa.Table:
+    for row, own, tree in _runs(batches):
+        sides, text = [tree.siblings(i) for i in range(len(own))], pa.list_(pa.string())
+        yield pa.RecordBatch.from_pydict({
+            "g": pa.array([row["g"]] * len(own), pa.string()), "pos": own.field("pos"),
+            "left": pa.array([[a.decode() for a, _ in s] + row["left"] for s in sides], text),
+            "right": pa.array([[b.decode() for _, b in s] + row["right"] for s in sides], text),
+            "subroot": pa.array([row["subroot"]] * len(own), pa.string()), "root": pa.array([row["root"]] * len(own), pa.string())})
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of every leaf its proof, and the root that its offered digest leads to."""
-    run, tree = _ordered(run)
-    path = path.to_pylist()[0]
-    climb, above = Climb(path["left"], path["right"]), "".join(a + b for a, b in zip(path["left"], path["right"])).encode()
-    proofs, folded = [], []
-    for at, offered in enumerate(run["offered"].to_pylist()):
-        proofs.append(hashlib.sha256(b"".join(a + b for a, b in tree.siblings(at)) + above).hexdigest())
-        folded.append(climb.fold(tree.fold(at, offered.encode())).decode())
-    n = run.num_rows
-    return pa.table({"key": run["key"], "leaf": run["digest"], "subroot": pa.array([path["subroot"]] * n, pa.string()),
-                     "root": pa.array([path["root"]] * n, pa.string()), "proof_sha256": pa.array(proofs, pa.string()),
-                     "folded_root": pa.array(folded, pa.string()),
-                     "verified": pa.array([f == path["root"] for f in folded], pa.bool_())})
+    for row, own, tree in _runs(batches):
+        climb = Climb(row["left"], row["right"])
+        above = "".join(a + b for a, b in zip(row["left"], row["right"])).encode()
+        proofs = [hashlib.sha256(b"".join(a + b for a, b in tree.siblings(i)) + above).hexdigest() for i in range(len(own))]
+        folded = [climb.fold(tree.fold(i, new.encode())).decode() for i, new in enumerate(own.field("offered").to_pylist())]
+        yield pa.RecordBatch.from_pydict({
+            "key": own.field("key"), "leaf": own.field("digest"), "subroot": pa.array([row["subroot"]] * len(own), pa.string()),
+            "root": pa.array([row["root"]] * len(own), pa.string()), "proof_sha256": pa.array(proofs, pa.string()),
+            "folded_root": pa.array(folded, pa.string()), "verified": pa.array([f == row["root"] for f in folded], pa.bool_())})
 
 
 class Manifest:
@@ -149,57 +150,53 @@ class Manifest:
     def __init__(self, leaves: DataFrame, scratch: Scratch):
         self.spark, self.scratch = leaves.sparkSession, scratch
         self.key = leaves.schema["key"].dataType.simpleString()
-        named = leaves.select(F.coalesce(F.concat(F.lit("."), F.col("grp").cast("string")), F.lit("")).alias("g"),
-                              "key", "digest", "offered")
-        at = placed(named, "g", [F.col("key").asc_nulls_first(), F.col("digest")], scratch, "leaves-ordered")
-        self.leaves = scratch.keep(at.withColumn("run", F.floor(F.col("pos") / RUN).cast("long")), "leaves")
-        scratch.drop("leaves-ordered")
-        self.passes = self._up(self.leaves.select(*self._names()), "leaf")
-        subroots = self.passes[-1].select("g", "digest")
-        all_ = placed(subroots.select(F.lit("").alias("g"), F.col("g").alias("of"), "digest"), "g", [F.col("of")],
-                      scratch, "subroots-ordered")
-        self.subroots = scratch.keep(all_.withColumn("run", F.floor(F.col("pos") / RUN).cast("long")), "subroots")
-        scratch.drop("subroots-ordered")
-        self.group_passes = self._up(self.subroots.select(*self._names()), "group")
-
-    @staticmethod
-    def _names() -> list[str]:
-        return [c.split()[0] for c in LEAF.split(", ")]
-
-    def _up(self, nodes: DataFrame, name: str) -> list[DataFrame]:
-        """The nodes of each pass, until every group has one."""
-        passes = [nodes]
-        while (passes[-1].agg(F.max("n")).first()[0] or 0) > 1:
-            above = passes[-1].groupBy("g", "run").applyInArrow(_above, LEAF)
-            passes.append(self.scratch.keep(above, f"{name}-pass-{len(passes)}"))
-        return passes
+        named = scratch.keep(leaves.select(F.coalesce(F.concat(F.lit("."), F.col("grp").cast("string")), F.lit("")).alias("g"),
+                                           "key", "digest", "offered"), "hashed")  # texts are read and hashed once
+        self.passes = self._up(placed(named, "g", [F.col("key").asc_nulls_first(), F.col("digest")], scratch, "leaves-ordered"),
+                               ["key", "offered"], "leaf")
+        subroots = self.passes[-1].select(F.lit("").alias("g"), F.col("g").alias("of"), F.col("nodes")[0]["digest"].alias("digest"))
+        self.group_passes = self._up(placed(subroots, "g", [F.col("of")], scratch, "subroots-ordered"), ["of"], "group")
+        scratch.drop("hashed", "leaves-ordered", "subroots-ordered")
+
+    def _up(self, nodes: DataFrame, more: list[str], name: str) -> list[DataFrame]:
+        """The runs of each pass, until every group has one node."""
+        nodes, passes = nodes.withColumn("run", F.floor(F.col("pos") / RUN).cast("long")), []
+        while True:
+            runs = nodes.groupBy("g", "run").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "digest", *more))).alias("nodes"))
+            passes.append(short_batches(self.scratch.keep(runs, f"{name}-pass-{len(passes)}")))
+            if (passes[-1].agg(F.max("n")).first()[0] or 0) <= 1:
+                return passes
+            nodes, more = passes[-1].mapInArrow(_above, "g string, run long, pos long, n long, digest string"), []
 
     def root(self) -> str | None:
-        row = self.group_passes[-1].select("digest").first()
+        row = self.group_passes[-1].select(F.col("nodes")[0]["digest"]).first()
         return row[0] if row else None
 
+    @staticmethod
+    def _with_path(runs: DataFrame, paths: DataFrame) -> DataFrame:
+        paths = paths.withColumnsRenamed({"g": "of_g", "pos": "of_run"})
+        return runs.join(paths, (F.col("g") == F.col("of_g")) & (F.col("run") == F.col("of_run"))).drop("of_g", "of_run")
+
     def _down(self, top: DataFrame, passes: list[DataFrame], name: str) -> DataFrame:
         """The paths of all runs below the top, from the paths of the top nodes."""
         for i in range(len(passes) - 2, -1, -1):
-            runs = top.withColumnRenamed("pos", "run")
-            top = self.scratch.keep(passes[i].groupBy("g", "run").cogroup(runs.groupBy("g", "run"))
-                                    .applyInArrow(_below, PATH), f"{name}-path-{i}")
+            top = self.scratch.keep(self._with_path(passes[i], top).mapInArrow(_below, PATH), f"{name}-path-{i}")
         return top
 
     def check(self) -> DataFrame:
         """``key, leaf, subroot, root, proof_sha256, folded_root, verified`` of every leaf."""
-        none = F.array().cast("array<string>")
-        top = self.group_passes[-1].select("g", "pos", none.alias("left"), none.alias("right"), F.col("digest").alias("subroot"),
-                                           F.col("digest").alias("root"))
+        none, digest_ = F.array().cast("array<string>"), F.col("nodes")[0]["digest"]
+        top = self.group_passes[-1].select("g", F.lit(0).cast("long").alias("pos"), none.alias("left"), none.alias("right"),
+                                           digest_.alias("subroot"), digest_.alias("root"))
         found = self._down(top, self.group_passes, "group").drop("subroot", "g")
-        named = self.subroots.select(F.col("pos").alias("p"), F.col("of").alias("g"), F.col("digest").alias("subroot"))
+        named = self.group_passes[0].select(F.explode("nodes").alias("node")).select(
+            F.col("node.pos").alias("p"), F.col("node.of").alias("g"), F.col("node.digest").alias("subroot"))
         groups = found.join(named, found["pos"] == named["p"]).select(
             "g", F.lit(0).cast("long").alias("pos"), "left", "right", "subroot", "root")
         runs = self._down(groups, self.passes[1:], "leaf") if len(self.passes) > 1 else groups
         kind = (f"key {self.key}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, "
                 "verified boolean")
-        runs = runs.withColumnRenamed("pos", "run")
-        return self.leaves.groupBy("g", "run").cogroup(runs.groupBy("g", "run")).applyInArrow(_checked, kind)
+        return self._with_path(self.passes[0], runs).mapInArrow(_checked, kind)
 
 
 def documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
