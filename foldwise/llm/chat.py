@@ -161,10 +161,10 @@ def windows(turns: DataFrame, tokenizer: str, scratch: Scratch, budget: int = BU
     plain = only(turns, conv_id="conv_id", turn="turn", role="role", text="text")
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     written = short_batches(plain.select("conv_id", "turn", role.alias("role"), formatted(role, text).alias("text")))
-    counted = written.mapInArrow(_counted(tokenizer), f"conv_id {key}, turn {turns.schema['turn'].dataType.simpleString()}, role string, text string, tokens long")
+    counted = scratch.keep(written.mapInArrow(_counted(tokenizer), f"conv_id {key}, turn {turns.schema['turn'].dataType.simpleString()}, role string, text string, tokens long"), "turns-counted")
     order = [F.col("turn").asc_nulls_first(), F.col("role"), F.xxhash64("text")]
     lined = scratch.keep(placed_sums(counted, "conv_id", order, "tokens", "first", scratch, "turns-ordered"), "turns")
-    scratch.drop("turns-ordered")
+    scratch.drop("turns-counted", "turns-ordered")
     own = lined.select("conv_id", F.floor(F.col("first") / STRETCH).cast("long").alias("stretch"), F.lit(2).alias("kind"), "first", "role", "text", "tokens")
     # a stretch's last turns stand before the next one, whose first turn begins where this one's last turn ends
     ends = own.groupBy("conv_id", "stretch").agg(F.max(F.col("first") + F.col("tokens")).alias("end")).where(
