@@ -51,7 +51,7 @@ def _(t):
     docs = t("documents")
     made = tfidf.fit_vectoriser(docs, "doc_id", "text", [tfidf.WORDS])
     cells = written(made.cells(docs, "doc_id", "text"))
-    basis = reduce.fit_svd(tfidf.to_vectors(cells, made.width))
+    basis = reduce.fit_cells_svd(cells, made.width)
     return all_rounded(basis.transform(cells, "doc_id"), digits=4)
 
 
@@ -61,15 +61,38 @@ def _(t):
     return all_rounded(model.transform(t("embeddings")).drop("embedding"), digits=4)
 
 
-@query("t09_a09_cached_text_vectors",
-       "SELECT conv_id, turn, CAST(16 AS INT) AS dims FROM conversations WHERE text IS NOT NULL")
+def _power_sql(k):
+    """One round: every word becomes the weighted sum of its neighbours' vectors, of length one."""
+    start = "CASE WHEN substr(md5(b), j + 1, 1) < '8' THEN 1.0 ELSE -1.0 END"
+    source = "ppmi, range(16) AS r(j)" if k == 1 else f"ppmi JOIN v{k - 1} ON v{k - 1}.word = b"
+    return f"""s{k} AS (SELECT a AS word, j, sum(m * {start if k == 1 else 'x'}) AS x FROM {source} GROUP BY a, j),
+  v{k} AS (SELECT word, j, x / coalesce(nullif(sqrt(sum(x * x) OVER (PARTITION BY word)), 0), 1) AS x FROM s{k})"""
+
+
+@query("t09_a09_cached_text_vectors", f"""WITH toks AS (SELECT conv_id, turn,
+    regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}') AS t FROM conversations WHERE text IS NOT NULL),
+  near AS (SELECT unnest(list_concat(
+    list_transform(range(1, greatest(len(t), 1)), lambda i: {{'a': t[i], 'b': t[i + 1]}}),
+    list_transform(range(1, greatest(len(t) - 1, 1)), lambda i: {{'a': t[i], 'b': t[i + 2]}}))) AS p FROM toks),
+  pairs AS (SELECT a, b, count(*) AS n FROM (SELECT p.a AS a, p.b AS b FROM near UNION ALL SELECT p.b, p.a FROM near) GROUP BY a, b),
+  words AS (SELECT a AS word, sum(n)::DOUBLE AS n FROM pairs GROUP BY a),
+  whole AS (SELECT sum(n) AS total FROM words),
+  ppmi AS (SELECT a, b, ln(p.n * total / (x.n * y.n)) AS m FROM pairs p JOIN words x ON x.word = a JOIN words y ON y.word = b, whole
+    WHERE ln(p.n * total / (x.n * y.n)) > 0),
+  {_power_sql(1)}, {_power_sql(2)},
+  weighted AS (SELECT v2.word, j, x * 0.001 / (0.001 + n / total) AS x FROM v2 JOIN words ON words.word = v2.word, whole),
+  said AS (SELECT conv_id, turn, unnest(t) AS word FROM toks),
+  sums AS (SELECT conv_id, turn, j, sum(x) AS x FROM said JOIN weighted USING (word) GROUP BY conv_id, turn, j),
+  scaled AS (SELECT conv_id, turn, j, x / coalesce(nullif(sqrt(sum(x * x) OVER (PARTITION BY conv_id, turn)), 0), 1) AS x FROM sums)
+  SELECT conv_id, turn, CAST(j AS INT) AS j, {r6("x")} AS x FROM scaled""")
 def _(t):
     talks = t("conversations").where("text is not null")
     model = reduce.fit_text_vectors(talks, "text", dims=16)
     path = f"{scratch_root(t.spark)}/vectors-{folder_tag()}"
     from foldwise.sources.records import cached_results
     made = cached_results(talks, "text", lambda fresh: model.transform(fresh), path)
-    return made.select("conv_id", "turn", F.size("embedding").alias("dims"))
+    known = made.where(F.exists("embedding", lambda x: x != 0))
+    return known.select("conv_id", "turn", F.posexplode("embedding").alias("j", "x")).withColumn("x", rounded("x"))
 
 
 def folder_tag() -> str:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from foldwise import fixed
 from foldwise.functions.rows import level
+from foldwise.operators.lookups import level_join
 from foldwise.operators.ranks import sorted_codes
-from foldwise.scratch import fitted
 
 
 def dictionary(df: DataFrame, col: str) -> DataFrame:
@@ -46,8 +46,8 @@ def smoothed_lookup(fit: DataFrame, df: DataFrame, col: str, y: str, out: str |
     """Encode ``df`` by the means of ``fit``; unseen categories get the mean."""
     out = out or f"te_{col}"
     prior = fit.agg(F.avg(y)).first()[0]
-    table = fitted(smoothed_means(fit, col, y, smoothing))
-    return (lookup(df, table, col, null_level=fixed.NULL_LEVEL)
+    table = smoothed_means(fit, col, y, smoothing).withColumnRenamed(col, "__key")
+    return (level_join(df, table, {"__key": level(col, fixed.NULL_LEVEL)})
             .withColumn(out, F.coalesce("te", F.lit(prior))).drop("te"))
 
 
@@ -75,14 +75,12 @@ def nested_means(nested: DataFrame, id_col: str, col: str, y: str, outer: str =
         F.col(outer).alias("__o"), F.col(inner).alias("__i"),
         F.try_divide(_left_out("s", training, by_outer), _left_out("n", training, by_outer))
         .alias("__prior"))
-    encoded = fitted(
+    encoded = (
         left.join(priors, (F.col(outer) == F.col("__o")) & (F.col(inner) == F.col("__i")))
         .select(F.col(outer).alias("__o"), F.col(inner).alias("__i"), "__cat",
                 _smooth(F.col("s"), F.col("n"), F.col("__prior"), smoothing).alias(out)))
     rows = nested.select(id_col, outer, inner, key.alias("__c"))
-    return (rows.join(encoded, (F.col(outer) == F.col("__o")) & (F.col(inner) == F.col("__i"))
-                      & (F.col("__c") == F.col("__cat")))
-            .select(id_col, outer, out))
+    return level_join(rows, encoded, {"__o": outer, "__i": inner, "__cat": "__c"}, "inner").select(id_col, outer, out)
 
 
 def left_out_means(df: DataFrame, key: str | None, y: str, fold: str, by: Sequence[str] = (),
@@ -96,11 +94,10 @@ def left_out_means(df: DataFrame, key: str | None, y: str, fold: str, by: Sequen
     cells = df.groupBy(*by, fold, label.alias("__k")).agg(
         F.sum(y).alias("s"), F.count(y).alias("n"))
     w = Window.partitionBy(*by, "__k")
-    means = fitted(cells.select(
+    means = cells.select(
         *[F.col(c).alias(f"__{c}") for c in [*by, fold]], F.col("__k").alias("__level"),
-        F.try_divide(F.sum("s").over(w) - F.col("s"), F.sum("n").over(w) - F.col("n")).alias(out)))
-    on = [F.col(c) == F.col(f"__{c}") for c in [*by, fold]] + [label == F.col("__level")]
-    return df.join(means, on).drop(*[f"__{c}" for c in [*by, fold]], "__level")
+        F.try_divide(F.sum("s").over(w) - F.col("s"), F.sum("n").over(w) - F.col("n")).alias(out))
+    return level_join(df, means, {**{f"__{c}": c for c in [*by, fold]}, "__level": label}, "inner")
 
 
 def _smooth(total: Column, count: Column, prior: Column, smoothing: float) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql.types import NumericType
 
 from foldwise import fixed
 from foldwise.functions.rows import pearson
+from foldwise.operators.lookups import level_join
 from foldwise.operators.quantiles import exact_quantiles
 from foldwise.operators.ranks import average_rank, running_before
 from foldwise.scratch import fitted, written
@@ -128,9 +129,8 @@ def spearman(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
             .where(F.col("x").isNotNull() & F.col("y").isNotNull())
             .groupBy("name", "x", "y").agg(F.count(F.lit(1)).alias("m")))
     long = written(long)  # read by both ranks and the sums
-    rx = fitted(_weighted_rank(long, "x"))
-    ry = fitted(_weighted_rank(long, "y"))
-    joined = long.join(rx, ["name", "x"]).join(ry, ["name", "y"])
+    joined = level_join(long, _weighted_rank(long, "x"), {"name": "name", "x": "x"}, "inner")
+    joined = level_join(joined, _weighted_rank(long, "y"), {"name": "name", "y": "y"}, "inner")
     m, a, b = F.col("m"), F.col("rank_x"), F.col("rank_y")
     n, sa, sb = F.sum(m), F.sum(m * a), F.sum(m * b)
     cov = F.sum(m * a * b) - sa * sb / n
@@ -147,9 +147,9 @@ def _weighted_rank(long: DataFrame, col: str) -> DataFrame:
 def fractional_ranks(df: DataFrame, id_col: str, col: str, out: str) -> DataFrame:
     """Average rank divided by the number of ranked rows."""
     n = df.select(F.count(col).alias("n")).scalar()
-    table = fitted(average_rank(df, col).select(F.col(col).alias("__v"), "rank"))
-    return (df.join(table, F.col(col) == F.col("__v"), "left")
-            .select(id_col, F.try_divide(F.col("rank"), n).alias(out)))
+    ranks = average_rank(df, col).select(F.col(col).alias("__v"), F.col("rank").alias("__rank"))
+    return (level_join(df.select(id_col, F.col(col).alias("__value")), ranks, {"__v": "__value"})
+            .select(id_col, F.try_divide(F.col("__rank"), n).alias(out)))
 
 
 # -------------------------------------------------------------- per-column tables
@@ -297,13 +297,15 @@ def mutual_information(df: DataFrame, cols: Sequence[str], y: str, bins: int = 1
     """
     from foldwise.operators.folds import bin_of
     probs = [i / bins for i in range(bins + 1)]
-    edges = exact_quantiles(df, {c: (F.col(c), probs) for c in [*cols, y]})
-    binned = {c: F.when(F.col(c).isNull(), F.lit(-1)).otherwise(
-        bin_of(F.col(c).cast("double"), sorted({e for e in edges[c] if e is not None})))
-        for c in [*cols, y]}
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), binned[c].alias("bx")) for c in cols]))
-    long = df.select(binned[y].alias("by"), pairs.alias("p")).select("p.*", "by")
-    cells = long.groupBy("name", "bx", "by").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    edges = {c: sorted({e for e in found if e is not None})
+             for c, found in exact_quantiles(df, {c: (F.col(c), probs) for c in [*cols, y]}).items()}
+    # edges come as a small table beside (column, value) rows: one expression bins all columns
+    inner = df.sparkSession.createDataFrame([(c, edges[c][1:-1] if len(edges[c]) > 2 else []) for c in cols], "__c string, __edges array<double>")
+    by = F.when(F.col(y).isNull(), F.lit(-1)).otherwise(bin_of(F.col(y).cast("double"), edges[y]))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("x")) for c in cols]))
+    long = df.select(by.alias("by"), pairs.alias("p")).select("p.*", "by")
+    bx = F.when(F.col("x").isNull(), F.lit(-1)).otherwise(F.size(F.filter("__edges", lambda e: e < F.col("x"))))
+    cells = long.join(F.broadcast(inner), F.col("name") == F.col("__c")).groupBy("name", bx.alias("bx"), "by").agg(F.count(F.lit(1)).cast("double").alias("n"))
     total = F.sum("n").over(Window.partitionBy("name"))
     nx = F.sum("n").over(Window.partitionBy("name", "bx"))
     ny = F.sum("n").over(Window.partitionBy("name", "by"))

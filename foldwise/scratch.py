@@ -75,11 +75,16 @@ def fitted(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     that joins by broadcast. Beyond that it is written to the scratch folder, and joins to it are chosen
     by the planner from its real size, so no unbounded table is ever broadcast.
     """
+    return measured(df, limit)[0]
+
+
+def measured(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """The table as :func:`fitted` gives it, and whether it was small."""
     stored = written(df)
     texts = [F.sum(F.octet_length(F.col(f"`{c}`").cast("string"))) for c, t in stored.dtypes if t not in NARROW]
     row = stored.agg(F.count(F.lit(1)), *texts).first()  # measured where it lies: only small tables reach the driver
     if row[0] <= limit and sum(v or 0 for v in row[1:]) <= SMALL_BYTES:
         head = stored.toArrow()
         if head.nbytes <= SMALL_BYTES:
-            return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
-    return stored
+            return F.broadcast(df.sparkSession.createDataFrame(head, df.schema)), True
+    return stored, False
