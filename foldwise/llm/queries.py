@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm import (chat, digest, jaccard, language, merkle, mixture, packing, passages, quality, runs, tokencount, tokenfiles,
-                          topk, whiten)
+from foldwise.llm import (chat, digest, jaccard, language, merkle, mixture, packing, passages, quality, runs, substrings, tokencount,
+                          tokenfiles, topk, whiten)
 from foldwise.llm.common import Scratch, only, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,14 +49,20 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def op3_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph that repeats another, with the one that is kept."""
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text, paragraph and passage of fifty words or more that repeats another or is repeated, and which of them go."""
+    return substrings.repeated(table(spark, sf_dir, "documents"))
+
+
+@query
+def paragraph_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of five words or more that repeats another, with the one that is kept: what the pipeline removes first."""
     return passages.repeated(table(spark, sf_dir, "documents"))
 
 
 @query
-def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stretch of fifty words or more that stands, word for word, somewhere before, within paragraphs and across them."""
+def passage_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pipeline removes then: every stretch of fifty words or more that stands, word for word, somewhere before, within paragraphs and across them."""
     return runs.repeated(table(spark, sf_dir, "documents"))
 
 
@@ -165,7 +171,7 @@ SQL["op7_ngram_jaccard_join"] = f"""WITH RECURSIVE items AS (SELECT row_number()
   SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id
   FROM items LEFT JOIN sizes USING (uid) LEFT JOIN roots ON node = items.uid"""
 
-SQL["op3_repeated_paragraphs"] = f"""WITH RECURSIVE parts AS (
+SQL["paragraph_repeats"] = f"""WITH RECURSIVE parts AS (
     SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS paragraph, unnest(string_split(text, chr(10))) AS part FROM documents),
   items AS (SELECT row_number() OVER (ORDER BY doc_id, paragraph) AS uid, doc_id, paragraph, ws
     FROM (SELECT doc_id, paragraph, {_WORDS.format(text="part")} AS ws FROM parts) WHERE len(ws) >= 5),
@@ -237,3 +243,26 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), whiten.integers("embedding", 64, 1_000_000).alias("x"))
     scratch = Scratch(spark)
     return whiten.project(vectors, whiten.fit(vectors, scratch, 16)).withColumnRenamed("id", "vec_id")
+
+
+SQL["op3_substring_dedup"] = f"""WITH RECURSIVE said AS (SELECT doc_id, text, {_WORDS.format(text="text")} AS ws FROM documents),
+  long AS (SELECT doc_id, ws, min(doc_id) OVER (PARTITION BY ws) AS head, count(*) OVER (PARTITION BY ws) AS copies FROM said WHERE len(ws) >= 50),
+  runs AS (SELECT doc_id, i AS place, md5(array_to_string(list_slice(ws, i + 1, i + 50), ' ')) AS run
+    FROM (SELECT doc_id, ws, unnest(range(len(ws) - 49)) AS i FROM long WHERE doc_id = head)),
+  firsts AS (SELECT *, first_value(doc_id) OVER w AS kept_doc_id, first_value(place) OVER w AS kept_word FROM runs WINDOW w AS (PARTITION BY run ORDER BY doc_id, place)),
+  gone AS (SELECT *, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM firsts WHERE doc_id <> kept_doc_id OR place >= kept_word + 50),
+  marked AS (SELECT *, sum(CASE WHEN before IS NULL OR place > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY place) AS span FROM gone),
+  spans AS (SELECT doc_id, min(place) AS first_word, max(place) + 50 - min(place) AS n_words, arg_min(kept_doc_id, place) AS kept_doc_id, arg_min(kept_word, place) AS kept_word
+    FROM marked GROUP BY doc_id, span),
+  parts AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS paragraph, unnest(string_split(text, chr(10))) AS part FROM documents),
+  counted AS (SELECT doc_id, paragraph, {_WORDS.format(text="part")} AS ws FROM parts),
+  starts AS (SELECT *, sum(len(ws)) OVER (PARTITION BY doc_id ORDER BY paragraph) - len(ws) AS start FROM counted),
+  items AS (SELECT row_number() OVER (ORDER BY doc_id, start) AS uid, doc_id, start, ws FROM starts WHERE len(ws) >= 50),
+  {_LINKED},
+  roots AS (SELECT node, min(other) AS root FROM reached GROUP BY node HAVING count(*) > 1)
+  SELECT 'text' AS kind, doc_id, 0::BIGINT AS first_word, len(ws)::BIGINT AS n_words, head AS kept_doc_id, 0::BIGINT AS kept_word, doc_id <> head AS removed
+    FROM long WHERE copies > 1
+  UNION ALL SELECT 'paragraph', i.doc_id, i.start::BIGINT, len(i.ws)::BIGINT, k.doc_id, k.start::BIGINT, root <> node
+    FROM roots JOIN items i ON i.uid = node JOIN items k ON k.uid = root
+  UNION ALL SELECT 'passage', doc_id, first_word::BIGINT, n_words::BIGINT, kept_doc_id, kept_word::BIGINT, true FROM spans
+  UNION ALL SELECT DISTINCT 'passage', kept_doc_id, kept_word::BIGINT, 50::BIGINT, kept_doc_id, kept_word::BIGINT, false FROM spans"""

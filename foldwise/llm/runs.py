@@ -118,44 +118,50 @@ def _named(chunk: pa.Table) -> pa.Table:
 _PACKET = pa.schema([("bucket", pa.int64()), ("base", pa.int64()), ("places", pa.binary()), ("data", pa.binary())])
 
 
+def packed(base: int, places: list[np.ndarray], found: list[tuple], bits: int) -> pa.RecordBatch:
+    """The packets of a chunk: its runs (digests, text of the chunk, first word), and each different one, with its first place, to a bucket."""
+    place = np.concatenate(places)
+    one, two, doc, at = (np.concatenate(c) for c in zip(*found))
+    rank = np.unique(place, return_inverse=True)[1]
+    order = np.lexsort((at, rank[doc], two, one))
+    opens = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)]))
+    own = np.empty(len(opens), _STRETCH)
+    own["doc"], own["at"], own["n"] = doc[opens], at[opens], np.diff(opens, append=len(at))
+    one, two, doc, at = one[order], two[order], doc[order], at[order]
+    new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+    cls = np.empty(len(at), np.uint32)
+    cls[order] = np.cumsum(new) - 1
+    entries = np.empty(int(new.sum()), _ENTRY)
+    for name, values in (("one", one), ("two", two), ("doc", doc), ("at", at)):
+        entries[name] = values[new]
+    entries["cls"] = np.arange(len(entries))
+    # the classes of a chunk are in the order of their digests, so buckets are stretches of them
+    bucket = (entries["one"] >> np.uint64(64 - bits)).astype(np.int64)
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist()
+    rows = [(-1 - base % 8191, base, place.tobytes(), np.int64(len(own)).tobytes() + own.tobytes() + cls.tobytes())]
+    for a, z in zip(cut, [*cut[1:], len(bucket)]):
+        here, docs = entries[a:z].copy(), np.unique(entries["doc"][a:z])
+        here["doc"] = np.searchsorted(docs, here["doc"])
+        rows.append((int(bucket[a]), base, place[docs].tobytes(), here.tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PACKET.types)], schema=_PACKET)
+
+
+def digests(hashes: np.ndarray) -> list[np.ndarray]:
+    """Two digests of every run."""
+    return [_rolled(mix64(hashes ^ np.uint64(salt)), RUN) for salt in (0x51ED2701, 0x2545F491)]
+
+
 def _compared(name_bits: int, bits: int):
-    """For every chunk of texts: their passages of shared names, and each different one, with its first place, to a bucket."""
+    """For every chunk of texts: their passages of shared names, as packets."""
     drop = np.uint64(max(0, 16 - name_bits))  # names have come back cut
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, places, found, size = TaskContext.get().partitionId() << 40, [], [], 0
-
-        def chunk():
-            place = np.concatenate(places)
-            one, two, doc, at = (np.concatenate(c) for c in zip(*found))
-            rank = np.unique(place, return_inverse=True)[1]
-            order = np.lexsort((at, rank[doc], two, one))
-            opens = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)]))
-            own = np.empty(len(opens), _STRETCH)
-            own["doc"], own["at"], own["n"] = doc[opens], at[opens], np.diff(opens, append=len(at))
-            one, two, doc, at = one[order], two[order], doc[order], at[order]
-            new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
-            cls = np.empty(len(at), np.uint32)
-            cls[order] = np.cumsum(new) - 1
-            entries = np.empty(int(new.sum()), _ENTRY)
-            for name, values in (("one", one), ("two", two), ("doc", doc), ("at", at)):
-                entries[name] = values[new]
-            entries["cls"] = np.arange(len(entries))
-            # the classes of a chunk are in the order of their digests, so buckets are stretches of them
-            bucket = (entries["one"] >> np.uint64(64 - bits)).astype(np.int64)
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist()
-            rows = [(-1 - base % 8191, base, place.tobytes(), np.int64(len(own)).tobytes() + own.tobytes() + cls.tobytes())]
-            for a, z in zip(cut, [*cut[1:], len(bucket)]):
-                here, docs = entries[a:z].copy(), np.unique(entries["doc"][a:z])
-                here["doc"] = np.searchsorted(docs, here["doc"])
-                rows.append((int(bucket[a]), base, place[docs].tobytes(), here.tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PACKET.types)], schema=_PACKET)
-
         for batch in pieces(batches):
             size += utf8(batch.column("text"))[1][-1]
             rows, hashes, begins, ends = _long(batch)
             grams = _rolled(hashes, GRAM)
-            digests = [_rolled(mix64(hashes ^ np.uint64(salt)), RUN) for salt in (0x51ED2701, 0x2545F491)]
+            one, two = digests(hashes)
             at_doc = sum(len(p) for p in places)
             places.append(_places(batch, rows))
             known = batch.column("names").to_pylist()
@@ -166,12 +172,12 @@ def _compared(name_bits: int, bits: int):
                 at[at == len(names)] = 0
                 at = np.flatnonzero(names[at] == own)
                 if len(at):
-                    found.append((digests[0][a + at], digests[1][a + at], np.full(len(at), at_doc + k), at))
+                    found.append((one[a + at], two[a + at], np.full(len(at), at_doc + k), at))
             if size >= CHUNK_BYTES and found:
-                yield chunk()
+                yield packed(base, places, found, bits)
                 base, places, found, size = base + 1, [], [], 0
         if found:
-            yield chunk()
+            yield packed(base, places, found, bits)
     return run
 
 
@@ -246,8 +252,15 @@ def _found(docs: DataFrame) -> DataFrame:
     wanted = named.groupBy("doc_id", "text_hash").agg(F.max("names").alias("names")).select(
         F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "names")
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).drop("d", "h")
-    compared = short_batches(texts).mapInArrow(_compared(name_bits, bits), "bucket long, base long, places binary, data binary")
-    answers = compared.groupBy("bucket").applyInArrow(_first, "base long, places binary, data binary")
+    return spans(short_batches(texts).mapInArrow(_compared(name_bits, bits), PACKETS), scratch)
+
+
+PACKETS = "bucket long, base long, places binary, data binary"
+
+
+def spans(packets: DataFrame, scratch: Scratch) -> DataFrame:
+    """The stretches that go, from the packets of all chunks."""
+    answers = packets.groupBy("bucket").applyInArrow(_first, "base long, places binary, data binary")
     return scratch.keep(answers.groupBy("base").applyInArrow(_spans, _SPAN), "spans")
 
 
