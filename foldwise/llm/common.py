@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 import uuid
@@ -56,6 +57,11 @@ class Scratch:
         df.write.option("compression", codec).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def settle(self) -> None:
+        """Shuffle files of finished jobs are removed once the driver's JVM finds that nothing refers to them; this has it look."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
         for name in names:

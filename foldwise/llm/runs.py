@@ -4,7 +4,7 @@ A passage is a run of fifty words, across line feeds and whatever separates them
 text and position; every word of the others goes, and only those. A passage that overlaps the first one in the same text stays.
 
 A passage is named by the smallest hash among its runs of 25 words, so equal passages have the same name. Only names travel,
-about one in thirteen words; passages whose name stands elsewhere too are compared by 128-bit digests of all their words. A task sends a
+about one in thirteen words; passages whose name stands elsewhere too are compared by 96-bit digests of all their words. A task sends a
 passage once for a chunk of texts, however many of them hold it.
 
 Words are those of :mod:`foldwise.llm.words`. Null, empty and shorter texts have no passages. Null ids come last in the order. Rows alike
@@ -31,7 +31,8 @@ RUN, GRAM = 50, 25  # words of a passage and of the runs that name it
 CHUNK_BYTES, BATCH_ROWS = 4 << 20, 1 << 16
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _PLACE = np.dtype([("missing", np.int64), ("doc_id", np.int64), ("text", np.int64)])
-_ENTRY = np.dtype([("one", np.uint64), ("two", np.uint64), ("cls", np.uint32), ("doc", np.uint32), ("at", np.int64)])
+_ENTRY = np.dtype([("one", np.uint64), ("two", np.uint32), ("cls", np.uint32), ("doc", np.uint32), ("at", np.uint32)])
+_HALVES = ("doc", "at")
 _STRETCH = np.dtype([("doc", np.int64), ("at", np.int64), ("n", np.int64)])
 _HEAD = np.dtype([("cls", np.uint32), ("missing", np.int64), ("doc_id", np.int64), ("text", np.int64), ("at", np.int64)])
 _SPAN = "doc_id long, text_hash long, first_word long, n_words long, kept_doc_id long, kept_word long"
@@ -118,10 +119,37 @@ def _named(chunk: pa.Table) -> pa.Table:
 _PACKET = pa.schema([("bucket", pa.int64()), ("base", pa.int64()), ("places", pa.binary()), ("data", pa.binary())])
 
 
+def _halves(values: np.ndarray) -> bytes:
+    """Numbers of 32 bits, low halves and then high ones: those are mostly zero and take no room once compressed."""
+    return (values & np.uint32(0xFFFF)).astype(np.uint16).tobytes() + (values >> np.uint32(16)).astype(np.uint16).tobytes()
+
+
+def _joined(data: memoryview, n: int) -> np.ndarray:
+    low, high = np.frombuffer(data, np.uint16, n), np.frombuffer(data, np.uint16, n, 2 * n)
+    return low.astype(np.uint32) | high.astype(np.uint32) << np.uint32(16)
+
+
+def _entries_out(entries: np.ndarray) -> bytes:
+    """Entries whose classes follow each other, field by field."""
+    head = np.array([len(entries), entries["cls"][0]], np.int64).tobytes()
+    return b"".join([head, entries["one"].tobytes(), entries["two"].tobytes(), *[_halves(entries[c]) for c in _HALVES]])
+
+
+def _entries_in(data: bytes) -> np.ndarray:
+    n, first = np.frombuffer(data, np.int64, 2).tolist()
+    out = np.empty(n, _ENTRY)
+    out["one"], out["two"] = np.frombuffer(data, np.uint64, n, 16), np.frombuffer(data, np.uint32, n, 16 + 8 * n)
+    out["cls"] = first + np.arange(n)
+    for i, name in enumerate(_HALVES):
+        out[name] = _joined(memoryview(data)[16 + 12 * n + 4 * n * i:], n)
+    return out
+
+
 def packed(base: int, places: list[np.ndarray], found: list[tuple], bits: int) -> pa.RecordBatch:
     """The packets of a chunk: its runs (digests, text of the chunk, first word), and each different one, with its first place, to a bucket."""
     place = np.concatenate(places)
     one, two, doc, at = (np.concatenate(c) for c in zip(*found))
+    two = two.astype(np.uint32)
     rank = np.unique(place, return_inverse=True)[1]
     order = np.lexsort((at, rank[doc], two, one))
     opens = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)]))
@@ -138,11 +166,11 @@ def packed(base: int, places: list[np.ndarray], found: list[tuple], bits: int) -
     # the classes of a chunk are in the order of their digests, so buckets are stretches of them
     bucket = (entries["one"] >> np.uint64(64 - bits)).astype(np.int64)
     cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist()
-    rows = [(-1 - base % 8191, base, place.tobytes(), np.int64(len(own)).tobytes() + own.tobytes() + cls.tobytes())]
+    rows = [(-1 - base % 8191, base, place.tobytes(), np.int64(len(own)).tobytes() + own.tobytes() + _halves(cls))]
     for a, z in zip(cut, [*cut[1:], len(bucket)]):
         here, docs = entries[a:z].copy(), np.unique(entries["doc"][a:z])
         here["doc"] = np.searchsorted(docs, here["doc"])
-        rows.append((int(bucket[a]), base, place[docs].tobytes(), here.tobytes()))
+        rows.append((int(bucket[a]), base, place[docs].tobytes(), _entries_out(here)))
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PACKET.types)], schema=_PACKET)
 
 
@@ -189,7 +217,7 @@ def _first(packets: pa.Table) -> pa.Table:
     if packets["bucket"][0].as_py() < 0:
         return packets.select(_ANSWER.names).cast(_ANSWER)
     bases = packets["base"].to_numpy()
-    entries = [np.frombuffer(d, _ENTRY) for d in packets["data"].to_pylist()]
+    entries = [_entries_in(d) for d in packets["data"].to_pylist()]
     base = np.repeat(bases, [len(e) for e in entries])
     place = np.concatenate([np.frombuffer(p, _PLACE)[e["doc"]] for p, e in zip(packets["places"].to_pylist(), entries)])
     entry = np.concatenate(entries)
@@ -215,7 +243,7 @@ def _spans(chunk: pa.Table) -> pa.Table:
     heads = np.concatenate([np.empty(0, _HEAD), *[np.frombuffer(d, _HEAD) for p, d in parts if p is None]])
     n = int(np.frombuffer(note, np.int64, 1)[0])
     own = np.frombuffer(note, _STRETCH, n, 8)
-    cls = np.frombuffer(note, np.uint32, -1, 8 + n * _STRETCH.itemsize)
+    cls = _joined(memoryview(note)[8 + n * _STRETCH.itemsize:], int(own["n"].sum()))
     doc, at = np.repeat(own["doc"], own["n"]), ragged(own["at"], own["n"])
     order = np.lexsort((at, np.unique(place, return_inverse=True)[1][doc], cls))
     new = order[np.flatnonzero(np.diff(cls[order].astype(np.int64), prepend=-1))]  # where each class comes first in the chunk

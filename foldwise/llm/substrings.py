@@ -4,16 +4,16 @@ Units of a text of at least fifty words are the whole of it, its paragraphs of a
 places its own words choose: where the hash of a five-word shingle is the smallest of twenty successive ones. Two texts that share a
 run of fifty words choose the same places inside it, so they share a window, wherever the run stands and whatever is around it.
 
-Units get MinHash values of their five-word shingles, banded for recall (paragraphs 16 bands of 4: a pair of similarity 0.8 meets with a
-chance of 0.9998; windows, which are mostly equal or not similar at all, 4 bands of 2: 0.98; whole texts by their digest). Equal units are one
-class; units of different classes that meet in a band are verified by exact Jaccard similarity, and linked ones form components. Windows of
-a component of two or more places are candidates: all runs of fifty words around them are compared by 128-bit digests, and
+Units get MinHash values of their five-word shingles, in bands (paragraphs 16 of 4: a pair of similarity 0.8 meets with a chance of
+0.9998; windows 2 of 6: equal ones always meet, and a text's own windows, which overlap, hardly ever); whole texts have their digest. Equal
+paragraphs are one class; paragraphs of different classes that meet are verified by exact Jaccard similarity, and linked ones form
+components. Windows that meet are verified word by word: all runs of fifty words around them are compared by 96-bit digests, and
 neighbouring runs that repeat become one span. So a passage counts from fifty equal words on, a paragraph from similarity 0.8 on.
 
 Of equal or linked units the first stays, by doc_id and place. Texts that repeat another one word by word are reported as such and are not
 compared again. Words are those of :mod:`foldwise.llm.words`. Null, empty and shorter texts have no units. Null ids come last in the
 order. Rows alike in doc_id and text are one place. Very long texts are taken whole. An empty table gives an empty result. Other columns
-are not read. Equality of words, shingles and runs is that of 64- and 128-bit hashes.
+are not read. Equality of words, shingles and runs is that of 64- to 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -35,10 +35,12 @@ from foldwise.llm.words import distinct, shingles, word_hashes
 
 SHINGLE, WINDOW, CHOICE = 5, 30, 20  # words of a shingle and a window; a window begins in any so many successive shingles
 PARAGRAPH, PASSAGE, TEXT = 0, 1, 2
-BANDS = {PARAGRAPH: (16, 4), PASSAGE: (4, 2)}
+BANDS = {PARAGRAPH: (16, 4), PASSAGE: (2, 6)}
 CHUNK_BYTES = 4 << 20
-NOTE = ("doc_id", "known", "text_hash", "kind", "start", "n_words", "one", "two")
-_UNIT = "uid long, doc_id long, text_hash long, kind long, start long, n_words long, one long, two long, keys binary"
+_DOC = np.dtype([("doc_id", np.int64), ("known", np.int64), ("text", np.int64)])
+_PART = np.dtype([("doc", np.uint32), ("kind", np.uint32), ("start", np.uint32), ("n", np.uint32), ("one", np.uint64), ("two", np.uint64)])
+_PLACE = np.dtype([("doc", np.uint32), ("start", np.uint32), ("cls", np.uint32)])
+_UNIT = "uid long, doc_id long, text_hash long, kind long, start long, n_words long, one long, two long, keys binary, windows binary"
 
 
 def chosen(hashes: np.ndarray) -> np.ndarray:
@@ -54,94 +56,130 @@ def chosen(hashes: np.ndarray) -> np.ndarray:
     return np.unique(np.where(hashes[b] <= hashes[a], b, a))
 
 
-def band_keys(values: np.ndarray, counts: np.ndarray, kind: int) -> np.ndarray:
-    """The band hashes of every unit, one row each; no unit is without shingles."""
+def band_keys(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray, kind: int) -> np.ndarray:
+    """The band hashes of units, one row each, from the shingles of whole texts and where those of each unit lie."""
     bands, rows = BANDS[kind]
-    begins = np.cumsum(counts) - counts
     out = np.empty((len(begins), bands), np.uint64)
+    edges = np.stack([begins, begins + sizes], axis=1).ravel()
+    values = np.append(values, np.uint64(0))  # units may end with the last shingle
     for band in range(bands):
         key = np.full(len(begins), kind << 32 | band, np.uint64)
         for k in range(rows):
             salt = mix64(np.array([(kind << 16) + band * rows + k + 1], np.uint64))[0]
             hashed = (values ^ salt) * (salt | np.uint64(1))
             hashed ^= hashed >> np.uint64(32)
-            key = mix64(key ^ np.minimum.reduceat(hashed * np.uint64(0xD6E8FEB86659FD93), begins))
+            key = mix64(key ^ np.minimum.reduceat(hashed * np.uint64(0xD6E8FEB86659FD93), edges)[::2])
         out[:, band] = key
     return out
 
 
-def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hashes of all words, and of every unit: kind, row, place in its text, first word, number of words."""
+def _long_texts(data: np.ndarray, offsets: np.ndarray):
+    """Texts of fifty words or more: their rows, the hashes of their words and shingles, how many words each has, and their
+    paragraphs of fifty words or more as (text, first word, words)."""
     hashes, starts, counts = word_hashes(data, offsets)
-    last = np.cumsum(counts)
-    first = last - counts
-    long = np.flatnonzero(counts >= RUN)
-    found = [np.stack([np.full(len(long), TEXT), long, first[long] * 0, first[long], counts[long]])]
+    rows = np.flatnonzero(counts >= RUN)
+    first = np.cumsum(counts) - counts
+    own = hashes[ragged(first[rows], counts[rows])]
     edges, row, _ = paragraphs(data, offsets)
     at = np.searchsorted(starts, edges)  # the words that begin in each paragraph
-    sizes = np.diff(at)
-    some = np.flatnonzero(sizes >= RUN)
-    found.append(np.stack([np.full(len(some), PARAGRAPH), row[some], at[some] - first[row[some]], at[some], sizes[some]]))
-    for r in long.tolist():
-        own, _ = shingles(hashes[first[r]:last[r]], np.array([counts[r]]), SHINGLE)
-        begin = chosen(own)
-        begin = begin[begin + WINDOW <= counts[r]]
-        found.append(np.stack([np.full(len(begin), PASSAGE), np.full(len(begin), r), begin, first[r] + begin, np.full(len(begin), WINDOW)]))
-    return hashes, np.concatenate(found, axis=1).astype(np.int64)
+    some = np.flatnonzero(np.diff(at) >= RUN)
+    parts = np.searchsorted(rows, row[some]), at[some] - first[row[some]], np.diff(at)[some]
+    return rows, own, shingles(own, counts[rows], SHINGLE)[0], counts[rows], parts
 
 
 def _sent(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, notes, keys, sizes, size = TaskContext.get().partitionId() << 40, [], [], [], 0
+        base, docs, parts, places, keys, size = TaskContext.get().partitionId() << 40, [], [], [], [], 0
 
         def chunk():
-            note, many, all_ = np.concatenate(notes, axis=1), np.concatenate(sizes), np.concatenate(keys)
-            _, first = np.unique(note[[3, 6, 7]], axis=1, return_index=True)
-            is_first = np.zeros(note.shape[1], bool)
-            is_first[first] = True
-            return shared.send(base, np.where(is_first, many, 0), all_[np.repeat(is_first, many)], bits, note.tobytes())
+            part, place = np.concatenate(parts), np.concatenate([p for p, *_ in places])
+            digest = np.stack([np.concatenate([d for _, d, _ in places]), np.concatenate([d for *_, d in places])])
+            _, first, cls = np.unique(digest, axis=1, return_index=True, return_inverse=True)
+            place["cls"] = cls.ravel()
+            _, first_part = np.unique(part[["kind", "one", "two"]], return_index=True)
+            sizes = np.zeros(len(part) + len(place), np.int64)
+            sizes[first_part] = np.where(part["kind"][first_part] == TEXT, 1, BANDS[PARAGRAPH][0])
+            sizes[len(part) + first] = BANDS[PASSAGE][0]
+            own = [np.concatenate([k[i] for k in keys]) for i in range(3)]
+            texts, paras = part["kind"] == TEXT, part["kind"] == PARAGRAPH
+            banded = [np.empty(0, np.uint64)] * len(part)
+            for at, row in zip(np.flatnonzero(texts).tolist(), own[0]):
+                banded[at] = row
+            for at, row in zip(np.flatnonzero(paras).tolist(), own[1]):
+                banded[at] = row
+            sent = [banded[i] for i in np.sort(first_part).tolist()] + [own[2][np.sort(first)].ravel()]
+            doc = np.concatenate(docs)
+            note = np.array([len(doc), len(part)], np.int64).tobytes() + doc.tobytes() + part.tobytes() + place.tobytes()
+            return shared.send(base, sizes, np.concatenate(sent), bits, note)
 
         for batch in pieces(batches):
             ids = batch.column("doc_id").cast(pa.int64())
             data, offsets = utf8(batch.column("text"))
             size += len(data)
-            hashes, units = _units(data, offsets)
-            get = lambda v, row: v.to_numpy(zero_copy_only=False)[row]
-            for kind in (PARAGRAPH, PASSAGE, TEXT):
-                _, row, place, word, n = units[:, units[0] == kind]
-                if not len(row):
-                    continue
-                own = hashes[ragged(word, n)]
-                one, two = sequence_digests(own, n)
-                notes.append(np.stack([get(ids.fill_null(0), row), get(ids.is_valid(), row), get(batch.column("text_hash"), row),
-                                       np.full(len(row), kind), place, n, one.view(np.int64), two.view(np.int64)]).astype(np.int64))
-                banded = mix64(one ^ np.uint64(TEXT))[:, None] if kind == TEXT else band_keys(*shingles(own, n, SHINGLE), kind)
-                keys.append(banded.ravel())
-                sizes.append(np.full(len(row), banded.shape[1]))
-            if size >= CHUNK_BYTES and notes:
+            rows, words, grams, counts, (para_of, para_at, para_n) = _long_texts(data, offsets)
+            if len(rows):
+                before = sum(map(len, docs))
+                doc = np.empty(len(rows), _DOC)
+                for name, column in (("doc_id", ids.fill_null(0)), ("known", ids.is_valid()), ("text", batch.column("text_hash"))):
+                    doc[name] = column.to_numpy(zero_copy_only=False)[rows]
+                docs.append(doc)
+                word_at = np.cumsum(counts) - counts
+                gram_at = word_at - (SHINGLE - 1) * np.arange(len(rows))
+                part = np.empty(len(rows) + len(para_of), _PART)
+                part["doc"] = before + np.concatenate([np.arange(len(rows)), para_of])
+                part["kind"] = np.repeat([TEXT, PARAGRAPH], [len(rows), len(para_of)])
+                part["start"], part["n"] = np.concatenate([counts * 0, para_at]), np.concatenate([counts, para_n])
+                begin = np.concatenate([word_at, word_at[para_of] + para_at])
+                part["one"], part["two"] = sequence_digests(words[ragged(begin, part["n"].astype(np.int64))], part["n"].astype(np.int64))
+                parts.append(part)
+                own = [chosen(grams[g:g + n - SHINGLE + 1]) for g, n in zip(gram_at.tolist(), counts.tolist())]
+                own = [p[p + WINDOW <= n] for p, n in zip(own, counts.tolist())]
+                of, start = np.repeat(np.arange(len(rows)), [len(p) for p in own]), np.concatenate(own)
+                place = np.zeros(len(of), _PLACE)
+                place["doc"], place["start"] = before + of, start
+                one, two = (runs._rolled(mix64(words ^ np.uint64(salt)), WINDOW)[word_at[of] + start] for salt in (0x1B873593, 0x2C1B3C6D))
+                places.append((place, one, two))
+                keys.append((mix64(part["one"][:len(rows)] ^ np.uint64(TEXT))[:, None],
+                             band_keys(grams, gram_at[para_of] + para_at, para_n - SHINGLE + 1, PARAGRAPH) if len(para_of) else np.empty((0, BANDS[PARAGRAPH][0]), np.uint64),
+                             band_keys(grams, gram_at[of] + start, np.full(len(of), WINDOW - SHINGLE + 1), PASSAGE)))
+            if size >= CHUNK_BYTES and docs:
                 yield chunk()
-                base, notes, keys, sizes, size = base + sum(n.shape[1] for n in notes), [], [], [], 0
-        if notes:
+                base, docs, parts, places, keys, size = base + sum(map(len, parts)), [], [], [], [], 0
+        if docs:
             yield chunk()
     return run
 
 
 def _met(chunk: pa.Table) -> pa.Table:
-    """The units of a chunk that share a key, and those that stand in it twice."""
+    """The texts and paragraphs of a chunk that share a key or stand in it twice, and by text its windows of that kind."""
     note, owner, token, _ = shared.gathered(chunk)
-    note = np.frombuffer(note, np.int64).reshape(len(NOTE), -1)
-    ends = np.cumsum(np.bincount(owner, minlength=note.shape[1]))
+    n_docs, n_parts = np.frombuffer(note, np.int64, 2).tolist()
+    doc = np.frombuffer(note, _DOC, n_docs, 16)
+    part = np.frombuffer(note, _PART, n_parts, 16 + doc.nbytes)
+    place = np.frombuffer(note, _PLACE, -1, 16 + doc.nbytes + part.nbytes)
+    ends = np.cumsum(np.bincount(owner, minlength=n_parts + len(place)))
     begins = np.concatenate([[0], ends[:-1]])
-    _, cls, times = np.unique(note[[3, 6, 7]], axis=1, return_inverse=True, return_counts=True)
-    cls = cls.ravel()
-    some = np.zeros(len(times), bool)
-    some[cls[ends > begins]] = True
-    some |= times > 1
-    at = np.flatnonzero(some[cls])
+    hit = ends > begins
+
+    def wanted(cls: np.ndarray, hit: np.ndarray) -> np.ndarray:
+        times = np.bincount(cls)
+        some = times > 1
+        some[cls[hit]] = True
+        return np.flatnonzero(some[cls])
+
+    at = wanted(np.unique(part[["kind", "one", "two"]], return_inverse=True)[1].ravel(), hit[:n_parts])
     keys = [token[a:z].tobytes() if z > a else None for a, z in zip(begins[at].tolist(), ends[at].tolist())]
-    doc_id, known, *rest = note[:, at]
-    return pa.table({"uid": chunk["base"][0].as_py() + at, "doc_id": pa.array(doc_id, mask=known == 0),
-                     **dict(zip(NOTE[2:], rest)), "keys": pa.array(keys, pa.binary())})
+    few = wanted(place["cls"].astype(np.int64), hit[n_parts:]) if len(place) else np.empty(0, np.int64)
+    of, first = np.unique(place["doc"][few], return_index=True)
+    starts = [place["start"][few][a:z].astype(np.int64).tobytes() for a, z in zip(first.tolist(), [*first[1:].tolist(), len(few)])]
+    owners = np.concatenate([part["doc"][at], of]).astype(np.int64)
+    numbers = lambda name: pa.array(np.concatenate([part[name][at].astype(np.int64), np.zeros(len(of), np.int64)]))
+    return pa.table({
+        "uid": np.concatenate([chunk["base"][0].as_py() + at, np.full(len(of), -1)]), "doc_id": pa.array(doc["doc_id"][owners], mask=doc["known"][owners] == 0),
+        "text_hash": doc["text"][owners], "kind": np.concatenate([part["kind"][at].astype(np.int64), np.full(len(of), PASSAGE)]),
+        "start": numbers("start"), "n_words": numbers("n"), "one": pa.array(np.concatenate([part["one"][at].view(np.int64), of * 0]).astype(np.int64)),
+        "two": pa.array(np.concatenate([part["two"][at].view(np.int64), of * 0]).astype(np.int64)),
+        "keys": pa.array(keys + [None] * len(of), pa.binary()), "windows": pa.array([None] * len(at) + starts, pa.binary())})
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,9 +208,9 @@ def _around(bits: int):
             one, two = runs.digests(hashes)
             at_doc = sum(len(p) for p in places)
             places.append(runs._places(batch, rows))
-            windows = batch.column("windows").to_pylist()
+            windows = batch.column("windows").to_pylist()  # where they begin
             for k, (r, a, z) in enumerate(zip(rows.tolist(), begins.tolist(), ends.tolist())):
-                first = np.array(windows[r], np.int64)
+                first = np.frombuffer(windows[r], np.int64)
                 low = np.maximum(first - (RUN - WINDOW), 0)
                 at = np.unique(ragged(low, np.maximum(np.minimum(first, z - a - RUN) - low + 1, 0)))
                 if len(at):
@@ -201,10 +239,12 @@ def repeated(docs: DataFrame, percent: int = 80) -> DataFrame:
     bits = shared.bucket_bits(letters // 14)
     packets = short_batches(rows).mapInArrow(_sent(bits), shared.PACKET)
     found = scratch.keep(shared.answers(packets, bits).groupBy("base").applyInArrow(_met, _UNIT), "units")
+    scratch.settle()
+    units = found.where(f"kind <> {PASSAGE}").drop("windows")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.col("start"), F.col("text_hash"))
-    classes = scratch.keep(found.groupBy("kind", "one", "two").agg(
+    classes = scratch.keep(units.groupBy("kind", "one", "two").agg(
         F.coalesce(F.min(F.when(F.col("keys").isNotNull(), F.col("uid"))), F.min("uid")).alias("rep"), F.min(order).alias("head"), F.max(order).alias("last")), "classes")
-    reps = scratch.keep(found.where(f"keys is not null and kind <> {TEXT}").join(
+    reps = scratch.keep(units.where(f"keys is not null and kind = {PARAGRAPH}").join(
         classes.select("rep"), F.col("uid") == F.col("rep"), "left_semi").select("uid", "doc_id", "text_hash", "start", "n_words", "keys"), "reps")
     labels = clusters(reps, scratch, "substrings")
     wanted = (reps.join(labels.select(F.col("uid").alias("u")), F.col("uid") == F.col("u"), "left_semi").groupBy("doc_id", "text_hash")
@@ -214,27 +254,31 @@ def repeated(docs: DataFrame, percent: int = 80) -> DataFrame:
     of = linked(labels, items, scratch, "substrings", percent, ordered=False)
     grouped = scratch.keep(classes.join(of, F.col("rep") == F.col("node"), "left").select(
         "kind", "one", "two", "head", "last", F.coalesce("root", "rep").alias("component")), "grouped")
-    ends = grouped.groupBy("kind", "component").agg(F.min("head").alias("first"), F.max("last").alias("last")).where("first <> last").select(
-        F.col("kind").alias("k"), F.col("component").alias("c"), F.col("first"))
-    shared_units = grouped.select("kind", "one", "two", "component").join(ends, (F.col("kind") == F.col("k")) & (F.col("component") == F.col("c"))).select(
+    ends = grouped.groupBy("component").agg(F.min("head").alias("first"), F.max("last").alias("last")).where("first <> last").select(
+        F.col("component").alias("c"), F.col("first"))
+    repeats = grouped.select("kind", "one", "two", "component").join(ends, F.col("component") == F.col("c")).select(
         F.col("kind").alias("k"), F.col("one").alias("c1"), F.col("two").alias("c2"), "first")
-    placed = scratch.keep(found.drop("keys", "uid").join(
-        shared_units, (F.col("kind") == F.col("k")) & (F.col("one") == F.col("c1")) & (F.col("two") == F.col("c2")))
+    placed = scratch.keep(units.drop("keys", "uid").join(
+        repeats, (F.col("kind") == F.col("k")) & (F.col("one") == F.col("c1")) & (F.col("two") == F.col("c2")))
         .drop("k", "c1", "c2", "one", "two"), "placed")
-    whole = placed.where(f"kind <> {PASSAGE}").select(
+    whole = placed.select(
         F.when(F.col("kind") == TEXT, "text").otherwise("paragraph").alias("kind"), "doc_id", F.col("start").alias("first_word"), "n_words",
         F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_word"),
         (~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start"))
            & (F.col("text_hash") == F.col("first.text_hash")))).alias("removed"))
     copies = placed.where(f"kind = {TEXT}").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))).select(
         F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).distinct()
-    windows = placed.where(f"kind = {PASSAGE}").select("doc_id", "text_hash", "start")
+    windows = found.where(f"kind = {PASSAGE}").select("doc_id", "text_hash", "windows")
+    # rows alike in id and text are one place, with one list of windows
     windows = scratch.keep(windows.join(copies, _same(windows, "d", "h"), "left_anti").groupBy("doc_id", "text_hash").agg(
-        F.collect_set("start").alias("windows")).withColumnsRenamed({"doc_id": "d", "text_hash": "h"}), "windows")
-    many = windows.agg(F.sum(F.size("windows"))).first()[0] or 0
+        F.max("windows").alias("windows")).withColumnsRenamed({"doc_id": "d", "text_hash": "h"}), "windows")
+    scratch.drop("units", "classes", "reps", "items", "grouped")  # what follows reads placed and windows
+    scratch.settle()
+    many = (windows.agg(F.sum(F.octet_length("windows"))).first()[0] or 0) // 8
     run_bits = shared.bucket_bits(many * CHOICE // 2)
     compared = short_batches(rows.join(windows, _same(rows, "d", "h")).drop("d", "h")).mapInArrow(_around(run_bits), runs.PACKETS)
     spans = runs.spans(compared, scratch)
+    scratch.drop("windows")
     gone = spans.distinct().select(F.lit("passage").alias("kind"), "doc_id", "first_word", "n_words", "kept_doc_id", "kept_word", F.lit(True).alias("removed"))
     kept = spans.select("kept_doc_id", "kept_word").distinct().select(
         F.lit("passage").alias("kind"), F.col("kept_doc_id").alias("doc_id"), F.col("kept_word").alias("first_word"), F.lit(RUN).cast("long").alias("n_words"),
