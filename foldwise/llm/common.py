@@ -35,6 +35,17 @@ def only(df: DataFrame, **columns) -> DataFrame:
                        for name, c in columns.items()])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where ``df`` has a column called so already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def short_batches(df: DataFrame) -> DataFrame:
     """``df``, with Arrow batches of 4 MB instead of Spark's 64 MB if its session has that default: texts are long, and
     tasks hold a batch several times over, on both sides."""

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.llm import shared
-from foldwise.llm.common import Scratch, only, pieces, short_batches, utf8
-from foldwise.llm.units import clusters, linked
+from foldwise.llm.common import Scratch, fresh, only, pieces, short_batches, utf8
+from foldwise.llm.units import clusters, linked, weighted_links
 from foldwise.llm.words import distinct, shingles, signatures, word_hashes
 
 CHUNK_BYTES, CHUNK_ROWS = 4 << 20, 1 << 16  # text and rows that are gathered before they are sent
@@ -80,8 +80,9 @@ def _sets(percent: int):
     return run
 
 
-def _components(docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Per document doc_id, text_hash, n and the component: its smallest doc_id and the text_hash of the one that stays."""
+def _components(docs: DataFrame, percent: int, size: int, links: bool) -> DataFrame:
+    """Per document doc_id, text_hash, n and the component: its smallest doc_id and the text_hash of the one that stays; with ``links``
+    also n_links, the documents it is linked with."""
     scratch = Scratch(docs.sparkSession)
     docs = only(docs, doc_id="doc_id", text="text").withColumn("text_hash", F.xxhash64("text"))
     letters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -92,36 +93,46 @@ def _components(docs: DataFrame, percent: int, size: int) -> DataFrame:
     # null ids come after all others, and of a repeated id the smallest text_hash first
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash")))
     classes = scratch.keep(sets.where("n > 0").groupBy("n", "one", "two").agg(
-        F.min("uid").alias("rep"), first.alias("first")), "classes")
+        F.min("uid").alias("rep"), first.alias("first"), F.count("*").alias("copies")), "classes")
     items = scratch.keep(sets.where("tokens is not null").select("uid", "n", "keys", "tokens").join(
-        classes.select("rep"), F.col("uid") == F.col("rep"), "left_semi"), "items")
-    of = linked(clusters(items, scratch, "docs"), items, scratch, "docs", percent, ordered=True)
+        classes.select("rep", "copies"), F.col("uid") == F.col("rep")).drop("rep"), "items")
+    labels = clusters(items, scratch, "docs")
+    if links:
+        of, degrees = weighted_links(labels, items, scratch, "docs", percent, ordered=True)
+        classes = classes.join(degrees.withColumnRenamed("uid", "u"), F.col("rep") == F.col("u"), "left").drop("u").withColumn(
+            "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+    else:
+        of = linked(labels, items, scratch, "docs", percent, ordered=True)
+    more = ["n_links"] if links else []
     met = classes.join(of, F.col("rep") == F.col("node"))
     smallest = met.groupBy("root").agg(F.min("first").alias("component"))
     met = met.join(smallest, "root").select(F.col("rep").alias("r"), "component")
     classes = classes.join(met, F.col("rep") == F.col("r"), "left").select(
         F.col("n").alias("cn"), F.col("one").alias("c1"), F.col("two").alias("c2"),
-        F.coalesce("component", "first").alias("component"))
+        F.coalesce("component", "first").alias("component"), *more)
     return sets.select("doc_id", "text_hash", "n", "one", "two").join(
         classes, (F.col("n") == F.col("cn")) & (F.col("one") == F.col("c1")) & (F.col("two") == F.col("c2")), "left").select(
-        "doc_id", "text_hash", "n", "component")
+        "doc_id", "text_hash", "n", "component", *more)
 
 
 def join(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of ``docs(doc_id, text)``: the smallest doc_id reachable by links."""
-    return _components(docs, percent, size).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component.doc_id", "doc_id").alias("component_id"))
+    """``doc_id, n_shingles, component_id, n_links`` of ``docs(doc_id, text)``: the smallest doc_id reachable by links, and how many
+    other documents are linked with this one directly. Every pair of different sets is verified; equal sets count by their number."""
+    return _components(docs, percent, size, True).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component.doc_id", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def first_of_each(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     """``docs`` with one document of each component: the first by doc_id, null ids last. Documents without words all stay."""
-    found = _components(docs, percent, size)
+    d, h, has_words, own, copy = fresh(docs, "_d", "_h", "_linked", "_hash", "_copy")
+    found = _components(docs, percent, size, False)
     stays = found.where((F.col("n") == 0) | (F.col("doc_id").eqNullSafe(F.col("component.doc_id"))
                                              & (F.col("text_hash") == F.col("component.text_hash"))))
-    stays = stays.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), (F.col("n") > 0).alias("_linked")).distinct()
-    kept = docs.withColumn("_hash", F.xxhash64("text")).join(
-        stays, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")))
+    stays = stays.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), (F.col("n") > 0).alias(has_words)).distinct()
+    kept = docs.withColumn(own, F.xxhash64("text")).join(
+        stays, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(own) == F.col(h)))
     # rows alike in doc_id and text stay once if they have words
-    copies = Window.partitionBy("doc_id", "_hash").orderBy(F.lit(0))
-    return kept.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1 or not _linked").select(
+    copies = Window.partitionBy("doc_id", own).orderBy(F.lit(0))
+    return kept.withColumn(copy, F.row_number().over(copies)).where((F.col(copy) == 1) | ~F.col(has_words)).select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from foldwise.llm.common import mix64, pieces, short_batches, utf8
+from foldwise.llm.common import fresh, mix64, pieces, short_batches, utf8
 
 SLOTS, CENTROIDS, ROUNDS = 4096, 4, 12
 SAMPLE = 1500  # documents of a language from which its centroids are made, about
@@ -110,15 +110,17 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, list[tuple[str, bytes, float]]]:
 
 
 def predict(docs: DataFrame, model: tuple[np.ndarray, list[tuple[str, bytes, float]]]) -> DataFrame:
-    """``docs`` with further columns ``lang_pred``, ``score`` and ``rejected``, from ``text`` alone."""
+    """``docs`` with further columns ``lang_pred``, ``score`` and ``rejected``, from ``text`` alone; columns that it has by these names go."""
     idf, centroids = model
+    docs = docs.drop("lang_pred", "score", "rejected")
     names = docs.columns
+    letter = fresh(docs, "_letter")[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = np.array([np.frombuffer(v, np.float32) for _, v, _ in centroids])
         lang, least = np.array([k for k, _, _ in centroids], object), np.array([x for _, _, x in centroids])
         for batch in pieces(batches, rows=ROWS):
-            letters = batch.column("_letter").to_numpy(zero_copy_only=False).astype(bool)
+            letters = batch.column(letter).to_numpy(zero_copy_only=False).astype(bool)
             if len(c):
                 near = _weighed(counts(batch.column("text")), idf) @ c.T
                 best = near.argmax(1)
@@ -130,6 +132,6 @@ def predict(docs: DataFrame, model: tuple[np.ndarray, list[tuple[str, bytes, flo
                 [*[batch.column(n) for n in names], pa.array(pred.tolist(), pa.string()),
                  pa.array(np.where(letters, value, 0.0)), pa.array(far | ~letters)], [*names, "lang_pred", "score", "rejected"])
 
-    marked = short_batches(docs).withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    marked = short_batches(docs).withColumn(letter, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     schema = StructType(docs.schema.fields + StructType.fromDDL("lang_pred string, score double, rejected boolean").fields)
     return marked.mapInArrow(run, schema)

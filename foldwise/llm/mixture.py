@@ -13,13 +13,14 @@ same rows give the same mix, however they are partitioned.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import WORD, Scratch, only, pieces, short_batches, sums_before
+from foldwise.llm.common import WORD, Scratch, fresh, only, pieces, short_batches, sums_before
 from foldwise.operators.ranks import sorted_codes
 
 BLOCK = 1024  # words
@@ -86,7 +87,8 @@ def schedule(needs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """``docs(doc_id, text, source)`` as ``doc_id, text_hash, size, source_size, target, taken``: words the mix takes of each document."""
+    """``docs(doc_id, text, source)`` as ``doc_id, text_hash, size, source_size, target, taken, first_slot, n_slots``: words the mix takes
+    of each document, the first point of the schedule that takes any (null if none does), and how many do."""
     scratch = Scratch(docs.sparkSession)
     rows = only(docs, doc_id="doc_id", text="text", source="source")
     sized = scratch.keep(rows.select(
@@ -104,42 +106,45 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
         F.floor(F.col("at") / BLOCK), F.floor((last - 1) / BLOCK))))
         .select("uid", "idx", "block", "rounds", "rest", F.greatest("at", F.col("block") * BLOCK).alias("from"),
                 F.least(last, (F.col("block") + 1) * BLOCK).alias("to")))
-    met = parts.join(slots.select(F.col("idx").alias("i"), F.col("block").alias("b"), "round"),
+    met = parts.join(slots.select(F.col("idx").alias("i"), F.col("block").alias("b"), "round", "k"),
                      (F.col("idx") == F.col("i")) & (F.col("block") == F.col("b")))
     words = F.when(F.col("round") < F.col("rounds"), F.col("to") - F.col("from")).otherwise(
         F.greatest(F.lit(0), F.least("to", "rest") - F.col("from")))
-    taken = met.groupBy("uid").agg(F.sum(words).alias("taken")).withColumnRenamed("uid", "u")
+    met = met.select(F.col("uid").alias("u"), "k", words.alias("words")).where("words > 0")
+    taken = met.groupBy("u").agg(F.sum("words").alias("taken"), F.min("k").alias("first_slot"), F.count("*").alias("n_slots"))
     return queued.join(taken, F.col("uid") == F.col("u"), "left").select(
-        "doc_id", "text_hash", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "text_hash", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.col("first_slot").cast("long").alias("first_slot"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(size_column: str, taken_column: str):
     """Each text as often as it is taken whole, and its beginning for what is left."""
-    import re
     word = re.compile(WORD)
-    for batch in pieces(batches):
-        names = batch.schema.names
-        at, texts = [], []
-        for i, (text, size, taken) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "_size", "_taken")))):
-            whole, rest = divmod(taken, size) if size else (1, 0)  # texts without words stay as they are
-            at += [i] * (whole + (rest > 0))
-            texts += [text] * whole
-            if rest:
-                for n, found in enumerate(word.finditer(text), 1):
-                    if n == rest:
-                        texts.append(text[:found.end()])
-                        break
-        out = batch.take(pa.array(at, pa.int64()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(texts, pa.string()) if n == "text" else out.column(n) for n in names if n not in ("_size", "_taken")],
-            [n for n in names if n not in ("_size", "_taken")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            names = [n for n in batch.schema.names if n not in (size_column, taken_column)]
+            at, texts = [], []
+            for i, (text, size, taken) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", size_column, taken_column)))):
+                whole, rest = divmod(taken, size) if size else (1, 0)  # texts without words stay as they are
+                at += [i] * (whole + (rest > 0))
+                texts += [text] * whole
+                if rest:
+                    for n, found in enumerate(word.finditer(text), 1):
+                        if n == rest:
+                            texts.append(text[:found.end()])
+                            break
+            out = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else out.column(n) for n in names], names)
+    return run
 
 
 def apply(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """``docs`` as the mix takes them: repeated where a document is taken more than once, cut where it is taken in part."""
+    d, h, size, taken = fresh(docs, "_d", "_h", "_size", "_taken")
     # rows alike in doc_id and text share evenly what is taken of them
     found = mix(docs, weights, share, cap).groupBy("doc_id", "text_hash", "size").agg(
-        F.ceil(F.sum("taken") / F.count("*")).cast("long").alias("_taken")).select(
-        F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("size").alias("_size"), "_taken")
-    ready = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & F.xxhash64("text").eqNullSafe(F.col("_h"))).drop("_d", "_h")
-    return short_batches(ready).mapInArrow(_cut, docs.schema)
+        F.ceil(F.sum("taken") / F.count("*")).cast("long").alias(taken)).select(
+        F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("size").alias(size), taken)
+    ready = docs.join(found, F.col("doc_id").eqNullSafe(F.col(d)) & F.xxhash64("text").eqNullSafe(F.col(h))).drop(d, h)
+    return short_batches(ready).mapInArrow(_cut(size, taken), docs.schema)

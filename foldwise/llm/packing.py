@@ -1,8 +1,8 @@
 """Mixture-controlled packing of documents into fixed token windows.
 
-Every source is a queue of its documents in a hashed order. Deficit round-robin serves the queues: on each visit a
-source earns credit in proportion to its target share and is served once the credit is worth a run of tokens; what it
-could not use it carries to the next windows. Windows are cut from the served stream without gaps, so padding is left to
+Every source is a queue of its documents in a hashed order. Deficit round-robin serves the queues for every window: each
+source earns its target share of the window's tokens, is served what its credit is worth, and carries the rest to the next window, so
+that a source is never more than a run of 16 tokens and a fraction behind its share. Windows are filled without gaps, so padding is left to
 the end of the last one, and that remainder is laid out in windows whose sizes are powers of two, which need none.
 
 The work is divided along the stream: block b holds of every source the tokens between the same two fractions of its
@@ -27,7 +27,7 @@ from foldwise.llm.common import Scratch, only, pieces, short_batches, sums_befor
 from foldwise.llm.tokens import ENCODED, WordEncoder
 
 BLOCK_TOKENS = 1 << 20  # tokens that one task lays out at a time
-RUN = 256  # a source is served at least so many tokens at once, unless its queue ends
+RUN = 16  # a source is served at least so many tokens at once, unless its queue or the window ends
 STRETCHES = 1024  # hash ranges per source for running sums
 
 
@@ -49,28 +49,41 @@ def _encoded(path: str, spaces: str, end_id: int):
     return run
 
 
-def _serve(tokens: np.ndarray, credit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Deficit round-robin over queues of so many tokens: the runs as (queue, tokens), in order."""
-    total = int(tokens.sum())
-    quantum = tokens / total * max(RUN, RUN * len(tokens) / 2)
-    left, deficit = tokens.tolist(), credit.tolist()
-    active = [q for q in range(len(left)) if left[q]]
-    queues, runs = [], []
-    while active:
-        for q in active:
-            deficit[q] += quantum[q]
-            if deficit[q] >= RUN or deficit[q] >= left[q]:
-                n = min(int(deficit[q]), left[q])
-                deficit[q] -= n
-                left[q] -= n
-                queues.append(q)
-                runs.append(n)
-        active = [q for q in active if left[q]]
-        if len(active) == 1:
-            queues.append(active[0])
-            runs.append(left[active[0]])
-            break
-    return np.array(queues, np.int64), np.array(runs, np.int64)
+def _serve(tokens: np.ndarray, credit: np.ndarray, window: int, begun: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Deficit round-robin over queues of so many tokens, window by window: the runs as (queue, tokens), in order.
+
+    For every window, the first of which has ``begun`` tokens already, each source earns its share of the room and is served what its credit is worth in
+    whole tokens, if that is a run of ``RUN`` or more; the rest is carried to the next window. Room that fractions leave goes to the largest credits.
+    """
+    left, deficit, total = tokens.copy(), credit.astype(float).copy(), int(tokens.sum())
+    share = tokens / max(total, 1)
+    least = np.minimum(RUN, np.maximum(left, 1))
+    queues, runs, at = [], [], begun
+    while total:
+        room = min(window - at % window, total)
+        deficit += share * room
+        n = np.minimum(np.floor(deficit).astype(np.int64), left)
+        n[n < np.minimum(least, left)] = 0
+        over = int(n.sum()) - room
+        while over > 0:  # credit from before is worth more than the window has room for
+            q = int(np.argmax(n))
+            cut = min(over, int(n[q]))
+            n[q] -= cut
+            over -= cut
+        while over < 0:  # the largest credits take what is left of the room, in runs
+            free = left - n
+            q = int(np.argmax(np.where(free > 0, deficit - n, -np.inf)))
+            more = min(-over, int(free[q]), max(1, RUN - int(n[q])))
+            n[q] += more
+            over += more
+        deficit -= n
+        left -= n
+        at += room
+        total -= room
+        some = np.flatnonzero(n)
+        queues.append(some)
+        runs.append(n[some])
+    return np.concatenate(queues or [np.empty(0, np.int64)]), np.concatenate(runs or [np.empty(0, np.int64)])
 
 
 def _laid_out(window: int):
@@ -85,7 +98,7 @@ def _laid_out(window: int):
         tokens = np.bincount(queue, weights=length).astype(np.int64)
         credit = np.zeros(len(tokens))
         credit[queue] = get("credit")
-        queues, runs = _serve(tokens, credit)
+        queues, runs = _serve(tokens, credit, window, int(base[0]) % window)
         # queues lie one behind the other on an axis of this block's tokens; runs map it to the served stream
         queue_at = np.cumsum(tokens) - tokens
         order = np.argsort(queues, kind="stable")

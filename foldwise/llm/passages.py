@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm import shared
-from foldwise.llm.common import Scratch, mix64, only, pieces, ragged, short_batches, utf8
+from foldwise.llm.common import Scratch, fresh, mix64, only, pieces, ragged, short_batches, utf8
 from foldwise.llm.units import clusters, linked
 from foldwise.llm.words import distinct, shingles, word_hashes
 
@@ -179,11 +179,12 @@ def repeated(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def remove(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with each text rid of the paragraphs that repeat an earlier one; texts left without any paragraph go."""
+    d, h, lost, left = fresh(docs, "_d", "_h", "_gone", "_kept")
     gone = (_repeated(docs, percent).groupBy("doc_id", "text_hash", "paragraph").agg(F.min("removed").alias("removed"))
-            .where("removed").groupBy("doc_id", "text_hash").agg(F.collect_list("paragraph").alias("_gone"))
-            .select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "_gone"))
-    edited = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("_gone", i.cast("long")))
-    edited = edited.withColumn("_kept", F.when(F.col("_gone").isNotNull(), F.array_join(kept, "\n")))
-    edited = edited.where(F.col("_gone").isNull() | F.col("_kept").rlike(r"[^\x20\x09-\x0D]"))
-    return edited.select(*[F.coalesce("_kept", "text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+            .where("removed").groupBy("doc_id", "text_hash").agg(F.collect_list("paragraph").alias(lost))
+            .select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), lost))
+    edited = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(h)), "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(lost, i.cast("long")))
+    edited = edited.withColumn(left, F.when(F.col(lost).isNotNull(), F.array_join(kept, "\n")))
+    edited = edited.where(F.col(lost).isNull() | F.col(left).rlike(r"[^\x20\x09-\x0D]"))
+    return edited.select(*[F.coalesce(left, "text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])

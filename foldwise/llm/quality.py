@@ -137,7 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
-    """``docs`` with a further column, named ``name``, from 0 to 1, from ``text`` alone."""
+    """``docs`` with a further column, named ``name``, from 0 to 1, from ``text`` alone; a column that it has by this name goes."""
+    docs = docs.drop(name)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -108,11 +108,11 @@ SQL["op6_exact_top_k"] = """
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
-long AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM usable),
-scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
-  FROM long q JOIN long c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
-FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+long AS (SELECT row, vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM (SELECT *, row_number() OVER () AS row FROM usable)),
+scored AS (SELECT q.row AS query, q.vec_id AS query_id, c.row AS row, c.vec_id AS vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM long q JOIN long c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) <= 5"""
 
 
 @query
@@ -149,9 +149,25 @@ queued AS (
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 parts AS (
   SELECT *, CAST(floor(target) AS BIGINT) // greatest(source_size, 1) AS rounds,
-    CAST(floor(target) AS BIGINT) % greatest(source_size, 1) AS rest FROM queued)
+    CAST(floor(target) AS BIGINT) % greatest(source_size, 1) AS rest, row_number() OVER () AS uid FROM queued),
+-- the schedule: multiples of the golden ratio fall into the sources' intervals
+needs AS (SELECT source, (source_size + 1023) // 1024 AS blocks,
+    (CAST(floor(target) AS BIGINT) // greatest(source_size, 1)) * ((source_size + 1023) // 1024)
+      + (CAST(floor(target) AS BIGINT) % greatest(source_size, 1) + 1023) // 1024 AS slots FROM targets),
+intervals AS (SELECT source, blocks, slots, sum(slots) OVER (ORDER BY encode(source) NULLS LAST) - slots AS low FROM needs),
+whole AS (SELECT sum(slots)::BIGINT AS total FROM needs),
+points AS (SELECT k, (k * 0.6180339887498949::DOUBLE - floor(k * 0.6180339887498949::DOUBLE)) * total::DOUBLE AS x
+  FROM (SELECT total, unnest(range(1, CAST(floor(total * 2.75::DOUBLE) AS BIGINT) + 2)) AS k FROM whole)),
+hits AS (SELECT k, source, blocks, slots, row_number() OVER (PARTITION BY source ORDER BY k) - 1 AS r
+  FROM points JOIN intervals ON x >= low AND x < low + slots),
+used AS (SELECT k, source, r // blocks AS round, r % blocks AS block FROM hits WHERE r < slots),
+met AS (SELECT uid, k FROM parts p JOIN used u ON u.source IS NOT DISTINCT FROM p.source AND block BETWEEN pos // 1024 AND (pos + size - 1) // 1024
+  WHERE size > 0 AND (round < rounds OR (round = rounds AND least(pos + size, (block + 1) * 1024, rest) > greatest(pos, block * 1024)))),
+slots AS (SELECT uid, min(k) AS first_slot, count(*) AS n_slots FROM met GROUP BY uid)
 SELECT doc_id, size, source_size, target,
-  CAST(rounds * size + greatest(0, least(pos + size, rest) - pos) AS BIGINT) AS taken FROM parts"""
+  CAST(rounds * size + greatest(0, least(pos + size, rest) - pos) AS BIGINT) AS taken,
+  CAST(first_slot AS BIGINT) AS first_slot, CAST(coalesce(n_slots, 0) AS BIGINT) AS n_slots
+FROM parts LEFT JOIN slots USING (uid)"""
 
 
 _WORDS = r"""regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -168,7 +184,8 @@ _LINKED = """shingled AS (SELECT DISTINCT uid, CASE WHEN len(ws) < 5 THEN ws ELS
 SQL["op7_ngram_jaccard_join"] = f"""WITH RECURSIVE items AS (SELECT row_number() OVER () AS uid, doc_id, {_WORDS.format(text="text")} AS ws FROM documents),
   {_LINKED},
   roots AS (SELECT node, min(doc_id) AS component FROM reached JOIN items ON uid = other GROUP BY node)
-  SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id
+  SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id,
+    (SELECT count(*) FROM edges WHERE a = items.uid) AS n_links
   FROM items LEFT JOIN sizes USING (uid) LEFT JOIN roots ON node = items.uid"""
 
 SQL["paragraph_repeats"] = f"""WITH RECURSIVE parts AS (

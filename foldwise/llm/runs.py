@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm import shared
-from foldwise.llm.common import Scratch, mix64, only, pieces, ragged, short_batches, utf8
+from foldwise.llm.common import Scratch, fresh, mix64, only, pieces, ragged, short_batches, utf8
 from foldwise.llm.words import INVERSE, MULTIPLIER, word_hashes
 
 RUN, GRAM = 50, 25  # words of a passage and of the runs that name it
@@ -318,10 +318,11 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str | None:
 
 def remove(docs: DataFrame) -> DataFrame:
     """``docs`` with each text rid of the passages that stand before; texts left without any word go."""
+    d, h, lost = fresh(docs, "_d", "_h", "_gone")
     gone = (_found(docs).select("doc_id", "text_hash", "first_word", "n_words").distinct().groupBy("doc_id", "text_hash")
-            .agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("_gone"))
-            .select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "_gone"))
-    edited = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left")
+            .agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias(lost))
+            .select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), lost))
+    edited = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(h)), "left")
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,4 +338,4 @@ def remove(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, docs_names).filter(pa.array(stays))
 
     docs_names = docs.columns
-    return short_batches(edited.drop("_d", "_h")).mapInArrow(run, docs.schema)
+    return short_batches(edited.drop(d, h)).mapInArrow(run, docs.schema)

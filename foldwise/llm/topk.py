@@ -8,7 +8,8 @@ the second round starts from it and rarely needs more.
 
 Queries meet ranges in blocks: a block of queries and a range of vectors are one unit of work, which returns its k best of each query.
 Vectors that are null, or hold null or non-finite components, take no part; shorter ones count as filled up with zeros.
-An id is a key: of rows that share one, the least vector stands for it; rows without id take no part. Ties go to the smaller id.
+Every row is a query or a candidate of its own, also where ids repeat: then an id may stand in a result more than once, and rows of the
+query's id are no candidates. Rows without id take no part. Ties go to the smaller id.
 Components are cut to 63 bits and scores to 64, within which they are exact. Empty tables give an empty result.
 """
 
@@ -31,7 +32,7 @@ EXACT = float(1 << 53)  # sums below this are exact in double precision
 def _packed(rows: int):
     """Consecutive rows of a partition, ``rows`` at a time, as ids and a matrix of 64-bit integers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, ids, vectors, last = TaskContext.get().partitionId(), 0, [], [], None
+        part, seq, ids, vectors = TaskContext.get().partitionId(), 0, [], []
 
         def close():
             width = max(map(len, vectors))
@@ -44,9 +45,6 @@ def _packed(rows: int):
 
         for batch in batches:
             for i, v in zip(batch.column("id").to_pylist(), batch.column("v").to_pylist()):
-                if i == last:
-                    continue  # the first in the order stands for its id
-                last = i
                 ids.append(i)
                 vectors.append(v)
                 if len(ids) == rows:
@@ -137,7 +135,7 @@ def _searched(k: int, first_only: bool):
 
 
 def _ranked(found: DataFrame) -> DataFrame:
-    best_first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best_first = Window.partitionBy("block", "row").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best_first))
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from foldwise.llm.common import Scratch, ragged
@@ -48,8 +48,10 @@ class _Lists:
         return self.value[self.start[i]:self.start[i] + self.size[i]]
 
 
-def _linked(percent: int, ordered: bool) -> Callable[[pa.Table], pa.Table]:
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _linked(percent: int, ordered: bool, weighted: bool = False) -> Callable[[pa.Table], pa.Table]:
+    """Links of a unit that join two parts of it. With ``weighted`` every pair is verified, and each item with links has a row of its
+    own, from itself to itself, with the number of copies it is linked with."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), *([("links", pa.int64())] if weighted else [])])
 
     def run(unit: pa.Table) -> pa.Table:
         unit = unit.sort_by([("n", "ascending"), ("uid", "ascending")])
@@ -62,6 +64,7 @@ def _linked(percent: int, ordered: bool) -> Callable[[pa.Table], pa.Table]:
         ranges = np.zeros((len(uid), RANGES), np.int32)
         np.add.at(ranges, (np.repeat(np.arange(len(uid)), tokens.size), tokens.value // span), 1)
         label = np.arange(len(uid))
+        copies, links = (unit["copies"].to_numpy(), np.zeros(len(uid), np.int64)) if weighted else (None, None)
         found_a, found_b = [], []
         for x in range(1, len(uid)):
             mine = keys.row(x)
@@ -73,7 +76,9 @@ def _linked(percent: int, ordered: bool) -> Callable[[pa.Table], pa.Table]:
             if not len(y):
                 continue
             y, first = np.unique(y, return_index=True)  # the first key that both hold, in the order of x
-            keep = (label[y] != label[x]) & (100 * n[y] >= percent * n[x])
+            keep = 100 * n[y] >= percent * n[x]
+            if not weighted:
+                keep &= label[y] != label[x]
             if cross:
                 keep &= block[y] != block[x]
             need = -(-percent * (n[x] + n[y]) // (100 + percent))  # overlap that two sets of these sizes must have
@@ -93,12 +98,20 @@ def _linked(percent: int, ordered: bool) -> Callable[[pa.Table], pa.Table]:
             else:
                 held = ragged(tokens.begins[own], tokens.ends[own] - tokens.begins[own])
                 common = np.bincount(tokens.holder[held], minlength=len(uid))[y]
-            for i in y[100 * common >= percent * (n[x] + n[y] - common)]:
+            met = y[100 * common >= percent * (n[x] + n[y] - common)]
+            if weighted and len(met):
+                links[x] += copies[met].sum()
+                links[met] += copies[x]
+            for i in met:
                 if label[i] != label[x]:
                     label[label == label[i]] = label[x]
                     found_a.append(uid[i])
                     found_b.append(uid[x])
-        return pa.table([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], schema=schema)
+        some = np.flatnonzero(links) if weighted else np.empty(0, np.int64)
+        columns = [np.concatenate([np.array(c, np.int64), uid[some]]) for c in (found_a, found_b)]
+        if weighted:
+            columns.append(np.concatenate([np.zeros(len(found_a), np.int64), links[some]]))
+        return pa.table([pa.array(c, pa.int64()) for c in columns], schema=schema)
     return run
 
 
@@ -118,6 +131,20 @@ def linked(labels: DataFrame, items: DataFrame, scratch: Scratch, name: str, per
     ``labels`` are their clusters. With ``ordered``, keys and tokens stand in one global order, keys are the first of the tokens,
     and the n - len(tokens) elements that are not in ``tokens`` come before all of them and are held by nobody else.
     """
+    found = _placed(labels, items, scratch, name).applyInArrow(_linked(percent, ordered), "a long, b long")
+    return components(found, scratch, f"{name}-links")
+
+
+def weighted_links(labels: DataFrame, items: DataFrame, scratch: Scratch, name: str, percent: int, ordered: bool) -> tuple[DataFrame, DataFrame]:
+    """:func:`linked`, and ``uid, links``: by how many ``copies`` of other items each is linked. Each pair is verified, once."""
+    found = scratch.keep(_placed(labels, items, scratch, name).applyInArrow(
+        _linked(percent, ordered, True), "a long, b long, links long"), f"{name}-pairs")
+    degrees = found.where("a = b").groupBy(F.col("a").alias("uid")).agg(F.sum("links").alias("links"))
+    return components(found.where("a <> b").select("a", "b"), scratch, f"{name}-links"), degrees
+
+
+def _placed(labels: DataFrame, items: DataFrame, scratch: Scratch, name: str) -> GroupedData:
+    """The items by units of work."""
     weighed = labels.join(items.select("uid", (F.octet_length("tokens") + F.octet_length("keys")).alias("bytes")), "uid")
     sizes = weighed.groupBy("label").agg(F.count("*").alias("items"), F.sum("bytes").alias("bytes"))
     sizes = scratch.keep(sizes.select("label", "items", F.greatest(
@@ -133,6 +160,4 @@ def linked(labels: DataFrame, items: DataFrame, scratch: Scratch, name: str, per
                       F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("label"), F.lit(units))).otherwise(F.col("label")).alias("unit"),
                       F.when(F.col("blocks") == 1, -1).otherwise(F.least("block", "other")).alias("low"),
                       F.when(F.col("blocks") == 1, -1).otherwise(F.greatest("block", "other")).alias("high")))
-    found = (placed.join(items, "uid").groupBy("unit", "low", "high")
-             .applyInArrow(_linked(percent, ordered), "a long, b long"))
-    return components(found, scratch, f"{name}-links")
+    return placed.join(items, "uid").groupBy("unit", "low", "high")

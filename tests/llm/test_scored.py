@@ -281,6 +281,27 @@ def test_schedule_mixes_evenly(spark, frame):
         assert abs(slots[:n].count(0) - n * share) < 3
 
 
+def test_top_k_with_repeated_ids(spark):
+    rows = [(1, [1]), (1, [9]), (2, [5]), (50, [1]), (50, [3])]
+    df = spark.createDataFrame(rows, "id long, v array<long>")
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df.where("id % 50 = 0"), df, 2).collect()]
+    assert sorted(got) == [(50, 1, 1, 9), (50, 1, 1, 27), (50, 2, 2, 5), (50, 2, 2, 15)]
+
+
+def test_the_schedule_decides_the_slots(frame, some_texts, monkeypatch):
+    """First slots and their number follow the golden-ratio points, and change with them."""
+    monkeypatch.setattr(mixture, "BLOCK", 16)
+    docs = frame([(i, t, "abc"[i % 3]) for i, t in some_texts], "doc_id long, text string, source string")
+    found = {r["doc_id"]: (r["taken"], r["first_slot"], r["n_slots"]) for r in mixture.mix(docs).collect()}
+    assert all((slot is None) == (taken == 0) == (n == 0) for taken, slot, n in found.values())
+    firsts = [(slot, "abc"[i % 3]) for i, (_, slot, _) in found.items() if slot is not None]
+    third = sorted(firsts)[:len(firsts) // 3]
+    assert {s for _, s in third} == set("abc")  # sources take turns from the start
+    monkeypatch.setattr(mixture, "GOLDEN", 2 ** 0.5 - 1)
+    other = {r["doc_id"]: (r["taken"], r["first_slot"], r["n_slots"]) for r in mixture.mix(docs).collect()}
+    assert {i: v[0] for i, v in other.items()} == {i: v[0] for i, v in found.items()} and other != found
+
+
 def test_sql_of_this_package(spark):
     from foldwise.llm.queries import SQL
     from tests.oracle import compare, connect

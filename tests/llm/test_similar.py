@@ -65,6 +65,35 @@ def test_join_with_frequent_keys_and_cut_clusters(frame, some_texts, monkeypatch
     assert got(frame(some_texts).repartition(3)) == expected(some_texts)
 
 
+def test_links_are_counted(frame, some_texts, monkeypatch):
+    rows = some_texts + [(1000 + i, t) for i, t in some_texts[:20]] + [(2000, None), (2001, "")]
+    sets = [shingled(words(t)) for _, t in rows]
+    want = {i: sum(1 for k, b in enumerate(sets) if k != n and a and 100 * len(a & b) >= 80 * len(a | b)) for n, ((i, _), a) in enumerate(zip(rows, sets))}
+    assert max(want.values()) > 3
+    for limit in (2048, 4):
+        monkeypatch.setattr(units, "UNIT_ITEMS", limit)
+        assert {r["doc_id"]: r["n_links"] for r in jaccard.join(frame(rows).repartition(3)).collect()} == want
+
+
+NAMES = ["_d", "_h", "_hash", "_linked", "_copy", "_gone", "_kept", "_size", "_taken", "_letter", "_score", "text_hash", "uid", "label"]
+
+
+def test_columns_are_handed_on_whatever_their_names(frame, some_texts):
+    from foldwise.llm import mixture, quality
+    rows = [(i, t, "ab"[i % 2]) for i, t in some_texts[:40]]
+    docs = frame(rows, "doc_id long, text string, source string")
+    for n, name in enumerate(NAMES):
+        docs = docs.withColumn(name, F.col("doc_id") * 100 + n)
+    model = quality.Model(b"", b"", None, None, None, 0.5)
+    for made in (jaccard.first_of_each(docs), passages.remove(docs), runs.remove(docs), mixture.apply(docs), quality.score(docs, model, "_q").drop("_q")):
+        found = made.collect()
+        assert made.columns == docs.columns and len(found) > 5
+        for r in found:
+            assert [r[name] for name in NAMES] == [r["doc_id"] * 100 + n for n in range(len(NAMES))]
+    again = quality.score(docs, model, "_h")
+    assert {r["_h"] for r in again.collect()} == {0.5} and sorted(again.columns) == sorted(docs.columns)
+
+
 def test_join_of_nothing(frame):
     assert got(frame([])) == [] and jaccard.first_of_each(frame([])).count() == 0
 

@@ -116,11 +116,19 @@ def test_packing_of_nothing(frame):
 
 
 def test_windows_hold_the_sources_in_proportion():
-    tokens = np.array([40_000, 20_000, 1000])
-    queues, runs = packing._serve(tokens, np.zeros(3))
-    assert [int(runs[queues == q].sum()) for q in range(3)] == tokens.tolist()
-    done, at = np.zeros(3), 0
-    for q, n in zip(queues, runs):
-        done[q] += n
-        at += n
-        assert np.abs(done - at * tokens / tokens.sum()).max() <= 2 * packing.RUN + packing.RUN * 3
+    for tokens, credit, begun in (([40_000, 20_000, 1000], [0, 0, 0], 0), ([5_000] * 20, [0.5] * 20, 700), ([60_000, *[300] * 40], [1.0] * 41, 3), ([7], [0], 1020)):
+        tokens = np.array(tokens)
+        queues, runs = packing._serve(tokens, np.array(credit), 1024, begun)
+        assert [int(runs[queues == q].sum()) for q in range(len(tokens))] == tokens.tolist()
+        share, at, done, own = tokens / tokens.sum(), begun, np.zeros(len(tokens)), np.zeros(len(tokens))
+        for q, n in zip(queues.tolist(), runs.tolist()):
+            assert at // 1024 == (at + n - 1) // 1024  # a run lies in one window
+            own[q] += n
+            at += n
+            if at % 1024 == 0 or at - begun == tokens.sum():
+                done += own
+                # never further from the target than a run and what was carried
+                assert np.abs(done - (at - begun) * share).max() <= packing.RUN + 2 + len(tokens) * 0.5
+                if (at - begun) >= 2048 and at % 1024 == 0:
+                    assert np.abs(own - 1024 * share).max() <= 2 * packing.RUN + 4 + len(tokens) * 0.5
+                own[:] = 0
