@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.llm import jaccard, mixture, packing, passages, quality, runs
-from foldwise.llm.common import Scratch, table
+from foldwise.llm.common import Scratch, fresh, table
 from foldwise.llm.queries import quality_model, vocabulary
 
 
@@ -24,8 +24,9 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier rejects go."""
-    scored = quality.score(docs, quality_model(docs, spark, sf_dir), "_score")
-    return scored.where("_score >= 0.5").drop("_score")
+    name = fresh(docs, "_score")[0]
+    scored = quality.score(docs, quality_model(docs, spark, sf_dir), name)
+    return scored.where(F.col(name) >= 0.5).drop(name)
 
 
 def keep_first_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
