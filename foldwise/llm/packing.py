@@ -2,7 +2,7 @@
 
 Every source is a queue of its documents in a hashed order. Deficit round-robin serves the queues for every window: each
 source earns its target share of the window's tokens, is served what its credit is worth, and carries the rest to the next window, so
-that a source is never more than a run of 16 tokens and a fraction behind its share. Windows are filled without gaps, so padding is left to
+that a source is never more than about a run of 64 tokens from its share. Windows are filled without gaps, so padding is left to
 the end of the last one, and that remainder is laid out in windows whose sizes are powers of two, which need none.
 
 The work is divided along the stream: block b holds of every source the tokens between the same two fractions of its
@@ -27,7 +27,7 @@ from foldwise.llm.common import Scratch, only, pieces, short_batches, sums_befor
 from foldwise.llm.tokens import ENCODED, WordEncoder
 
 BLOCK_TOKENS = 1 << 20  # tokens that one task lays out at a time
-RUN = 16  # a source is served at least so many tokens at once, unless its queue or the window ends
+RUN = 64  # a source is served at least so many tokens at once, unless its queue or the window ends
 STRETCHES = 1024  # hash ranges per source for running sums
 
 
@@ -72,10 +72,14 @@ def _serve(tokens: np.ndarray, credit: np.ndarray, window: int, begun: int = 0)
             over -= cut
         while over < 0:  # the largest credits take what is left of the room, in runs
             free = left - n
-            q = int(np.argmax(np.where(free > 0, deficit - n, -np.inf)))
-            more = min(-over, int(free[q]), max(1, RUN - int(n[q])))
-            n[q] += more
-            over += more
+            order = np.argsort(n - deficit, kind="stable")
+            order = order[free[order] > 0]
+            give = np.minimum(free[order], np.maximum(1, RUN - n[order]))
+            sums = np.cumsum(give)
+            k = min(int(np.searchsorted(sums, -over)) + 1, len(order))
+            give[k - 1] -= max(0, int(sums[k - 1]) + over)
+            n[order[:k]] += give[:k]
+            over += int(give[:k].sum())
         deficit -= n
         left -= n
         at += room
