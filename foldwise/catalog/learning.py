@@ -70,7 +70,7 @@ def _power_sql(k):
 
 
 @query("t09_a09_cached_text_vectors", f"""WITH toks AS (SELECT conv_id, turn,
-    regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}') AS t FROM conversations WHERE text IS NOT NULL),
+    regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS t FROM conversations WHERE text IS NOT NULL),
   near AS (SELECT unnest(list_concat(
     list_transform(range(1, greatest(len(t), 1)), lambda i: {{'a': t[i], 'b': t[i + 1]}}),
     list_transform(range(1, greatest(len(t) - 1, 1)), lambda i: {{'a': t[i], 'b': t[i + 2]}}))) AS p FROM toks),
