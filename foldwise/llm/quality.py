@@ -1,9 +1,10 @@
 """Text quality by compression: which of two dictionaries, built from good and from bad text, shortens a text more.
 
-Fitting takes a bounded sample of labelled rows, and of their whole texts parts of 2 KB up to about 32 MB a label. One half of it (by a hash of the id) gives two zstandard dictionaries, the other
-half a calibration: a ridge-penalised logistic curve over the compressed sizes, namely the normalised difference of the two and the sizes
-relative to the text, with squares and products. Scoring compresses every whole text, in parts of 2 KB so that the dictionaries
-keep their weight in long texts; each part counts.
+Fitting takes a bounded sample of labelled rows, and of their whole texts parts of 512 bytes up to about 16 MB a label. One half of it (by
+a hash of the id) gives two zstandard dictionaries, the other half a calibration. The score rests on one number: what the good dictionary
+saves against the bad one, in compressed bytes per byte of text. A ridge-penalised logistic curve makes a probability of it. Nothing else
+of a text enters, neither its length nor how well it compresses without a dictionary. Scoring compresses every whole text, in parts of 512
+bytes so that the dictionaries keep their weight in long texts; each part counts.
 
 Null and empty texts are compressed to nothing and get the calibrated value of that; ties cannot arise, equal texts have equal
 scores; repeated rows are scored each. Without labels of both kinds every score is the mean label, or 0.5 without any.
@@ -23,10 +24,11 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from foldwise.llm.common import mix64, pieces, short_batches
 
-PART, LEVEL, DICTIONARY = 2048, 3, 112 << 10  # bytes of a part, compression level, bytes of a dictionary
+PART, LEVEL, DICTIONARY = 512, 3, 112 << 10  # bytes of a part, compression level, bytes of a dictionary
 DICTIONARY_ROWS, CALIBRATION_ROWS = 2000, 8000  # labelled rows used at most: of each label, and for the curve
-SAMPLE_BYTES = 32 << 20  # of the parts of each label that a dictionary learns from, about
+SAMPLE_BYTES = 16 << 20  # of the parts of each label that a dictionary learns from, about
 RIDGE = 0.05
+SHORT = 32  # bytes that a text is taken to be longer, so that a few letters prove little
 _DRAWN = pa.schema([("label", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("place", pa.int64()), ("part", pa.binary())])
 
 
@@ -64,29 +66,28 @@ def _dictionary(parts: list[bytes]) -> bytes:
         return b"".join(parts)[-DICTIONARY:]
 
 
-class _Sizes:
-    """Compressed sizes of texts under the good, the bad and no dictionary, less those of an empty text."""
+class _Differences:
+    """How much shorter than under the bad dictionary a text is under the good one, relative to its bytes."""
 
     def __init__(self, good: bytes, bad: bytes):
         import zstandard as z
         plain = {"level": LEVEL, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.by = []
-        for content in (good, bad, b""):
+        for content in (good, bad):
             known = z.ZstdCompressionDict(content) if len(content) >= 8 else None
             if known:
                 known.precompute_compress(level=LEVEL)
             c = z.ZstdCompressor(**plain, **({"dict_data": known} if known else {}))
             self.by.append((c, len(c.compress(b""))))
 
-    def features(self, texts: list[str]) -> np.ndarray:
-        sizes = np.zeros((len(texts), 4))
+    def of(self, texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), 1))
         for i, text in enumerate(texts):
             data = text.encode()
             parts = [data[a:a + PART] for a in range(0, len(data), PART)]
-            sizes[i] = [sum(len(c.compress(p)) - least for p in parts) for c, least in self.by] + [len(data)]
-        good, bad, plain, n = sizes.T
-        x = np.stack([(bad - good) / (good + bad + 32), good / (n + 32), bad / (n + 32), plain / (n + 32), np.log(n + 32)], 1)
-        return np.concatenate([x, x ** 2, x[:, :1] * x[:, 1:], x[:, 1:2] * x[:, 2:]], 1)
+            good, bad = (sum(len(c.compress(p)) - least for p in parts) for c, least in self.by)
+            out[i] = (bad - good) / (len(data) + SHORT)
+        return out
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,9 +123,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     good, bad = (_dictionary([bytes(r["part"]) for r in samples if r["label"] == v]) for v in (1, 0))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = _Sizes(good, bad)
+        differences = _Differences(good, bad)
         for batch in pieces(batches):
-            x = sizes.features(batch.column("text").fill_null("").to_pylist())
+            x = differences.of(batch.column("text").fill_null("").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["label", "x"])
 
     seen = rows.where("use = 2").select("label", "text").limit(bound).mapInArrow(measured, "label int, x array<double>").collect()
@@ -142,13 +143,12 @@ def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFra
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = _Sizes(model.good, model.bad)
+        differences = _Differences(model.good, model.bad)
         for batch in pieces(batches):
             if model.weights is None:
                 value = np.full(batch.num_rows, model.constant)
             else:
-                x = (sizes.features(batch.column("text").fill_null("").to_pylist()) - model.mean) / model.scale
-                x = np.clip(x, -8, 8)
+                x = (differences.of(batch.column("text").fill_null("").to_pylist()) - model.mean) / model.scale
                 value = 1 / (1 + np.exp(-np.clip(x @ model.weights[1:] + model.weights[0], -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*names, name])
 

@@ -45,6 +45,36 @@ def test_quality_of_odd_rows(frame, odd_rows, spark, documents):
     assert quality.score(frame([]), model).count() == 0
 
 
+def test_quality_against_a_loop(spark, documents):
+    """Scores and curve again, a text at a time, from the two dictionaries."""
+    import zstandard
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(documents, labels)
+    packers = []
+    for content in (model.good, model.bad):
+        known = zstandard.ZstdCompressionDict(content)
+        packers.append(zstandard.ZstdCompressor(level=3, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False))
+
+    def difference(text):
+        data, saved = (text or "").encode(), 0
+        for a in range(0, len(data), 512):
+            good, bad = (len(p.compress(data[a:a + 512])) - len(p.compress(b"")) for p in packers)
+            saved += bad - good
+        return saved / (len(data) + 32)
+
+    def chance(text):
+        return 1 / (1 + math.exp(-(model.weights[0] + model.weights[1] * (difference(text) - model.mean[0]) / model.scale[0])))
+
+    for r in quality.score(documents.where("doc_id % 7 = 0"), model).collect():
+        assert abs(chance(r["text"]) - r["quality_score"]) < 1e-9
+    rows = documents.join(labels, "doc_id").where(F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 1).collect()
+    xs = [difference(r["text"]) for r in rows]
+    assert len(model.weights) == 2 and abs(model.mean[0] - sum(xs) / len(xs)) < 1e-9
+    gaps = [r["label"] - chance(r["text"]) for r in rows]  # of the best curve: gradients are nought
+    assert abs(sum(gaps)) < 1e-4
+    assert abs(sum(g * (x - model.mean[0]) / model.scale[0] for g, x in zip(gaps, xs)) - 0.05 * model.weights[1]) < 1e-4
+
+
 def test_dictionaries_learn_from_all_places_of_a_text(frame, spark, monkeypatch):
     seen = []
     monkeypatch.setattr(quality, "_dictionary", lambda parts: seen.append(parts) or b"")
