@@ -141,10 +141,25 @@ def _cut(size_column: str, taken_column: str):
 
 def apply(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """``docs`` as the mix takes them: repeated where a document is taken more than once, cut where it is taken in part."""
-    d, h, size, taken = fresh(docs, "_d", "_h", "_size", "_taken")
-    # rows alike in doc_id and text share evenly what is taken of them
-    found = mix(docs, weights, share, cap).groupBy("doc_id", "text_hash", "size").agg(
-        F.ceil(F.sum("taken") / F.count("*")).cast("long").alias(taken)).select(
-        F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("size").alias(size), taken)
-    ready = docs.join(found, F.col("doc_id").eqNullSafe(F.col(d)) & F.xxhash64("text").eqNullSafe(F.col(h))).drop(d, h)
+    d, h, size, taken, copies = fresh(docs, "_d", "_h", "_size", "_taken", "_copies")
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.keep(mix(docs, weights, share, cap).groupBy("doc_id", "text_hash", "size").agg(
+        F.sum("taken").alias("taken"), F.count("*").alias("copies")).select(
+        F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("size").alias(size), F.col("taken").alias(taken),
+        F.col("copies").alias(copies)), "taken")
+    met = F.col("doc_id").eqNullSafe(F.col(d)) & F.xxhash64("text").eqNullSafe(F.col(h))
+    ready = docs.join(found.where(F.col(copies) == 1), met).drop(d, h, copies)
+    if not found.where(F.col(copies) > 1).isEmpty():
+        ready = ready.unionByName(_shared(docs.join(found.where(F.col(copies) > 1), met), docs.columns, d, h, size, taken, copies, scratch))
     return short_batches(ready).mapInArrow(_cut(size, taken), docs.schema)
+
+
+def _shared(alike: DataFrame, names: list[str], d: str, h: str, size: str, taken: str, copies: str, scratch: Scratch) -> DataFrame:
+    """Rows alike in doc_id and text share what is taken of them: equal parts, and a word more for the first ones of what is left over."""
+    numbered = scratch.keep(alike.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(d).alias("doc"), F.col(h).alias("hash"), F.col(size).alias("size"),
+        F.col(taken).alias("taken"), F.col(copies).alias("copies"), F.monotonically_increasing_id().alias("uid")), "alike")
+    stretched = numbered.withColumn("part", F.shiftright("uid", 16))
+    placed = sums_before(stretched.withColumn("one", F.lit(1).cast("long")), ["doc", "hash"], "part", ["uid"], "one", "copy")
+    part = F.floor(F.col("taken") / F.col("copies")) + (F.col("copy") < F.col("taken") % F.col("copies")).cast("long")
+    return placed.select("row.*", F.col("size").alias(size), part.cast("long").alias(taken))

@@ -298,6 +298,19 @@ def test_mixture_applied_has_the_words_taken(frame, some_texts):
     assert {i: got.get(i, 0) for i in taken} == taken and {900, 901} <= set(got)
 
 
+def test_copies_share_what_is_taken(frame):
+    rows = [(1, " ".join("abcdefg"), "x", "one")] * 5 + [(None, " ".join("hijkl"), "x", "two")] * 3 + [(2, "m n o", "y", "three"), (3, None, "y", "four")]
+    docs = frame(rows, "doc_id long, text string, source string, _total string")
+    taken = {}
+    for r in mixture.mix(docs).collect():
+        taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["taken"]
+    got = {}
+    for r in mixture.apply(docs).collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + len((r["text"] or "").split())
+        assert r["_total"] == {1: "one", None: "two", 2: "three", 3: "four"}[r["doc_id"]]
+    assert got == taken and taken[1] % 5 + taken[None] % 3  # something is left over
+
+
 def test_schedule_mixes_evenly(spark, frame):
     rows = [(i, "w " * 5000, "a" if i < 6 else "b") for i in range(9)]
     from foldwise.llm.common import Scratch
