@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 MODULES = ("rowwise", "joins", "aggregates", "folding", "nested", "texts", "learning",
-           "combining", "explaining", "jobs", "profiling", "brief")
+           "combining", "explaining", "jobs", "profiling", "brief", "artifacts", "streams")
 
 
 def query(name: str, sql: str | None = None):

@@ -12,6 +12,7 @@ from foldwise.plans import train as train_plan
 from foldwise.scratch import written
 from foldwise.sources import records
 from foldwise.sources import tables as T
+from foldwise.streaming.batches import process_stream, read_batches, score_stream
 from foldwise.streaming.features import transform_stream
 
 
@@ -27,6 +28,13 @@ def test_train_then_score_gives_the_same_predictions(spark, tables, tmp_path):
     assert run.metrics["mse"] < 0.5 * spread
     runs = records.read_runs(spark, f"{tmp_path}/run/runs").first()
     assert runs["params"]["method"] and runs["metrics"]["final_oof_wmse"] > 0
+    source = f"{tmp_path}/in"
+    test.repartition(2).write.parquet(source)
+    stream = spark.readStream.schema(test.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    for _ in range(2):  # the second start finds nothing new and writes no row twice
+        score_stream(spark, f"{tmp_path}/run", stream, f"{tmp_path}/out", f"{tmp_path}/log", available_now=True).awaitTermination()
+    streamed = read_batches(spark, f"{tmp_path}/out").withColumnRenamed("score", "a").join(again, "student_id").toPandas()
+    assert len(streamed) == test.count() and np.allclose(streamed["a"], streamed["score"], atol=1e-6)
     with pytest.raises(ValueError, match="feature mismatch"):
         records.require_columns(test.select("student_id"), ["student_id", "cgpa"])
 
@@ -43,6 +51,27 @@ def test_stream_equals_batch(spark, tables, tmp_path):
     assert got == model.transform(test).select(cols).orderBy("student_id").collect()
 
 
+def test_batch_run_again_replaces_its_rows(spark, tmp_path):
+    """A batch that fails after writing runs again under its number: no row is lost or written twice."""
+    rows = spark.range(40).repartition(4)
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    failed = []
+
+    def work(df):
+        out = df.selectExpr("id", "id * 2 AS twice")
+        if not failed:
+            out.write.mode("overwrite").parquet(f"{tmp_path}/out/batch=0")  # as if lost right after the write
+            failed.append(1)
+            raise RuntimeError("lost")
+        return out
+
+    with pytest.raises(Exception, match="lost"):
+        process_stream(stream, work, f"{tmp_path}/out", f"{tmp_path}/log", available_now=True).awaitTermination()
+    process_stream(stream, work, f"{tmp_path}/out", f"{tmp_path}/log", available_now=True).awaitTermination()
+    assert sorted(map(tuple, read_batches(spark, f"{tmp_path}/out").collect())) == [(i, 2 * i) for i in range(40)]
+
+
 def test_csv_with_bom_and_nan(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_bytes("﻿id,score,text\nA,1.5,\"x, \"\"y\"\"\"\nB,,\nC,NaN,z\n".encode())
