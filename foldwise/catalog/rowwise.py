@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from foldwise import fixed
@@ -9,7 +11,9 @@ from foldwise.catalog import query
 from foldwise.catalog.bind import NOT_FEATURES, SPEC, WITH_APPLICANTS, WITH_CASES
 from foldwise.catalog.sqltext import r6
 from foldwise.functions import rows as R
+from foldwise.functions import text as X
 from foldwise.operators import encode, features
+from foldwise.scratch import scratch_root
 from foldwise.sources import tables as T
 
 
@@ -77,6 +81,22 @@ def _(t):
         "text_key", F.char_length("text").cast("long").alias("n_chars"))
 
 
+@query("a09_results_of_a_filled_cache", """
+  WITH known AS (SELECT DISTINCT md5(text) AS k FROM documents JOIN labels USING (doc_id) WHERE text IS NOT NULL)
+  SELECT doc_id, len(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS n_words,
+    CASE WHEN text IS NULL THEN NULL WHEN md5(text) IN (SELECT k FROM known) THEN 'earlier' ELSE 'later' END AS made_by
+  FROM documents""")
+def _(t):
+    """An earlier run has stored the results of labelled documents; a later one takes all documents and computes the others only."""
+    from foldwise.sources.cache import TextCache
+    cache, docs = TextCache(f"{scratch_root(t.spark)}/cache-{uuid.uuid4().hex}"), t("documents")
+
+    def words_by(run):
+        return lambda fresh: fresh.withColumns({"n_words": F.size(X.word_tokens("text")).cast("long"), "made_by": F.lit(run)})
+    cache.attach(docs.join(t("labels").select("doc_id"), "doc_id"), "text", words_by("earlier"))
+    return cache.attach(docs, "text", words_by("later")).select("doc_id", "n_words", "made_by")
+
+
 # ------------------------------------------------------------------ projections
 FAMILY_SQL = {
     "technical_strength": sql_mean(fixed.TECH_CORE),

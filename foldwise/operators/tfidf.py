@@ -2,7 +2,7 @@
 
 Texts are first hash-partitioned by row id. Counting terms per row, weighting
 and collecting a row's weights then all stay inside that partitioning; only
-per-term totals travel.
+per-term totals travel, and those of rare terms by hashed slots (``topterms``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql.types import StructField, StructType
 
 from foldwise import fixed
 from foldwise.functions import text as X
+from foldwise.operators.topterms import top_terms
 from foldwise.scratch import fitted, written
 
 
@@ -56,11 +57,10 @@ def term_counts(df: DataFrame, id_col: str, text: str, block: Block) -> DataFram
     return block.counts(df.select(id_col, text).repartition(id_col), id_col, text)
 
 
-def vocabulary(counts: DataFrame, block: Block, n_rows: int) -> DataFrame:
+def vocabulary(df: DataFrame, id_col: str, text: str, block: Block, n_rows: int) -> DataFrame:
     """The most frequent terms that occur in enough rows, numbered in term order."""
-    totals = (counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-              .where(F.col("df") >= block.min_df)
-              .orderBy(F.col("total").desc(), "term").limit(block.max_features))
+    totals = top_terms(df, id_col, lambda rows: term_counts(rows, id_col, text, block).select("term", "tf"),
+                       block.max_features, block.min_df, n_rows)
     ids = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("term"))  # max_features rows
     return totals.select("term", (ids - 1).alias("term_id"), "df",
                          (F.log(F.lit(1.0 + n_rows) / (1 + F.col("df"))) + 1).alias("idf"))
@@ -125,7 +125,7 @@ def fit_vectoriser(df: DataFrame, id_col: str, text: str,
     n = df.count()
     tables = []
     for block in blocks:
-        tables.append(fitted(vocabulary(term_counts(df, id_col, text, block), block, n)))
+        tables.append(fitted(vocabulary(df, id_col, text, block, n)))
     return Vectoriser(list(blocks), tables, [t.count() for t in tables])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.functions import text as X
+from foldwise.operators.topterms import top_terms
 
 
 def occurrences(df: DataFrame, text: str, low: int = 1, high: int = 1, keep: Sequence[str] = (),
@@ -22,8 +23,8 @@ def occurrences(df: DataFrame, text: str, low: int = 1, high: int = 1, keep: Seq
 
 def frequent_terms(df: DataFrame, text: str, top: int, low: int = 1, high: int = 1,
                    stop: Sequence[str] = ()) -> DataFrame:
-    return (occurrences(df, text, low, high, stop=stop).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.col("n").desc(), "term").limit(top))
+    made = top_terms(df, text, lambda rows: occurrences(rows, text, low, high, stop=stop).withColumn("tf", F.lit(1)), top)
+    return made.select("term", F.col("df").alias("n")).orderBy(F.col("n").desc(), "term")
 
 
 def contrast_terms(df: DataFrame, text: str, high_side: Column, min_count: int = 5,
