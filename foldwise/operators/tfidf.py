@@ -1,8 +1,8 @@
 """TF-IDF in long form: sublinear counts, smoothed idf, unit rows.
 
-Texts are first hash-partitioned by row id. Counting terms per row, weighting
-and collecting a row's weights then all stay inside that partitioning; only
-per-term totals travel, and those of rare terms by hashed slots (``topterms``).
+The vocabulary is counted where the texts lie, rare terms by hashed slots
+(``topterms``). For the weights, texts are hash-partitioned by row id: counting
+terms per row, weighting and collecting stay inside that partitioning.
 """
 
 from __future__ import annotations
@@ -45,6 +45,16 @@ class Block:
         terms = tokens.select(id_col, F.explode(X.grams("__t", self.low, self.high)).alias("term"))
         return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
+    def occurrences(self, df: DataFrame, id_col: str, text: str) -> DataFrame:
+        """``(term, tf, df)`` whose sums by term are its occurrences and its rows; word n-grams stay where their text lies."""
+        if self.kind == "char":
+            return term_counts(df, id_col, text, self).select("term", "tf", F.lit(1).alias("df"))
+        tokens = df.select(X.word_tokens(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
+        ordered = tokens.select(F.array_sort(X.grams("__t", self.low, self.high)).alias("__g"))
+        marked = F.transform("__g", lambda g, i: F.struct(
+            g.alias("term"), F.when(F.get("__g", i - 1).eqNullSafe(g), 0).otherwise(1).alias("df")))  # the first of equal ones
+        return ordered.select(F.explode(marked).alias("__o")).select("__o.term", F.lit(1).alias("tf"), "__o.df")
+
 
 WORDS = Block("word", "word", *fixed.WORD_GRAMS, fixed.WORD_MAX_FEATURES, fixed.WORD_MIN_DF)
 CHARS = Block("char", "char", *fixed.CHAR_GRAMS, fixed.CHAR_MAX_FEATURES, fixed.CHAR_MIN_DF)
@@ -59,7 +69,7 @@ def term_counts(df: DataFrame, id_col: str, text: str, block: Block) -> DataFram
 
 def vocabulary(df: DataFrame, id_col: str, text: str, block: Block, n_rows: int) -> DataFrame:
     """The most frequent terms that occur in enough rows, numbered in term order."""
-    totals = top_terms(df, id_col, lambda rows: term_counts(rows, id_col, text, block).select("term", "tf"),
+    totals = top_terms(df, id_col, lambda rows: block.occurrences(rows, id_col, text),
                        block.max_features, block.min_df, n_rows)
     ids = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("term"))  # max_features rows
     return totals.select("term", (ids - 1).alias("term_id"), "df",

@@ -23,7 +23,7 @@ def occurrences(df: DataFrame, text: str, low: int = 1, high: int = 1, keep: Seq
 
 def frequent_terms(df: DataFrame, text: str, top: int, low: int = 1, high: int = 1,
                    stop: Sequence[str] = ()) -> DataFrame:
-    made = top_terms(df, text, lambda rows: occurrences(rows, text, low, high, stop=stop).withColumn("tf", F.lit(1)), top)
+    made = top_terms(df, text, lambda rows: occurrences(rows, text, low, high, stop=stop).select("term", F.lit(1).alias("tf"), F.lit(1).alias("df")), top)
     return made.select("term", F.col("df").alias("n")).orderBy(F.col("n").desc(), "term")
 
 

@@ -14,15 +14,15 @@ def texts(n=400, words_=900):
     return [(i, " ".join(f"w{min(int(z), words_)}" for z in rng.zipf(1.3, rng.integers(0, 30)))) for i in range(n)]
 
 
-@pytest.mark.parametrize("sample,slots", [(10_000, 1 << 20), (40, 1 << 20), (3, 64), (40, 1)])
-@pytest.mark.parametrize("top,min_df", [(25, 1), (25, 3), (5000, 2)])
+@pytest.mark.parametrize("sample,slots,top,min_df", [
+    (10_000, 1 << 22, 25, 3), (40, 1 << 22, 25, 1), (40, 1 << 22, 25, 3), (3, 64, 25, 3), (40, 1, 25, 1), (40, 1 << 22, 5000, 2)])
 def test_equal_to_plain_counting(spark, monkeypatch, sample, slots, top, min_df):
     monkeypatch.setattr(topterms, "SAMPLE_ROWS", sample)
     monkeypatch.setattr(topterms, "SLOTS", slots)
     rows = texts()
     df = spark.createDataFrame(rows, "id long, t string").repartition(4)
     block = tfidf.Block("word", "word", 1, 1, top, min_df)
-    got = topterms.top_terms(df, "id", lambda r: tfidf.term_counts(r, "id", "t", block).select("term", "tf"), top, min_df)
+    got = topterms.top_terms(df, "id", lambda r: block.occurrences(r, "id", "t"), top, min_df)
     total, in_rows = Counter(), Counter()
     for _, t in rows:
         total.update(t.split())
@@ -37,7 +37,7 @@ def test_late_terms_are_found(spark, monkeypatch):
     drawn = F.pmod(F.xxhash64(F.lit("candidates"), "id"), F.lit(10)) == 0
     df = spark.range(200).withColumn("t", F.when(drawn, F.lit("seen")).otherwise(F.lit("unseen late unseen")))
     n_drawn = df.where(drawn).count()
-    got = topterms.top_terms(df, "id", lambda rows: words.occurrences(rows, "t").withColumn("tf", F.lit(1)), 2).orderBy(F.desc("total"))
+    got = topterms.top_terms(df, "id", lambda rows: words.occurrences(rows, "t").select("term", F.lit(1).alias("tf"), F.lit(1).alias("df")), 2).orderBy(F.desc("total"))
     assert 0 < n_drawn < 100 and [r["term"] for r in got.collect()] == ["unseen", "late"]
 
 
