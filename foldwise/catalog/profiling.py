@@ -78,7 +78,7 @@ def moments_sql(c):
 
 @query("p05_univariate", f"{TRAIN_SQL} {per_column(COLS, moments_sql)}")
 def _(t):
-    return all_rounded(profile.univariate(t.applicants("train"), COLS))
+    return all_rounded(profile.univariate(t.stored_applicants(*COLS), COLS))
 
 
 LEVELS = [*fixed.CATEGORIES, *fixed.NOISE_CATEGORIES]
@@ -98,7 +98,7 @@ PAIRS = [(a, b) for i, a in enumerate(COLS) for b in COLS[i + 1:]]
 @query("p07_correlation_matrix", f"""{TRAIN_SQL} {" UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, {r6(f'corr({a}, {b})')} AS r FROM train" for a, b in PAIRS)}""")
 def _(t):
-    return all_rounded(profile.correlation_matrix(t.applicants("train"), COLS))
+    return all_rounded(profile.correlation_matrix(t.stored_applicants(*COLS), COLS))
 
 
 @query("p07_strongest_pairs", f"""{TRAIN_SQL}, m AS ({" UNION ALL ".join(
@@ -107,7 +107,7 @@ def _(t):
   SELECT a, b, r, side, CAST(row_number() OVER (PARTITION BY side ORDER BY abs(r) DESC, a, b) AS INT) AS place FROM s
   QUALIFY row_number() OVER (PARTITION BY side ORDER BY abs(r) DESC, a, b) <= 10""")
 def _(t):
-    return profile.strongest_pairs(all_rounded(profile.correlation_matrix(t.applicants("train"), COLS)))
+    return profile.strongest_pairs(all_rounded(profile.correlation_matrix(t.stored_applicants(*COLS), COLS)))
 
 
 def spearman_sql(c):
@@ -126,7 +126,7 @@ def _(t):
   SELECT target_role, count(score) AS n, {r6("avg(score)")} AS mean, {r6("median(score)")} AS median
   FROM train GROUP BY target_role""")
 def _(t):
-    return all_rounded(profile.target_by_category(t.applicants("train"), "target_role", "score"))
+    return all_rounded(profile.target_by_category(t.stored_applicants("target_role", "score"), "target_role", "score"))
 
 
 def outlier_sql(c):
@@ -141,12 +141,12 @@ def outlier_sql(c):
 
 @query("p11_outliers", f"{TRAIN_SQL} {per_column(COLS, outlier_sql)}")
 def _(t):
-    return all_rounded(profile.outliers(t.applicants("train"), COLS, "score"))
+    return all_rounded(profile.outliers(t.stored_applicants(*COLS, "score"), COLS, "score"))
 
 
 @query("p10_inflation_factors")
 def _(t):
-    return all_rounded(profile.inflation_factors(t.applicants("train"), COLS), digits=4)
+    return all_rounded(profile.inflation_factors(t.stored_applicants(*COLS), COLS), digits=4)
 
 
 THREE = ("coding_score", "sql_score", "presentation_score")
@@ -163,7 +163,7 @@ def vif_sql(i):
 @query("p10_inflation_of_three", f"""{TRAIN_SQL}, whole AS (SELECT {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in THREE)}
   FROM train WHERE {" AND ".join(f"{c} IS NOT NULL" for c in THREE)}) {" UNION ALL ".join(vif_sql(i) for i in range(3))}""")
 def _(t):
-    return all_rounded(profile.inflation_factors(t.applicants("train"), THREE), digits=4).select("name", "vif")
+    return all_rounded(profile.inflation_factors(t.stored_applicants(*THREE), THREE), digits=4).select("name", "vif")
 
 
 def mi_bin(c):
@@ -179,7 +179,7 @@ def mi_sql(c):
 
 @query("p12_mutual_information", f"{TRAIN_SQL} {' UNION ALL '.join(mi_sql(c) for c in COLS)}")
 def _(t):
-    return all_rounded(profile.mutual_information(t.applicants("train"), COLS, "score"))
+    return all_rounded(profile.mutual_information(t.stored_applicants(*COLS, "score"), COLS, "score"))
 
 
 @query("p15_fractional_ranks", f"""{TRAIN_SQL}

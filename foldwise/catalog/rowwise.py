@@ -13,7 +13,7 @@ from foldwise.catalog.sqltext import r6
 from foldwise.functions import rows as R
 from foldwise.functions import text as X
 from foldwise.operators import encode, features
-from foldwise.scratch import scratch_root
+from foldwise.scratch import scratch_root, written
 from foldwise.sources import tables as T
 
 
@@ -337,8 +337,9 @@ TOP_COLUMNS = f"""{TRAIN_SQL},
   SELECT x.student_id, 'ax_' || a.name || '__x__' || b.name AS name, {r6("x.v * z.v", 4)} AS value
   FROM top a JOIN top b ON a.rk < b.rk JOIN cells x ON x.name = a.name JOIN cells z ON z.name = b.name AND z.student_id = x.student_id""")
 def _(t):
-    train, df = t.applicants("train"), t.applicants()
-    cols = features.numeric_columns(train, ("student_id", "score"))
+    cols = features.numeric_columns(t.applicants("train"), ("student_id", "score"))
+    df = written(t.applicants().select("student_id", "split", "score", *cols))  # read several times
+    train = df.where("split = 'train'")
     made = features.product_features(features.auto_interactions(train, cols, "score"))
     long = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), R.rounded(e.cast("double"), 4).alias("value")) for n, e in made.items()]))
     return df.select("student_id", long.alias("c")).select("student_id", "c.*").where("value is not null")
@@ -347,8 +348,8 @@ def _(t):
 @query("b19_auto_interaction_pairs", f"""{TOP_COLUMNS}
   SELECT a.name AS a, b.name AS b FROM top a JOIN top b ON a.rk < b.rk""")
 def _(t):
-    train = t.applicants("train")
-    cols = features.numeric_columns(train, ("student_id", "score"))
+    cols = features.numeric_columns(t.applicants("train"), ("student_id", "score"))
+    train = t.stored_applicants("score", *cols)
     return t.spark.createDataFrame(features.auto_interactions(train, cols, "score"), "a string, b string")
 
 
@@ -382,10 +383,10 @@ def b22_sql(c):
   SELECT row_id, {", ".join(f"{r6(b22_sql(c))} AS {c}" for c in B22)} FROM cases""")
 def _(t):
     from foldwise.operators.quantiles import medians
-    train = t.cases("train")
+    train = t.stored_cases("train")
     fill = features.median_fill(B22, medians(train, B22))
     stats = features.standard_stats(train.select(*[e.alias(c) for c, e in fill.items()]), B22)
-    df = t.cases().withColumns(fill).withColumns(features.standardise(B22, stats))
+    df = t.stored_cases().withColumns(fill).withColumns(features.standardise(B22, stats))
     return pick(df, B22, key="row_id")
 
 

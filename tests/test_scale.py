@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldwise import scratch
-from foldwise.operators import encode, hurdle, lookups, profile, reduce
+from foldwise.operators import encode, hurdle, lookups, profile, quantiles, reduce
 
 
 def pava(x, y, w):
@@ -123,3 +123,57 @@ def test_every_word_has_a_vector(spark):
     rows = [(i, f"common word{i} next{i}") for i in range(3000)]
     model = reduce.fit_text_vectors(spark.createDataFrame(rows, "id long, text string"), "text", dims=4, rounds=1)
     assert model.table.count() == 6001
+
+
+@pytest.mark.parametrize("name", ["d12_correlations_after_median_fill", "d13_exact_medians", "b19_auto_interactions", "p05_univariate",
+                                  "p10_inflation_of_three", "p11_outliers", "p12_mutual_information", "b22_b24_fill_standardise_clamp"])
+def test_joined_tables_are_stored_before_many_reads(spark, monkeypatch, name):
+    """What quantiles and correlations are taken from is read from the scratch folder, not joined anew for every pass."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF
+    read = []
+    for module, step in ((quantiles, "_grouped"), (profile, "correlation_matrix")):
+        whole = getattr(module, step)
+        monkeypatch.setattr(module, step, lambda df, *rest, whole=whole: read.extend(df.inputFiles()) or whole(df, *rest))
+    entry.queries()[name](spark, SF)
+    assert read and all(scratch.run_folder(spark) in f for f in read)
+
+
+@pytest.mark.parametrize("direct", [0, 10 ** 6])
+def test_quantiles_of_many_columns(spark, direct):
+    """Forty columns with eleven probabilities each, with nulls, ties, infinities and a column without a value."""
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(900, 40)) * 20)
+    x[5, 3], x[6, 3] = np.inf, -np.inf
+    rows = [tuple(None if j == 7 or (i + j) % 11 == 0 else float(v) for j, v in enumerate(r)) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{j} double" for j in range(40))).repartition(5)
+    probs = [i / 10 for i in range(11)]
+    found = quantiles.exact_quantiles(df, {c: (F.col(c), probs) for c in df.columns}, direct_cells=direct)
+    for j, c in enumerate(df.columns):
+        known = sorted(r[j] for r in rows if r[j] is not None)
+        for p, got in zip(probs, found[c]):
+            at = p * (len(known) - 1)
+            if not known:
+                assert got is None
+            elif np.isfinite(known[int(at)]) and np.isfinite(known[-(-at // 1).__int__()]):
+                low, high = known[int(at)], known[int(np.ceil(at))]
+                assert got == pytest.approx(low + (high - low) * (at - int(at)))
+
+
+def test_mutual_information_of_nulls_and_ties(spark):
+    rng = np.random.default_rng(8)
+    rows = [(None if i % 13 == 0 else float(v), None if i % 7 == 0 else float(w), 1.0) for i, (v, w) in enumerate(rng.integers(0, 6, (500, 2)))]
+    df = spark.createDataFrame(rows, "y double, a double, b double").repartition(4)
+    got = {r["name"]: r["mi"] for r in profile.mutual_information(df, ["a", "b"], "y", bins=4).collect()}
+
+    def bins(values):
+        known = np.array([v for v in values if v is not None])
+        edges = sorted(set(np.quantile(known, [0, .25, .5, .75, 1])))
+        return [-1 if v is None else sum(e < v for e in (edges[1:-1] if len(edges) > 2 else [])) for v in values]
+    by = bins([r[0] for r in rows])
+    for i, c in ((1, "a"), (2, "b")):
+        bx, total = bins([r[i] for r in rows]), 0.0
+        for k in set(zip(bx, by)):
+            n = sum(z == k for z in zip(bx, by))
+            total += n / 500 * np.log(n * 500 / (bx.count(k[0]) * by.count(k[1])))
+        assert got[c] == pytest.approx(total)
