@@ -45,8 +45,8 @@ def _(t):
 @query("w04_inner_folds", f"""{TRAIN_CASES}, {folds_ctes("train")}, {inner_ctes("folds")}
   SELECT row_id, outer_k, inner_j FROM nested""")
 def _(t):
-    df = written(folds.make_folds(t.stored_cases("train"), "row_id", "y", year="yr"))
-    return folds.inner_folds(df, "row_id", "y").select(
+    df = written(folds.make_folds(t.stored_cases("train").select("row_id", "y", "yr"), "row_id", "y", year="yr"))
+    return folds.inner_folds(df, "row_id", "y", keep=()).select(
         "row_id", F.col("outer").alias("outer_k"), F.col("inner").alias("inner_j"))
 
 

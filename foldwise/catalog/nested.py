@@ -29,15 +29,17 @@ TE = "(s + ps / pn * 20) / (n + 20)"
 NESTED = f"{TRAIN_CASES}, {folds_ctes('train')}, {inner_ctes('folds')}"
 
 
-def nested_rows(t):
-    df = written(folds.make_folds(t.stored_cases("train"), "row_id", "y", year="yr"))
-    return written(folds.inner_folds(df, "row_id", "y"))
+def nested_rows(t, *keep):
+    """Training rows in all fold roles, with the columns ``keep``; no other column is copied five times."""
+    train = t.stored_cases("train").select(*dict.fromkeys(["row_id", "y", "yr", *keep]))
+    df = written(folds.make_folds(train, "row_id", "y", year="yr"))
+    return written(folds.inner_folds(df, "row_id", "y", keep=keep))
 
 
 @query("m02_nested_target_encoding", f"""{NESTED}, {te_sql("grp", "te")}
   SELECT row_id, outer_k, {r6(TE)} AS value FROM te""")
 def _(t):
-    values = encode.nested_means(nested_rows(t), "row_id", "grp", "y")
+    values = encode.nested_means(nested_rows(t, "grp"), "row_id", "grp", "y")
     return values.select("row_id", F.col("outer").alias("outer_k"), rounded("value").alias("value"))
 
 
@@ -47,7 +49,7 @@ def _(t):
     {r6("sum(w * (y - p) * (y - p)) / sum(w)")} AS wmse, {r6("sqrt(sum(w * (y - p) * (y - p)) / sum(w))")} AS wrmse
   FROM (SELECT *, {TE} AS p FROM te WHERE inner_j = -1) JOIN weights USING (row_id) GROUP BY outer_k""")
 def _(t):
-    nested = nested_rows(t)
+    nested = nested_rows(t, "grp", "yr")
     values = encode.nested_means(nested, "row_id", "grp", "y")
     held = (nested.where("inner = -1").select("row_id", "outer", "yr", "y")
             .join(values, ["row_id", "outer"]).withColumnsRenamed({"value": "pred", "outer": "fold"}))
@@ -62,10 +64,11 @@ def _(t):
     {r6("(td.s + td.ps / td.pn * 20) / (td.n + 20)")} AS te_dept
   FROM tg JOIN td USING (row_id, outer_k)""")
 def _(t):
-    nested = nested_rows(t)
+    nested = nested_rows(t, "grp", "dept")
     dyn = cross.dynamic_table({f"te_{c}": encode.nested_means(nested, "row_id", c, "y")
                                for c in ("grp", "dept")}, "row_id")
-    static = nested.select("row_id", "fold").distinct()
+    dyn = cross.wide_dynamic(dyn, "row_id", ["te_grp", "te_dept"])  # one pass, read by fold
+    static = written(nested.where("inner = -1").select("row_id", "fold").distinct())  # every row is held out once
     views = []
     for k in range(5):
         train, held = cross.fold_view(static, dyn, "row_id", k, ["te_grp", "te_dept"])

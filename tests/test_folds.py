@@ -137,3 +137,17 @@ def test_many_buckets_stay_small(spark):
         edges = cut.groupBy("g", "__b").agg({order: "min"}).orderBy("g", "__b").collect()
         for a, b in zip(edges, edges[1:]):
             assert a["g"] != b["g"] or a[2] < b[2]
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_inner_folds_hand_on_the_named_columns_alone(spark, twice):
+    rows = [(i, float(i % 17), i % 5, f"g{i % 3}", "long") for i in range(200)] + ([(7, 3.0, 1, "g0", "long")] if twice else [])
+    df = written(spark.createDataFrame(rows, "id long, y double, fold int, grp string, other string"))
+    whole = folds.inner_folds(df, "id", "y")
+    for keep in ([], ["grp"]):
+        some = folds.inner_folds(df, "id", "y", keep=keep)
+        assert "other" not in some.columns
+        cols = ["id", "y", "fold", "outer", "inner", *keep]
+        assert sorted(some.select(cols).collect()) == sorted(whole.select(cols).collect())
+    if not twice:  # nothing to look up: no join with the table of rows
+        assert len(set(folds.inner_folds(df, "id", "y", keep=[]).inputFiles())) <= len(set(whole.inputFiles()))
