@@ -32,6 +32,19 @@ def test_words_give_the_ids_of_whole_texts(name, spaces, odd_rows, some_texts, s
         assert [ids[z - n:z].tolist() for z, n in zip(ends, counts)] == plain(name, part)
 
 
+@pytest.mark.parametrize("name,spaces", KINDS)
+def test_words_around_line_feeds_are_learned_once(name, spaces):
+    texts = ["ab cd.\nÄb cd.\nab", "cd.\nab Öß!? cd.\nÄb", "Öß!?\n\nab", "ab\ncd \nab"]
+    encoder = WordEncoder(vocabulary(name), spaces)
+    ids, counts = encoder.encode(texts[:2])
+    learned = {*encoder.first, *encoder.later} - {*encoder.frequent.get("words", [])}
+    assert not [w for w in learned if "\n" in w and w != "\n"]
+    more, n = encoder.encode(texts[2:])
+    ends = np.cumsum([*counts, *n])
+    ids = np.concatenate([ids, more])
+    assert [ids[z - k:z].tolist() for z, k in zip(ends, [*counts, *n])] == plain(name, texts)
+
+
 def test_perfect_hash_has_a_slot_for_each_key():
     keys = np.unique(np.random.default_rng(3).integers(0, 2**63, 5000, dtype=np.int64)).view(np.uint64)
     for n in (0, 1, 2, 63, 5000):
