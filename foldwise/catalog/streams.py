@@ -14,14 +14,15 @@ from foldwise.operators import encode, learners, lexicon
 from foldwise.scratch import fitted, scratch_root, written
 from foldwise.streaming.batches import process_stream, read_batches
 
-FILES = 4  # a micro-batch each
+BATCHES = 4  # micro-batches, each of as many files as tasks run at once
 
 
 def streamed(t, df, work):
     """``df`` as a stream of files, ``work`` on each of its micro-batches, and what all of them wrote."""
     root = f"{scratch_root(t.spark)}/stream-{uuid.uuid4().hex}"
-    df.repartition(FILES).write.parquet(f"{root}/in")
-    stream = t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    files = max(t.spark.sparkContext.defaultParallelism, 2)
+    df.repartition(BATCHES * files).write.parquet(f"{root}/in")
+    stream = t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
     process_stream(stream, work, f"{root}/out", f"{root}/log", available_now=True).awaitTermination()
     return read_batches(t.spark, f"{root}/out")
 
