@@ -22,3 +22,21 @@ def test_every_micro_batch_is_read_by_several_tasks(spark):
     assert len(tasks) == streams.BATCHES and min(tasks) > 1
     assert sorted(r["id"] for r in found.collect()) == list(range(4000))
     assert found.where("text is null").count() == df.where("text is null").count()
+
+
+def test_the_attribution_stores_only_the_columns_it_reads(tables):
+    from foldwise.catalog import explaining, learning
+    made = learning.bundle(tables, explaining.CORE)
+    assert set(made.static.columns) == {"student_id", "score", "application_year", *explaining.CORE}
+    assert made.static.count() == tables.applicants("train").count()
+
+
+def test_both_kinds_of_trees_share_their_fill_values(tables, monkeypatch):
+    from foldwise.catalog import explaining
+    from foldwise.operators import learners
+    found, medians = [], learners.medians
+    monkeypatch.setattr(learners, "medians", lambda df, cols: found.append(cols) or medians(df, cols))
+    models = {r["model"]: r for r in catalog.QUERIES["v05_d27_native_importances"](tables.spark, tables.sf_dir)
+              .groupBy("model").agg({"importance": "sum"}).collect()}
+    assert set(models) == {"boosted", "forest"} and len(found) == 1
+    assert len(found[0]) == len(explaining.numeric_names(tables))
