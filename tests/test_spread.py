@@ -40,3 +40,18 @@ def test_both_kinds_of_trees_share_their_fill_values(tables, monkeypatch):
               .groupBy("model").agg({"importance": "sum"}).collect()}
     assert set(models) == {"boosted", "forest"} and len(found) == 1
     assert len(found[0]) == len(explaining.numeric_names(tables))
+
+
+def test_the_referee_works_out_its_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    from foldwise.operators import ensemble
+    read = spark.sparkContext.accumulator(0)
+
+    def model(x):
+        read.add(1)
+        return float(x % 11)
+    df = spark.range(600).select("id", (F.col("id") % 13).cast("double").alias("y"), F.udf(model, "double")("id").alias("a"),
+                                 (F.col("id") % 5).cast("double").alias("b"))
+    scores = ensemble.honest_comparison(df, "id", ["a", "b"], "y", repeats=1, splits=2, rounds=2)
+    assert scores.count() == 2 * 6 and read.value == 600
