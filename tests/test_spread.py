@@ -55,3 +55,19 @@ def test_the_referee_works_out_its_rows_once(spark):
                                  (F.col("id") % 5).cast("double").alias("b"))
     scores = ensemble.honest_comparison(df, "id", ["a", "b"], "y", repeats=1, splits=2, rounds=2)
     assert scores.count() == 2 * 6 and read.value == 600
+
+
+def test_learners_read_a_stored_join_of_features_and_folds(spark):
+    from pyspark.sql import functions as F
+
+    from foldwise.operators import cross
+    static = spark.range(40).select("id", F.col("id").cast("double").alias("y"), (F.col("id") % 3).cast("double").alias("a"),
+                                    F.lit(1.0).alias("b"))
+    dealt = spark.range(40).select("id", F.lit(0).alias("repeat"), (F.col("id") % 2).cast("int").alias("fold"))
+    bundle = cross.Bundle(static, dealt, "id", "y", ["a", "b"], splits=2)
+    for names in (None, ["b"]):
+        for k in range(2):
+            train, held = bundle.view(0, k, names)
+            assert train.columns == ["id", "y", *(names or ["a", "b"]), "fold"]
+            assert "Join" not in train._jdf.queryExecution().optimizedPlan().toString()
+            assert {r["id"] for r in held.collect()} == {i for i in range(40) if i % 2 == k} and train.count() == 20
