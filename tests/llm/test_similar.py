@@ -230,3 +230,11 @@ def test_removal_takes_passages_out_of_paragraphs(frame, planted):
 
 def test_passages_of_nothing(frame):
     assert runs.repeated(frame([])).count() == 0 and runs.remove(frame([(1, None), (2, "")])).count() == 2
+
+
+def test_names_of_passages_fill_all_buckets(frame):
+    rng = random.Random(8)
+    rows = [(i, " ".join("".join(rng.choices("etaoinsr", k=6)) for _ in range(3_000))) for i in range(20)]
+    sent = frame(rows).withColumn("text_hash", F.xxhash64("text")).repartition(2).mapInArrow(runs._sent(4), shared.PACKET)
+    sizes = [r["n"] for r in sent.where("bucket >= 0").groupBy("bucket").agg((F.sum(F.octet_length("low")) / 2).alias("n")).collect()]
+    assert len(sizes) == 16 and sum(sizes) > 4_000 and max(sizes) < sum(sizes) / 8
