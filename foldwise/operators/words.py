@@ -8,22 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.functions import text as X
+from foldwise.operators.grams import counted
 from foldwise.operators.topterms import top_terms
 
 
 def occurrences(df: DataFrame, text: str, low: int = 1, high: int = 1, keep: Sequence[str] = (),
                 stop: Sequence[str] = ()) -> DataFrame:
     """One row per n-gram occurrence; stop words leave before runs are formed."""
-    tokens = X.word_tokens(F.coalesce(F.col(text), F.lit("")))
-    if stop:
-        tokens = F.filter(tokens, lambda w: ~w.isin(list(stop)))
-    made = df.select(*keep, tokens.alias("__t"))
+    made = df.select(*keep, _tokens(text, stop).alias("__t"))
     return made.select(*keep, F.explode(X.grams("__t", low, high)).alias("term"))
 
 
+def _tokens(text: str, stop: Sequence[str]) -> Column:
+    tokens = X.word_tokens(F.coalesce(F.col(text), F.lit("")))
+    return F.filter(tokens, lambda w: ~w.isin(list(stop))) if stop else tokens
+
+
 def frequent_terms(df: DataFrame, text: str, top: int, low: int = 1, high: int = 1,
                    stop: Sequence[str] = ()) -> DataFrame:
-    made = top_terms(df, text, lambda rows: occurrences(rows, text, low, high, stop=stop).select("term", F.lit(1).alias("tf"), F.lit(1).alias("df")), top)
+    made = top_terms(df, text, lambda rows: counted(rows, _tokens(text, stop), low, high).select("term", "tf", F.col("tf").alias("df")), top)
     return made.select("term", F.col("df").alias("n")).orderBy(F.col("n").desc(), "term")
 
 

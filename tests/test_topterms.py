@@ -3,10 +3,11 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from foldwise.operators import tfidf, topterms, words
+from foldwise.operators import grams, tfidf, topterms, words
 
 
 def texts(n=400, words_=900):
@@ -46,3 +47,40 @@ def test_empty_table(spark, monkeypatch):
     assert words.frequent_terms(df, "t", 5).count() == 0
     monkeypatch.setattr(topterms, "SAMPLE_ROWS", 1)
     assert words.frequent_terms(spark.createDataFrame([(1, None), (2, ""), (3, "-")], df.schema), "t", 5).count() == 0
+
+
+def plain_counts(rows, low, high):
+    """Occurrences of each run of words, and the rows that have it."""
+    total, in_rows = Counter(), Counter()
+    for tokens in rows:
+        own = Counter(" ".join(tokens[i:i + n]) for n in range(low, high + 1) for i in range(len(tokens or []) - n + 1))
+        total.update(own)
+        in_rows.update(own.keys())
+    return {term: (n, in_rows[term]) for term, n in total.items()}
+
+
+@pytest.mark.parametrize("low,high", [(1, 1), (1, 2), (2, 2), (1, 3), (2, 4), (3, 3)])
+@pytest.mark.parametrize("chunk", [1, 50, 1 << 20])
+def test_runs_of_words_by_chunks(monkeypatch, low, high, chunk):
+    """Null, empty, short and long rows in any chunks; each chunk gives a run once."""
+    monkeypatch.setattr(grams, "CHUNK_WORDS", chunk)
+    rng = np.random.default_rng(2)
+    rows = [None, [], ["a"], ["é", "a", "é", "a", "é"], None, ["a"] * 300, []] + [[f"w{w}" for w in rng.zipf(1.4, n) % 50] for n in rng.integers(0, 60, 80)]
+    batches = [pa.record_batch({"tokens": pa.array(part, pa.list_(pa.string()))}).slice(1) for part in ([None, *rows[:30]], [["not", "read"], *rows[30:]])]
+    made = [r for batch in grams._chunks(low, high)(iter(batches)) for r in batch.to_pylist()]
+    found = Counter(), Counter()
+    for r in made:
+        found[0][r["term"]] += r["tf"]
+        found[1][r["term"]] += r["df"]
+    want = plain_counts([r or [] for r in rows], low, high)
+    assert {t: (n, found[1][t]) for t, n in found[0].items()} == want
+    if chunk > 50:
+        assert len(made) == len(want)
+
+
+def test_a_chunk_hands_on_each_run_once(spark):
+    """What is handed on grows with the different runs, not with their occurrences."""
+    df = spark.createDataFrame([(i, "one two one two " * 50) for i in range(300)], "id long, t string").coalesce(1)
+    made = tfidf.Block("word", "word", 1, 2, 100, 1).occurrences(df, "id", "t").collect()
+    assert sorted((r["term"], r["tf"], r["df"]) for r in made) == [
+        ("one", 30_000, 300), ("one two", 30_000, 300), ("two", 30_000, 300), ("two one", 29_700, 300)]
